@@ -102,3 +102,46 @@ def read_partition(parted: DataFrame, n: int) -> DataFrame:
 def partition_bytes(parted: DataFrame) -> DataFrame:
     return parted.groupBy("part").agg(F.sum("size").cast("bigint").alias("bytes"),
                                       F.count(F.lit(1)).alias("n"))
+
+
+def max_processed_per_partition(done: DataFrame) -> DataFrame:
+    """Last processed row number (and its archive) per partition."""
+    return done.groupBy("part").agg(F.max("row_num").alias("max_ifn"),
+                                    F.max_by("archiveid", "row_num").alias("last_aid"))
+
+
+def resume_summary(parted: DataFrame, last: DataFrame) -> DataFrame:
+    """Rows still to request per partition (row_num beyond the last processed one).
+
+    ``bytes`` keeps counting skipped rows, as the pacing depends on it.
+    """
+    j = parted.join(last, "part", "left") \
+              .withColumn("max_ifn", F.coalesce(F.col("max_ifn"), F.lit(0)).cast("bigint"))
+    todo = F.col("row_num") > F.col("max_ifn")
+    return j.groupBy("part").agg(
+        F.max("max_ifn").alias("max_ifn"), F.max("last_aid").alias("last_aid"),
+        F.sum(todo.cast("int")).cast("bigint").alias("remaining"),
+        F.coalesce(F.sum(F.when(todo, F.col("size"))), F.lit(0)).cast("bigint").alias("remaining_bytes"),
+        F.sum("size").cast("bigint").alias("bytes"))
+
+
+def request_calendar(parted: DataFrame, throttle: DataFrame | None = None, quota: int = DAILY_QUOTA_BYTES) -> DataFrame:
+    """The request loop as a table: one row per partition with its wait and start offset.
+
+    Start offset of partition p = sum of the waits of the partitions before it.
+    The window runs over one row per partition (archives / partition size), a
+    small table.
+    """
+    from pyspark.sql import Window
+    from vaultlens.functions.sizing import request_wait_seconds
+    pb = partition_bytes(parted)
+    if throttle is not None:
+        pb = pb.join(throttle.groupBy("part").agg(F.sum("throttled_bytes").alias("throttled_bytes"),
+                                                  F.sum("errors").alias("errors")), "part", "left")
+    else:
+        pb = pb.withColumn("throttled_bytes", F.lit(None)).withColumn("errors", F.lit(None))
+    pb = (pb.withColumn("throttled_bytes", F.coalesce("throttled_bytes", F.lit(0)).cast("bigint"))
+            .withColumn("errors", F.coalesce("errors", F.lit(0)).cast("bigint"))
+            .withColumn("wait_s", request_wait_seconds("bytes", "throttled_bytes", None, quota)))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return pb.withColumn("start_s", F.coalesce(F.sum("wait_s").over(before), F.lit(0)).cast("bigint"))

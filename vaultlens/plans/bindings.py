@@ -180,3 +180,11 @@ def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_records_view(inv_named: DataFrame) -> DataFrame:
     return inv_named.withColumn("cc", chunk_count("size"))
+
+
+def throttle_events(spark: SparkSession, sf_dir: str, parted: DataFrame) -> DataFrame:
+    """Throttling errors: each ``error`` event of user u hits the archive numbered u,
+    adding that archive's whole size (as a failed chunk copy does)."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("user_id")
+    hit = ev.join(parted.select(F.col("row_num").alias("user_id"), "part", "size"), "user_id")
+    return hit.select("part", F.col("size").alias("throttled_bytes"), F.lit(1).alias("errors"))

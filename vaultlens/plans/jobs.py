@@ -35,3 +35,56 @@ def global_numbering(spark, sf_dir):
 @job
 def partition_plan(spark, sf_dir):
     return invops.partition_stats(_parted(spark, sf_dir))
+
+
+from vaultlens.functions.sizing import chunk_count, request_wait_seconds  # noqa: E402
+from vaultlens.operators import naming  # noqa: E402
+
+FIXED_CDT = "2024-01-01T00:00:00+00:00"  # request time stamped on status rows in batch runs
+
+
+def _named(spark, sf_dir):
+    parted = _parted(spark, sf_dir)
+    return naming.unique_names(naming.resolve_names(parted))
+
+
+@job
+def resolve_names(spark, sf_dir):
+    return naming.resolve_names(B.inventory(spark, sf_dir)).select("archiveid", "fname")
+
+
+@job
+def unique_names(spark, sf_dir):
+    return _named(spark, sf_dir).select("archiveid", "row_num", "fname")
+
+
+def status_rows(named: DataFrame, cdt: str = FIXED_CDT) -> DataFrame:
+    """Inventory row -> status record (request time as ISO-8601 text)."""
+    return named.select(
+        F.col("archiveid").alias("aid"), F.col("row_num").alias("ifn"), F.col("part").alias("pid"),
+        F.col("sha256treehash").alias("sha"), F.col("size").alias("sz"),
+        F.col("archivedescription").alias("descr"), "fname",
+        chunk_count("size").cast("int").alias("cc"), F.lit(0).alias("rc"), F.lit(cdt).alias("cdt"))
+
+
+@job
+def status_records(spark, sf_dir):
+    return status_rows(_named(spark, sf_dir))
+
+
+@job
+def resume_requests(spark, sf_dir):
+    """Per partition: last processed archive of an earlier run, rows left, bytes."""
+    parted = _parted(spark, sf_dir)
+    rec = B.recorded_status(spark, sf_dir)
+    done = parted.join(rec.select(F.col("aid").alias("archiveid")), "archiveid", "left_semi")
+    last = invops.max_processed_per_partition(done)
+    return invops.resume_summary(parted, last)
+
+
+@job
+def request_pacing(spark, sf_dir):
+    """Per partition: bytes, throttled bytes, wait before the next one and start offset."""
+    parted = _parted(spark, sf_dir)
+    throttle = B.throttle_events(spark, sf_dir, parted)
+    return invops.request_calendar(parted, throttle)

@@ -89,7 +89,10 @@ def with_views(body: str, *names: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(VIEWS[n].strip() for n in order) + "\n" + body
+    head = "WITH " + ",\n".join(VIEWS[n].strip() for n in order)
+    body = body.lstrip()
+    # A body starting with ", name AS (...)" adds its own CTEs after the views.
+    return head + ("\n" if body.startswith(",") else "\n") + body
 
 
 ORACLE: dict[str, str] = {}
@@ -105,3 +108,48 @@ ORACLE["partition_plan"] = with_views(
               cast(min(row_num) as bigint) AS lo, cast(max(row_num) as bigint) AS hi,
               cast(sum(ov) as bigint) AS overridden
        from parted group by part""", "parted")
+
+ORACLE["resolve_names"] = with_views(
+    "select archiveid, case when ln in (5, 7) then '00undefined/' || archiveid else base end AS fname from inv_x",
+    "inv_x")
+
+VIEWS["uniq"] = r"""
+uniq AS (
+  select *, case when row_number() over (partition by fname0 order by row_num) > 1
+                 then fname0 || '-' || creationdate else fname0 end AS fname
+  from named
+)"""
+_DEPS["uniq"] = ["named"]
+
+ORACLE["unique_names"] = with_views(
+    "select archiveid, cast(row_num as bigint) AS row_num, fname from uniq", "uniq")
+
+ORACLE["status_records"] = with_views(
+    """select archiveid AS aid, cast(row_num as bigint) AS ifn, cast(part as bigint) AS pid,
+              sha256treehash AS sha, size AS sz, archivedescription AS descr, fname,
+              cast((size + 4294967295) // 4294967296 as integer) AS cc, 0 AS rc,
+              '2024-01-01T00:00:00+00:00' AS cdt
+       from uniq""", "uniq")
+
+ORACLE["resume_requests"] = with_views(
+    """, rec AS (select i.archiveid from inv_x i join orders o on i.ok = o.o_orderkey where o.o_orderstatus = 'F'),
+       lastp AS (select part, max(row_num) AS max_ifn, arg_max(archiveid, row_num) AS last_aid
+                 from parted where archiveid in (select archiveid from rec) group by part)
+       select p.part, cast(coalesce(l.max_ifn, 0) as bigint) AS max_ifn, l.last_aid,
+              cast(sum(case when p.row_num > coalesce(l.max_ifn, 0) then 1 else 0 end) as bigint) AS remaining,
+              cast(coalesce(sum(case when p.row_num > coalesce(l.max_ifn, 0) then p.size end), 0) as bigint) AS remaining_bytes,
+              cast(sum(p.size) as bigint) AS bytes
+       from parted p left join lastp l on p.part = l.part
+       group by p.part, l.max_ifn, l.last_aid""", "parted")
+
+ORACLE["request_pacing"] = with_views(
+    """, thr AS (select p.part, sum(p.size) AS tb, count(*) AS errs
+                 from events e join parted p on p.row_num = e.user_id where e.event_type = 'error' group by p.part),
+       pb AS (select part, cast(sum(size) as bigint) AS bytes, count(*) AS n from parted group by part),
+       w AS (select pb.part, pb.bytes, pb.n, cast(coalesce(thr.tb, 0) as bigint) AS throttled_bytes,
+                    cast(coalesce(thr.errs, 0) as bigint) AS errors from pb left join thr on pb.part = thr.part),
+       w2 AS (select *, greatest(cast(floor(86400.0 * ((bytes + throttled_bytes) / 65970697666560.0) + 0.5) as bigint), 0) AS w0 from w),
+       w3 AS (select *, cast(case when w0 = 0 and throttled_bytes > 0 then 960 else w0 end as bigint) AS wait_s from w2)
+       select part, bytes, n, throttled_bytes, errors, wait_s,
+              cast(coalesce(sum(wait_s) over (order by part rows between unbounded preceding and 1 preceding), 0) as bigint) AS start_s
+       from w3""", "parted")
