@@ -188,3 +188,15 @@ def throttle_events(spark: SparkSession, sf_dir: str, parted: DataFrame) -> Data
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("user_id")
     hit = ev.join(parted.select(F.col("row_num").alias("user_id"), "part", "size"), "user_id")
     return hit.select("part", F.col("size").alias("throttled_bytes"), F.lit(1).alias("errors"))
+
+
+def destination_listing(spark: SparkSession, sf_dir: str, status: DataFrame):
+    """Listings derived from order status: finished orders are already at the
+    destination (plus a near-miss ``.bak`` key that a prefix listing also returns);
+    pending orders have no staged copy yet."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("ok"), "o_orderstatus")
+    s = status.withColumn("ok", F.substring_index("aid", "-", 1)).join(orders, "ok")
+    dest = s.where(F.col("o_orderstatus") == "F").select(F.col("fname").alias("key"))
+    near = s.where(F.col("o_orderstatus") == "O").select(F.concat(F.col("fname"), F.lit(".bak")).alias("key"))
+    staged = s.where(F.col("o_orderstatus") != "P").select(F.col("fname").alias("key")).distinct()
+    return dest.unionByName(near).distinct(), staged

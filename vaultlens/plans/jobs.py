@@ -88,3 +88,44 @@ def request_pacing(spark, sf_dir):
     parted = _parted(spark, sf_dir)
     throttle = B.throttle_events(spark, sf_dir, parted)
     return invops.request_calendar(parted, throttle)
+
+
+from vaultlens.functions.text import uri_encode  # noqa: E402
+from vaultlens.operators import ranges  # noqa: E402
+
+
+def _inv_status(spark, sf_dir):
+    """Light status rows (id, size, chunk count) straight from the inventory."""
+    return B.inventory(spark, sf_dir).select(F.col("archiveid").alias("aid"), F.col("size").alias("sz"),
+                                            chunk_count("size").cast("int").alias("cc"))
+
+
+@job
+def copy_chunk_plan(spark, sf_dir):
+    return ranges.plan_copy_chunks(_inv_status(spark, sf_dir)).select("aid", "part_no", "start_byte", "end_byte")
+
+
+@job
+def hash_chunk_plan(spark, sf_dir):
+    return ranges.plan_hash_chunks(_inv_status(spark, sf_dir)).select("aid", "part_no", "start_byte", "end_byte")
+
+
+@job
+def part_plan_2gib(spark, sf_dir):
+    inv = B.inventory(spark, sf_dir).select("archiveid", "size")
+    a = ranges.plan_inventory_parts(inv).withColumn("plan", F.lit("inventory"))
+    b = ranges.plan_override_parts(inv).withColumn("plan", F.lit("override"))
+    return a.unionByName(b).select("archiveid", "plan", "part_no", "start_byte", "end_byte")
+
+
+@job
+def release_plan(spark, sf_dir):
+    """Validated objects -> release tasks, skipping keys already at the destination;
+    each task carries the encoded copy source and whether the staged copy exists."""
+    status = status_rows(_named(spark, sf_dir)).select("aid", "fname", "sz", "cc")
+    dest, staged = B.destination_listing(spark, sf_dir, status)
+    plan = ranges.plan_release_chunks(status, dest)
+    flagged = plan.join(staged.select(F.col("key").alias("fname"), F.lit(True).alias("staged")), "fname", "left")
+    return flagged.select("aid", "fname", "part_no", "start_byte", "end_byte",
+                          uri_encode(F.concat(F.lit("staging/"), F.col("fname"))).alias("copy_source"),
+                          F.coalesce(F.col("staged"), F.lit(False)).alias("staged"))

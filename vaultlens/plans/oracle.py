@@ -153,3 +153,55 @@ ORACLE["request_pacing"] = with_views(
        select part, bytes, n, throttled_bytes, errors, wait_s,
               cast(coalesce(sum(wait_s) over (order by part rows between unbounded preceding and 1 preceding), 0) as bigint) AS start_s
        from w3""", "parted")
+
+_C4 = 4294967296
+_C2 = 2147483648
+
+ORACLE["copy_chunk_plan"] = with_views(
+    f""", s AS (select archiveid AS aid, size AS sz, cast((size + {_C4 - 1}) // {_C4} as integer) AS cc from inv_x),
+       x AS (select aid, sz, cc, greatest(cc, 1) AS n,
+                    unnest(generate_series(1, case when cc <= 1 then 1 else greatest(cc, 1) end)) AS g from s)
+       select aid, case when cc <= 1 then null else cast(g as integer) end AS part_no,
+              case when cc <= 1 then null else (g - 1) * {_C4} end AS start_byte,
+              case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte
+       from x""", "inv_x")
+
+ORACLE["hash_chunk_plan"] = with_views(
+    f""", s AS (select archiveid AS aid, size AS sz, cast((size + {_C4 - 1}) // {_C4} as integer) AS cc from inv_x),
+       x AS (select aid, sz, greatest(cc, 1) AS n, unnest(generate_series(1, greatest(cc, 1))) AS g from s)
+       select aid, cast(g as integer) AS part_no, (g - 1) * {_C4} AS start_byte,
+              case when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte
+       from x""", "inv_x")
+
+
+def _parts_sql(name: str, unit: int, single: str) -> str:
+    return f"""
+       select archiveid, '{name}' AS plan,
+              case when {single} then null else cast(g as integer) end AS part_no,
+              case when {single} then null else (g - 1) * {unit} end AS start_byte,
+              case when {single} then null when g < n then (g - 1) * {unit} + {unit - 1} else size - 1 end AS end_byte
+       from (select archiveid, size, greatest((size + {unit - 1}) // {unit}, 1) AS n,
+                    unnest(generate_series(1, case when {single} then 1 else greatest((size + {unit - 1}) // {unit}, 1) end)) AS g
+             from inv_x) q"""
+
+
+ORACLE["part_plan_2gib"] = with_views(
+    _parts_sql("inventory", _C4, f"size <= {_C4}") + "\n union all \n" + _parts_sql("override", _C2, f"size < {_C2}"),
+    "inv_x")
+
+ORACLE["release_plan"] = with_views(
+    f""", st AS (select archiveid AS aid, fname, size AS sz, cast((size + {_C4 - 1}) // {_C4} as integer) AS cc,
+                     o.o_orderstatus AS os
+              from uniq u join orders o on u.ok = o.o_orderkey),
+       dest AS (select distinct fname AS key from st where os = 'F'
+                union select fname || '.bak' from st where os = 'O'),
+       staged AS (select distinct fname AS key from st where os <> 'P'),
+       pend AS (select * from st where fname not in (select key from dest)),
+       x AS (select aid, fname, sz, cc, greatest(cc, 1) AS n,
+                    unnest(generate_series(1, case when cc <= 1 then 1 else greatest(cc, 1) end)) AS g from pend)
+       select aid, x.fname, case when cc <= 1 then null else cast(g as integer) end AS part_no,
+              case when cc <= 1 then null else (g - 1) * {_C4} end AS start_byte,
+              case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte,
+              'staging%2F' || replace(x.fname, '/', '%2F') AS copy_source,
+              staged.key is not null AS staged
+       from x left join staged on x.fname = staged.key""", "uniq")
