@@ -200,3 +200,14 @@ def destination_listing(spark: SparkSession, sf_dir: str, status: DataFrame):
     near = s.where(F.col("o_orderstatus") == "O").select(F.concat(F.col("fname"), F.lit(".bak")).alias("key"))
     staged = s.where(F.col("o_orderstatus") != "P").select(F.col("fname").alias("key")).distinct()
     return dest.unionByName(near).distinct(), staged
+
+
+def hash_status(spark: SparkSession, sf_dir: str, computed: DataFrame) -> DataFrame:
+    """Recorded hashes: right for documents labelled quality 1, wrong for quality 0,
+    missing for unlabelled ones; retry count from the text length."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("aid"), "quality")
+    p = payload(spark, sf_dir).select("aid", F.octet_length("bytes").cast("bigint").alias("sz"), "rc")
+    j = p.join(computed.select("aid", "tree_hash"), "aid").join(labels, "aid", "left")
+    sha = (F.when(F.col("quality") == 1, F.col("tree_hash"))
+            .when(F.col("quality") == 0, F.sha2(F.concat(F.lit("corrupt-"), F.col("aid")), 256)))
+    return j.select("aid", "sz", "rc", sha.alias("sha"))

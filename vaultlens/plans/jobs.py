@@ -129,3 +129,40 @@ def release_plan(spark, sf_dir):
     return flagged.select("aid", "fname", "part_no", "start_byte", "end_byte",
                           uri_encode(F.concat(F.lit("staging/"), F.col("fname"))).alias("copy_source"),
                           F.coalesce(F.col("staged"), F.lit(False)).alias("staged"))
+
+
+from vaultlens.operators import lifecycle, treehash  # noqa: E402
+
+ORACLE_LEAF = 1024  # 1 KiB leaves keep several leaves per document in test runs
+
+
+@job
+def tree_hash(spark, sf_dir):
+    p = B.payload(spark, sf_dir)
+    return treehash.tree_hash(p, leaf=ORACLE_LEAF).select("aid", "tree_hash")
+
+
+@job
+def multipart_tree_hash(spark, sf_dir):
+    """Chunks of 8 leaves hashed separately, then combined in part order."""
+    p = B.payload(spark, sf_dir)
+    return treehash.tree_hash(p, leaf=ORACLE_LEAF, leaves_per_chunk=8).select("aid", "n_parts", "tree_hash")
+
+
+def _routed(spark, sf_dir):
+    p = B.payload(spark, sf_dir)
+    computed = treehash.tree_hash(p, leaf=ORACLE_LEAF)
+    status = B.hash_status(spark, sf_dir, computed)
+    return lifecycle.validate_hash(computed, status)
+
+
+@job
+def hash_validation(spark, sf_dir):
+    routed = _routed(spark, sf_dir)
+    retry = lifecycle.retry_requests(routed).select("aid", F.col("rc").alias("next_rc"), "message")
+    return routed.select("aid", "sz", "rc", "route").join(retry, "aid", "left")
+
+
+@job
+def failure_totals(spark, sf_dir):
+    return lifecycle.failure_totals(_routed(spark, sf_dir))

@@ -205,3 +205,55 @@ ORACLE["release_plan"] = with_views(
               'staging%2F' || replace(x.fname, '/', '%2F') AS copy_source,
               staged.key is not null AS staged
        from x left join staged on x.fname = staged.key""", "uniq")
+
+VIEWS["th"] = r"""
+leaves AS (
+  select aid, i, n, sha256(unhex(substr(hx, i * 2048 + 1, 2048))) AS h
+  from (select cast(doc_id as varchar) AS aid, hex(encode(text)) AS hx,
+               greatest(cast(ceil(octet_length(encode(text)) / 1024.0) as bigint), 1) AS n
+        from documents) d, generate_series(0, n - 1) g(i)
+),
+t AS (
+  select aid, 0 AS lvl, i, n, h from leaves
+  union all
+  select aid, lvl + 1, i // 2, (n + 1) // 2,
+         case when count(*) = 2
+              then sha256(unhex(max(case when i % 2 = 0 then h end)) || unhex(max(case when i % 2 = 1 then h end)))
+              else max(h) end
+  from t where n > 1 group by aid, lvl, i // 2, n
+),
+th AS (select aid, h AS tree_hash, n0.n AS n_leaves from t join (select aid AS a2, max(n) AS n from leaves group by aid) n0 on t.aid = n0.a2 where t.n = 1)"""
+_DEPS["th"] = []
+
+
+def _with_recursive(body: str, *names: str) -> str:
+    return with_views(body, *names).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLE["tree_hash"] = _with_recursive("select aid, tree_hash from th", "th")
+
+ORACLE["multipart_tree_hash"] = _with_recursive(
+    "select aid, cast((n_leaves + 7) // 8 as integer) AS n_parts, tree_hash from th", "th")
+
+VIEWS["routed"] = r"""
+routed AS (
+  select p.aid, p.sz, p.rc,
+         case when th.tree_hash = (case when l.quality = 1 then th.tree_hash
+                                        when l.quality = 0 then sha256('corrupt-' || p.aid) end) then 'validated'
+              when p.rc < 3 then 'retry' else 'failed' end AS route
+  from (select cast(doc_id as varchar) AS aid, cast(octet_length(encode(text)) as bigint) AS sz,
+               cast(n_chars % 5 as integer) AS rc from documents) p
+  join th on p.aid = th.aid
+  left join labels l on cast(l.doc_id as varchar) = p.aid
+)"""
+_DEPS["routed"] = ["th"]
+
+ORACLE["hash_validation"] = _with_recursive(
+    """select aid, sz, rc, route,
+              case when route = 'retry' then rc + 1 end AS next_rc,
+              case when route = 'retry' then '{"Action":"RetryRequest","ArchiveId":"' || aid || '","ArchiveSizeInBytes":' || cast(sz as varchar) || '}' end AS message
+       from routed""", "routed")
+
+ORACLE["failure_totals"] = _with_recursive(
+    """select cast(coalesce(sum(sz), 0) as bigint) AS failed_bytes, count(*) AS error_count
+       from routed where route = 'failed'""", "routed")
