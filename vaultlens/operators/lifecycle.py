@@ -43,3 +43,61 @@ def failure_totals(routed: DataFrame) -> DataFrame:
     f = routed.where(F.col("route") == "failed")
     return f.agg(F.coalesce(F.sum("sz"), F.lit(0)).cast("bigint").alias("failed_bytes"),
                  F.count(F.lit(1)).alias("error_count"))
+
+
+def latest_chunk_values(chunks: DataFrame, seq_col: str = "seq") -> DataFrame:
+    """Per (archive, phase, part): the value of the latest delivery (redeliveries overwrite).
+
+    ``max_by`` is a partial aggregate, so a hot archive is combined map-side.
+    """
+    return chunks.groupBy("aid", "phase", "part_no").agg(F.max_by("value", seq_col).alias("value"))
+
+
+def chunk_completion(latest: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per (archive, phase): distinct parts recorded, complete when ``>= cc``,
+    the ordered part list and the part map.
+
+    One group holds at most one entry per part, so its size is bounded by the
+    archive's chunk count.
+    """
+    g = latest.groupBy("aid", "phase").agg(
+        F.count(F.lit(1)).alias("n_parts"),
+        F.array_sort(F.collect_list(F.struct(F.col("part_no").alias("p"), F.col("value").alias("v")))).alias("_vl_l"))
+    g = g.join(counts, "aid")
+    return (g.withColumn("complete", F.col("n_parts") >= F.col("cc"))
+             .withColumn("parts", F.array_join(F.transform("_vl_l", lambda x: F.concat(x.getField("p").cast("string"),
+                                                                                      F.lit(":"), x.getField("v"))), ","))
+             .withColumn("part_map", F.map_from_entries("_vl_l"))
+             .withColumn("chunk_list", chunk_list_expr(F.col("cc")))
+             .drop("_vl_l"))
+
+
+def chunk_list_expr(cc):
+    """``chunk1, chunk2, ..., chunkN`` for the N chunk attributes to clear."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(cc, F.lit(1))),
+                                    lambda i: F.concat(F.lit("chunk"), i.cast("string"))), ", ")
+
+
+def work_gates(notices: DataFrame, status: DataFrame, id_col: str = "aid") -> DataFrame:
+    """Route each notice by the archive's recorded progress.
+
+    A notice for an archive with no status row yields no row (point lookup miss).
+    split: skip when copying already started; copy: go straight to hashing when
+    staged; hash: go straight to release when validated.
+    """
+    j = notices.join(status, id_col)
+    return j.select(
+        id_col,
+        F.when(F.col("psdt").isNotNull(), "skip").otherwise("split").alias("split_action"),
+        F.when(F.col("sgt").isNotNull(), "hash").otherwise("copy").alias("copy_route"),
+        F.when(F.col("vdt").isNotNull(), "release").otherwise("hash").alias("hash_route"))
+
+
+def latest_state(log: DataFrame, key: str, seq_col: str, fields: list[str]) -> DataFrame:
+    """Current record per key from an append-only log of partial updates.
+
+    Each field takes its value from the latest entry that set it (an upsert
+    that leaves a field out keeps the old value).
+    """
+    aggs = [F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(seq_col))).alias(f) for f in fields]
+    return log.groupBy(key).agg(*aggs)

@@ -169,11 +169,15 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), msg.alias("message"))
 
 
+# --- fixed values: prefixes cleaned up after a migration, in listing order
+LISTING_PREFIXES = ["results", "partitioned", "inventory", "filelist", "glue"]
+
+
 def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket keys built from page URLs under five listing prefixes."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")
-    prefixes = F.array(*[F.lit(x) for x in ("filelist/", "inventory/", "partitioned/", "results/", "logs/")])
-    key = F.concat(F.element_at(prefixes, (F.col("page_id") % 5 + 1).cast("int")),
+    prefixes = F.array(*[F.lit(x) for x in LISTING_PREFIXES])
+    key = F.concat(F.element_at(prefixes, (F.col("page_id") % 5 + 1).cast("int")), F.lit("/"),
                    F.regexp_replace("url", "^[a-z]+://", ""))
     return p.select(key.alias("key"), F.length("url").cast("bigint").alias("size"))
 
@@ -211,3 +215,26 @@ def hash_status(spark: SparkSession, sf_dir: str, computed: DataFrame) -> DataFr
     sha = (F.when(F.col("quality") == 1, F.col("tree_hash"))
             .when(F.col("quality") == 0, F.sha2(F.concat(F.lit("corrupt-"), F.col("aid")), 256)))
     return j.select("aid", "sz", "rc", sha.alias("sha"))
+
+
+def status_light(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows with progress timestamps set from the line's flags:
+    copy started when the line status is F, staged when returned (A or R),
+    validated when R."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+    aid = F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"))
+    ts = F.col("l_shipdate").cast("timestamp")
+    return li.select(aid.alias("aid"),
+                     F.when(F.col("l_linestatus") == "F", ts).alias("psdt"),
+                     F.when(F.col("l_returnflag").isin("A", "R"), ts).alias("sgt"),
+                     F.when(F.col("l_returnflag") == "R", ts).alias("vdt"))
+
+
+def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue messages from events: queue = event type, sent at ts, deleted
+    ``value`` minutes later."""
+    ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    sent = F.unix_micros(F.col("ts").cast("timestamp"))
+    return ev.select(F.col("event_type").alias("queue"), sent.alias("sent_us"),
+                     (sent + F.round(F.col("value") * 60000000).cast("bigint")).alias("done_us"))

@@ -166,3 +166,106 @@ def hash_validation(spark, sf_dir):
 @job
 def failure_totals(spark, sf_dir):
     return lifecycle.failure_totals(_routed(spark, sf_dir))
+
+
+from vaultlens.operators import progress  # noqa: E402
+from vaultlens.operators.numbering import batch_number  # noqa: E402
+from vaultlens.functions.text import split_location  # noqa: E402
+
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+@job
+def chunk_state(spark, sf_dir):
+    latest = lifecycle.latest_chunk_values(B.chunk_results(spark, sf_dir))
+    done = lifecycle.chunk_completion(latest, B.chunk_counts(spark, sf_dir))
+    return done.select("aid", "phase", "cc", "n_parts", "complete", "parts", "chunk_list")
+
+
+@job
+def work_gates(spark, sf_dir):
+    notices = B.inventory(spark, sf_dir).select(F.col("archiveid").alias("aid"))
+    return lifecycle.work_gates(notices, B.status_light(spark, sf_dir))
+
+
+@job
+def latest_status(spark, sf_dir):
+    ch = progress.drop_removals(B.changes(spark, sf_dir))
+    log = ch.select("aid", F.struct("ts", "event_id").alias("seq"),
+                    *[F.col("new").getField(f).alias(f) for f in ("cdt", "sgt", "vdt", "cpt", "sz")])
+    st = lifecycle.latest_state(log, "aid", "seq", ["cdt", "sgt", "vdt", "cpt", "sz"])
+    return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
+
+
+@job
+def stage_progress(spark, sf_dir):
+    return progress.stage_rows(progress.stage_counts(B.changes(spark, sf_dir)))
+
+
+def _counters(spark, sf_dir):
+    deltas = progress.counter_deltas(progress.stage_counts(B.changes(spark, sf_dir)))
+    summ = invops.inventory_summary(B.inventory(spark, sf_dir))
+    totals = summ.select(F.inline(F.array(
+        F.struct(F.lit("count").alias("pk"), F.lit("total").alias("counter"), F.col("archive_count").alias("value")),
+        F.struct(F.lit("volume").alias("pk"), F.lit("total").alias("counter"), F.col("vault_bytes").alias("value")))))
+    ev = B.table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    thr = ev.agg(F.sum(F.col("user_id") * 1000 + 1).alias("b"), F.count(F.lit(1)).alias("e")).select(F.inline(F.array(
+        F.struct(F.lit("throttling").alias("pk"), F.lit("throttledBytes").alias("counter"), F.col("b").alias("value")),
+        F.struct(F.lit("throttling").alias("pk"), F.lit("errorCount").alias("counter"), F.col("e").alias("value")))))
+    fail = lifecycle.failure_totals(_routed(spark, sf_dir)).select(F.inline(F.array(
+        F.struct(F.lit("archives-failed").alias("pk"), F.lit("failedBytes").alias("counter"),
+                 F.col("failed_bytes").alias("value")),
+        F.struct(F.lit("archives-failed").alias("pk"), F.lit("errorCount").alias("counter"),
+                 F.col("error_count").alias("value")))))
+    allrows = deltas.unionByName(totals).unionByName(thr).unionByName(fail)
+    return progress.counter_totals(allrows.withColumn("value", F.col("value").cast("bigint")))
+
+
+@job
+def progress_metrics(spark, sf_dir):
+    return progress.progress_points(_counters(spark, sf_dir))
+
+
+@job
+def metric_timeline(spark, sf_dir):
+    t = progress.metric_timeline(B.metric_points(spark, sf_dir))
+    return t.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "metric", "max_value")
+
+
+@job
+def latest_metric_values(spark, sf_dir):
+    pts = B.metric_points(spark, sf_dir)
+    return progress.latest_metric_values(pts, F.struct("ts", "event_id"))
+
+
+@job
+def oldest_message_age(spark, sf_dir):
+    return progress.oldest_message_age(B.queue_messages(spark, sf_dir))
+
+
+@job
+def error_log(spark, sf_dir):
+    return progress.error_log(B.log_events(spark, sf_dir)).select(
+        "event_id", F.date_format("ts", TS_FMT).alias("ts"), "message")
+
+
+@job
+def cleanup_batches(spark, sf_dir):
+    """Listings of the five prefixes, appended in order, cut into delete batches."""
+    keys = B.object_keys(spark, sf_dir)
+    listings = [keys.where(F.col("key").startswith(p)).withColumn("listing", F.lit(i))
+                for i, p in enumerate(B.LISTING_PREFIXES)]
+    allkeys = listings[0]
+    for df in listings[1:]:
+        allkeys = allkeys.unionByName(df)
+    b = batch_number(allkeys, ["listing", "key"], 1000)
+    return b.groupBy("batch").agg(F.count(F.lit(1)).alias("n_keys"), F.min_by("key", F.struct("listing", "key")).alias("first_key"),
+                                  F.max_by("key", F.struct("listing", "key")).alias("last_key"))
+
+
+@job
+def location_split(spark, sf_dir):
+    p = B.table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "^[a-z]+://", "").alias("loc"))
+    parts = split_location("loc")
+    return p.select("page_id", "loc", parts["bucket"].alias("bucket"), parts["key"].alias("key"),
+                    parts["file_name"].alias("file_name"))

@@ -257,3 +257,113 @@ ORACLE["hash_validation"] = _with_recursive(
 ORACLE["failure_totals"] = _with_recursive(
     """select cast(coalesce(sum(sz), 0) as bigint) AS failed_bytes, count(*) AS error_count
        from routed where route = 'failed'""", "routed")
+
+ORACLE["chunk_state"] = r"""
+WITH c AS (select cast(l_orderkey as varchar) AS aid,
+                  case l_returnflag when 'N' then 'copied' when 'R' then 'hashed' else 'released' end AS phase,
+                  l_linenumber AS part_no,
+                  concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+                            cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS tok,
+                  l_shipdate AS ship from lineitem),
+v AS (select *, case when phase = 'hashed' then sha256(tok) else '"' || md5(tok) || '"' end AS value from c),
+lt AS (select aid, phase, part_no, value
+       from (select *, row_number() over (partition by aid, phase, part_no order by ship desc, tok desc) AS rn from v) q
+       where rn = 1),
+cnt AS (select cast(o_orderkey as varchar) AS aid, cast(1 + o_custkey % 7 as integer) AS cc from orders),
+g AS (select aid, phase, count(*) AS n_parts,
+             string_agg(cast(part_no as varchar) || ':' || value, ',' order by part_no) AS parts
+      from lt group by aid, phase)
+select g.aid, phase, cc, n_parts, n_parts >= cc AS complete, parts,
+       array_to_string(list_transform(generate_series(1, greatest(cc, 1)), lambda x: 'chunk' || cast(x as varchar)), ', ') AS chunk_list
+from g join cnt on g.aid = cnt.aid"""
+
+ORACLE["work_gates"] = r"""
+select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+                 cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
+       case when l_linestatus = 'F' then 'skip' else 'split' end AS split_action,
+       case when l_returnflag in ('A', 'R') then 'hash' else 'copy' end AS copy_route,
+       case when l_returnflag = 'R' then 'release' else 'hash' end AS hash_route
+from lineitem"""
+
+_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
+ORACLE["latest_status"] = f"""
+select cast(user_id as varchar) AS aid,
+       strftime(min(ts) filter (where event_type = 'signup'), {_FMT}) AS cdt,
+       strftime(min(ts) filter (where event_type = 'click'), {_FMT}) AS sgt,
+       strftime(min(ts) filter (where event_type = 'view'), {_FMT}) AS vdt,
+       strftime(min(ts) filter (where event_type = 'purchase'), {_FMT}) AS cpt,
+       cast(user_id * 1000 + 1 as bigint) AS sz
+from events where event_type <> 'error' group by user_id"""
+
+_STAGE_SQL = """
+select case stage when 'cdt' then 'requested' when 'sgt' then 'staged' when 'vdt' then 'validated' else 'copied' end AS stage,
+       count(*) AS n, cast(sum(sz) as bigint) AS bytes
+from (select distinct user_id, cast(user_id * 1000 + 1 as bigint) AS sz,
+             case event_type when 'signup' then 'cdt' when 'click' then 'sgt' when 'view' then 'vdt' else 'cpt' end AS stage
+      from events where event_type <> 'error') q
+group by 1"""
+ORACLE["stage_progress"] = _STAGE_SQL
+
+ORACLE["progress_metrics"] = _with_recursive(
+    f""", sp AS ({_STAGE_SQL}),
+       tot AS (select count(*) AS c, cast(sum(size) as bigint) AS v from inv_x),
+       thr AS (select cast(coalesce(sum(user_id * 1000 + 1), 0) as bigint) AS b, count(*) AS e from events where event_type = 'error'),
+       fl AS (select cast(coalesce(sum(sz), 0) as bigint) AS b, count(*) AS e from routed where route = 'failed'),
+       pts AS (
+         select 'ArchiveCountRequested' AS metric, least((select n from sp where stage = 'requested'), (select c from tot)) AS value
+         union all select 'ArchiveCountStaged', least((select n from sp where stage = 'staged'), (select c from tot))
+         union all select 'ArchiveCountValidated', least((select n from sp where stage = 'validated'), (select c from tot))
+         union all select 'ArchiveCountCompleted', least((select n from sp where stage = 'copied'), (select c from tot))
+         union all select 'BytesRequested', least((select bytes from sp where stage = 'requested'), (select v from tot))
+         union all select 'BytesStaged', least((select bytes from sp where stage = 'staged'), (select v from tot))
+         union all select 'BytesValidated', least((select bytes from sp where stage = 'validated'), (select v from tot))
+         union all select 'BytesCompleted', least((select bytes from sp where stage = 'copied'), (select v from tot))
+         union all select 'ArchiveCountTotal', (select c from tot)
+         union all select 'BytesTotal', (select v from tot)
+         union all select 'ThrottledBytes', (select b from thr)
+         union all select 'ThrottledErrorCount', (select e from thr)
+         union all select 'FailedArchivesBytes', (select b from fl)
+         union all select 'FailedArchivesErrorCount', (select e from fl))
+       select metric, cast(value as bigint) AS value from pts""", "routed", "inv_x")
+
+ORACLE["metric_timeline"] = """
+select strftime(time_bucket(interval '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       event_type AS metric, max(value) AS max_value
+from events group by 1, 2"""
+
+ORACLE["latest_metric_values"] = """
+select metric, value from (
+  select event_type AS metric, value, row_number() over (partition by event_type order by ts desc, event_id desc) AS rn
+  from events) q where rn = 1"""
+
+ORACLE["oldest_message_age"] = """
+WITH m AS (select event_type AS queue, epoch_us(ts) AS s, epoch_us(ts) + cast(round(value * 60000000) as bigint) AS d from events),
+k AS (select queue, s, unnest(generate_series(cast(ceil(s / 300000000.0) as bigint), cast(ceil(d / 300000000.0) as bigint) - 1)) AS k from m)
+select queue, k * 300000000 AS at_us, k * 300000000 - min(s) AS age_us from k group by queue, k"""
+
+ORACLE["error_log"] = f"""
+select event_id, strftime(ts, {_FMT}) AS ts, message from (
+  select event_id, ts,
+         (case when event_type = 'error' then
+               (case event_id % 4 when 0 then 'error' when 1 then 'Error' when 2 then 'ERROR' else 'eRRor' end) || ': '
+               else 'INFO ' end)
+         || event_type || ' ' || props
+         || (case when value > 45 then ' ThrottlingException' when value < 5 then ' Idle connections will be closed' else '' end) AS message
+  from events) q
+where (message like '%error%' or message like '%Error%' or message like '%ERROR%')
+  and message not like '%ThrottlingException%' and message not like '%Idle connections will be closed%'"""
+
+ORACLE["cleanup_batches"] = """
+WITH k AS (select page_id % 5 AS listing,
+                  ['results', 'partitioned', 'inventory', 'filelist', 'glue'][page_id % 5 + 1] || '/' ||
+                  regexp_replace(url, '^[a-z]+://', '') AS key from pages),
+r AS (select *, row_number() over (order by listing, key) AS rn from k)
+select cast(rn // 1000 as bigint) AS batch, count(*) AS n_keys, arg_min(key, rn) AS first_key, arg_max(key, rn) AS last_key
+from r group by 1"""
+
+ORACLE["location_split"] = """
+select page_id, loc,
+       case when strpos(loc, '/') > 0 then split_part(loc, '/', 1) end AS bucket,
+       case when strpos(loc, '/') > 0 then substr(loc, strpos(loc, '/') + 1) else loc end AS key,
+       regexp_replace(loc, '^.*/', '') AS file_name
+from (select page_id, regexp_replace(url, '^[a-z]+://', '') AS loc from pages) q"""
