@@ -269,3 +269,84 @@ def location_split(spark, sf_dir):
     parts = split_location("loc")
     return p.select("page_id", "loc", parts["bucket"].alias("bucket"), parts["key"].alias("key"),
                     parts["file_name"].alias("file_name"))
+
+
+from vaultlens.session import scratch_dir  # noqa: E402
+from vaultlens.sources import files as io  # noqa: E402
+from vaultlens.sources import ranges_io  # noqa: E402
+
+
+def _written_parts(spark, sf_dir):
+    parted = _parted(spark, sf_dir)
+    path = scratch_dir(spark, "partitioned")
+    io.write_partitioned_inventory(parted, path)
+    return io.scan_partitioned_inventory(spark, path), parted
+
+
+@job
+def partition_roundtrip(spark, sf_dir):
+    """Write the partitioned inventory, read it back, distinct request rows with their part."""
+    back, _ = _written_parts(spark, sf_dir)
+    return back.select("row_num", "archiveid", "size", "sha256treehash", "creationdate",
+                       "archivedescription", "part").distinct()
+
+
+@job
+def max_partition(spark, sf_dir):
+    return invops.max_partition(_parted(spark, sf_dir))
+
+
+@job
+def consistency_check(spark, sf_dir):
+    back, _ = _written_parts(spark, sf_dir)
+    return invops.consistency_check(B.inventory(spark, sf_dir), back)
+
+
+@job
+def csv_sources(spark, sf_dir):
+    """Inventory and override list written as CSV, read back with the source readers,
+    then enriched as the partitioning job does."""
+    inv_path, ovr_path = scratch_dir(spark, "inventory-csv"), scratch_dir(spark, "filelist-csv")
+    io.write_csv(B.inventory(spark, sf_dir), inv_path, header=True)
+    io.write_csv(B.overrides(spark, sf_dir), ovr_path, header=False)
+    inv = io.scan_inventory_csv(spark, inv_path)
+    ovr = io.scan_override_csv(spark, ovr_path)
+    return (inv.join(invops.dedup_overrides(ovr), "archiveid", "left")
+               .transform(invops.apply_override)
+               .select(*invops.INVENTORY_COLUMNS))
+
+
+@job
+def notice_parse(spark, sf_dir):
+    """Retrieval notices (queue body -> message) and the inventory notice
+    (topic envelope -> record -> message), serialised and parsed back."""
+    inv = B.inventory(spark, sf_dir)
+    msg = F.to_json(F.struct(F.lit("ArchiveRetrieval").alias("Action"), F.col("archiveid").alias("ArchiveId"),
+                             F.col("size").alias("ArchiveSizeInBytes"), F.lit(True).alias("Completed"),
+                             F.concat(F.lit("job-"), F.col("archiveid")).alias("JobId"),
+                             F.lit("Succeeded").alias("StatusCode")))
+    raw = inv.select(F.to_json(F.struct(msg.alias("Message"))).alias("raw"))
+    retr = io.parse_retrieval_notice(raw).select(
+        F.lit("retrieval").alias("shape"), F.col("ArchiveId").alias("archive_id"), F.col("JobId").alias("job_id"),
+        F.col("ArchiveSizeInBytes").alias("size"))
+    summ = invops.inventory_summary(inv)
+    imsg = F.to_json(F.struct(F.lit("InventoryRetrieval").alias("Action"), F.lit("inventory-job").alias("JobId"),
+                              F.col("vault_bytes").alias("InventorySizeInBytes")))
+    record = F.struct(F.lit("aws:sns").alias("EventSource"),
+                      F.struct(F.lit("Notification").alias("Type"), imsg.alias("Message")).alias("Sns"))
+    env = summ.select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("raw"))
+    invn = io.parse_inventory_notice(env).select(
+        F.lit("inventory").alias("shape"), F.lit(None).cast("string").alias("archive_id"), F.col("JobId").alias("job_id"),
+        F.col("InventorySizeInBytes").alias("size"))
+    return retr.unionByName(invn)
+
+
+RANGE_UNIT = 4096  # part size used for the range I/O job (small objects in test data)
+
+
+@job
+def range_io(spark, sf_dir):
+    """Documents staged as objects, then copied in ranged parts on the executors."""
+    objs = ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")).checkpoint(eager=True)
+    plan = ranges.plan_ranges(objs, "size", RANGE_UNIT)
+    return ranges_io.copy_byte_ranges(ranges_io.spread(plan), scratch_dir(spark, "parts"))

@@ -367,3 +367,30 @@ select page_id, loc,
        case when strpos(loc, '/') > 0 then substr(loc, strpos(loc, '/') + 1) else loc end AS key,
        regexp_replace(loc, '^.*/', '') AS file_name
 from (select page_id, regexp_replace(url, '^[a-z]+://', '') AS loc from pages) q"""
+
+ORACLE["partition_roundtrip"] = with_views(
+    """select distinct cast(row_num as bigint) AS row_num, archiveid, size, sha256treehash, creationdate,
+              archivedescription, cast(part as bigint) AS part from parted""", "parted")
+
+ORACLE["max_partition"] = with_views(
+    """select cast(max(part) as bigint) AS max_part,
+              '{"nextPartition":0,"maxPartition":' || cast(max(part) as varchar) || '}' AS payload from parted""", "parted")
+
+ORACLE["consistency_check"] = with_views(
+    """select count(*) AS archive_count, coalesce(cast(sum(size) as bigint), 0) AS vault_bytes,
+              count(*) AS partitioned_count, 'READY' AS state from inv_x""", "inv_x")
+
+ORACLE["csv_sources"] = with_views(
+    """select archiveid, archivedescription, creationdate, size, sha256treehash from parted""", "parted")
+
+ORACLE["notice_parse"] = with_views(
+    """select 'retrieval' AS shape, archiveid AS archive_id, 'job-' || archiveid AS job_id, size from inv_x
+       union all
+       select 'inventory', null, 'inventory-job', coalesce(cast(sum(size) as bigint), 0) from inv_x""", "inv_x")
+
+ORACLE["range_io"] = """
+WITH d AS (select cast(doc_id as varchar) AS aid, hex(encode(text)) AS hx, octet_length(encode(text)) AS n from documents),
+p AS (select aid, hx, n, unnest(generate_series(1, greatest((n + 4095) // 4096, 1))) AS g from d)
+select aid, cast(g as integer) AS part_no, cast(least(4096, n - (g - 1) * 4096) as bigint) AS nbytes,
+       '"' || md5(unhex(substr(hx, (g - 1) * 8192 + 1, 8192))) || '"' AS etag
+from p"""
