@@ -14,7 +14,7 @@ def validate_hash(computed: DataFrame, status: DataFrame, id_col: str = "aid") -
     validated: equal; retry: different and ``rc < 3`` (rc is incremented);
     failed: different after the retries are used up.
     """
-    j = status.join(computed.select(id_col, "tree_hash"), id_col, "left")
+    j = status.join(computed.select(id_col, "tree_hash"), id_col)
     match = F.coalesce(F.col("tree_hash") == F.col("sha"), F.lit(False))
     route = (F.when(match, F.lit("validated"))
               .when(F.col("rc") < MAX_HASH_RETRIES, F.lit("retry"))

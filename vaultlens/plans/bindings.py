@@ -222,13 +222,16 @@ def status_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy started when the line status is F, staged when returned (A or R),
     validated when R."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate",
+        "l_quantity")
     aid = F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"))
     ts = F.col("l_shipdate").cast("timestamp")
+    sz = F.col("l_quantity").cast("bigint") * F.lit(268435456)
     return li.select(aid.alias("aid"),
                      F.when(F.col("l_linestatus") == "F", ts).alias("psdt"),
                      F.when(F.col("l_returnflag").isin("A", "R"), ts).alias("sgt"),
-                     F.when(F.col("l_returnflag") == "R", ts).alias("vdt"))
+                     F.when(F.col("l_returnflag") == "R", ts).alias("vdt"),
+                     sz.alias("sz"), chunk_count(sz).cast("int").alias("cc"))
 
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,3 +350,104 @@ def range_io(spark, sf_dir):
     objs = ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")).checkpoint(eager=True)
     plan = ranges.plan_ranges(objs, "size", RANGE_UNIT)
     return ranges_io.copy_byte_ranges(ranges_io.spread(plan), scratch_dir(spark, "parts"))
+
+
+from pyspark.sql import types as T  # noqa: E402
+
+from vaultlens.streaming import streams  # noqa: E402
+
+
+def _as_files(df: DataFrame, spark, name: str, n_files: int = 8) -> tuple[str, T.StructType]:
+    path = scratch_dir(spark, name)
+    df.repartition(n_files).write.mode("overwrite").parquet(path)
+    return path, df.schema
+
+
+def _stream(spark, path: str, schema, per_trigger: int = 2):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+
+
+STAGE_ROWS = T.StructType([T.StructField("stage", T.StringType()), T.StructField("n", T.LongType()),
+                           T.StructField("bytes", T.LongType())])
+
+
+@job
+def stream_stage_progress(spark, sf_dir):
+    src, schema = _as_files(B.changes(spark, sf_dir), spark, "changes")
+    sink, ck = scratch_dir(spark, "stage-deltas"), scratch_dir(spark, "ck")
+    streams.stage_progress_stream(_stream(spark, src, schema), sink, ck)
+    deltas = spark.read.parquet(sink)
+    totals = progress.counter_totals(deltas)
+    return (totals.groupBy(F.col("counter").alias("stage"))
+                  .agg(F.max(F.when(F.col("pk") == "count", F.col("value"))).alias("n"),
+                       F.max(F.when(F.col("pk") == "volume", F.col("value"))).alias("bytes")))
+
+
+@job
+def stream_first_transition(spark, sf_dir):
+    """Every change record delivered twice; each (archive, stage) still counts once."""
+    ch = B.changes(spark, sf_dir)
+    src, schema = _as_files(ch.unionByName(ch), spark, "changes-replayed")
+    sink, ck = scratch_dir(spark, "first-transition"), scratch_dir(spark, "ck")
+    streams.first_transition_stream(_stream(spark, src, schema), sink, ck)
+    return spark.read.schema(STAGE_ROWS).parquet(sink)
+
+
+@job
+def stream_chunk_completion(spark, sf_dir):
+    chunks = B.chunk_results(spark, sf_dir).select("aid", "phase", "part_no")
+    src, schema = _as_files(chunks.repartition(8, "part_no"), spark, "chunk-results")
+    sink, ck = scratch_dir(spark, "completions"), scratch_dir(spark, "ck")
+    streams.chunk_completion_stream(_stream(spark, src, schema, 1), B.chunk_counts(spark, sf_dir), sink, ck)
+    return streams.read_sink(spark, sink, streams.COMPLETION_OUT).select("aid", "phase", "cc")
+
+
+@job
+def stream_metric_window(spark, sf_dir):
+    """Metric points arrive in four time-ordered appends; 10-minute watermark."""
+    pts = B.metric_points(spark, sf_dir).select("ts", "metric", "value")
+    src = scratch_dir(spark, "metric-points")
+    us = F.unix_micros("ts")
+    qs = pts.select(us.alias("u")).approxQuantile("u", [0.25, 0.5, 0.75], 0.0)
+    edges = [None, *qs, None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (us >= F.lit(int(lo)))
+        if hi is not None:
+            cond = cond & (us < F.lit(int(hi)))
+        pts.where(cond).coalesce(1).write.mode("append").parquet(src)
+    sink, ck = scratch_dir(spark, "metric-window"), scratch_dir(spark, "ck")
+    streams.metric_window_stream(_stream(spark, src, pts.schema, 1), sink, ck)
+    out = spark.read.parquet(sink).groupBy("window_start", "metric").agg(F.max("max_value").alias("max_value"))
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "metric", "max_value")
+
+
+@job
+def stream_chunk_plan(spark, sf_dir):
+    """Retrieval notices as JSON text files -> gate on copy started -> copy tasks."""
+    inv = B.inventory(spark, sf_dir)
+    msg = F.to_json(F.struct(F.lit("ArchiveRetrieval").alias("Action"), F.col("archiveid").alias("ArchiveId"),
+                             F.col("size").alias("ArchiveSizeInBytes")))
+    src = scratch_dir(spark, "notices")
+    inv.select(F.to_json(F.struct(msg.alias("Message"))).alias("value")).repartition(8).write.text(src)
+    notices = spark.readStream.option("maxFilesPerTrigger", 2).text(src).withColumnRenamed("value", "raw")
+    parse = lambda b: io.parse_retrieval_notice(b).withColumnRenamed("ArchiveId", "aid")
+    status = B.status_light(spark, sf_dir).select("aid", "psdt", "cc")
+    sink, ck = scratch_dir(spark, "chunk-messages"), scratch_dir(spark, "ck")
+    streams.chunk_plan_stream(notices, status, sink, ck, parse=parse)
+    schema = "aid string, part_no int, start_byte long, end_byte long"
+    return spark.read.text(sink).select(F.from_json("value", schema).alias("m")).select("m.*")
+
+
+@job
+def stream_hash_validation(spark, sf_dir):
+    p = B.payload(spark, sf_dir)
+    status = B.hash_status(spark, sf_dir, treehash.tree_hash(p, leaf=ORACLE_LEAF)).checkpoint(eager=True)
+    src, schema = _as_files(p.select("aid", "bytes"), spark, "payload")
+    sinks = {r: scratch_dir(spark, f"route-{r}") for r in ("validated", "retry", "failed")}
+    streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, scratch_dir(spark, "ck"), ORACLE_LEAF)
+    out_schema = "aid string, sz long, rc int, route string"
+    parts = [streams.read_sink(spark, path, T._parse_datatype_string(out_schema)).select("aid", "sz", "rc", "route")
+             for path in sinks.values()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -394,3 +394,23 @@ p AS (select aid, hx, n, unnest(generate_series(1, greatest((n + 4095) // 4096,
 select aid, cast(g as integer) AS part_no, cast(least(4096, n - (g - 1) * 4096) as bigint) AS nbytes,
        '"' || md5(unhex(substr(hx, (g - 1) * 8192 + 1, 8192))) || '"' AS etag
 from p"""
+
+ORACLE["stream_stage_progress"] = _STAGE_SQL
+ORACLE["stream_first_transition"] = _STAGE_SQL
+ORACLE["stream_chunk_completion"] = (
+    ORACLE["chunk_state"][:ORACLE["chunk_state"].index("select g.aid, phase, cc, n_parts")]
+    + "select g.aid, phase, cc from g join cnt on g.aid = cnt.aid where n_parts >= cc")
+ORACLE["stream_metric_window"] = ORACLE["metric_timeline"]
+ORACLE["stream_chunk_plan"] = f"""
+WITH s AS (select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+                            cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
+                  cast(l_quantity as bigint) * 268435456 AS sz, l_linestatus
+           from lineitem),
+c AS (select aid, sz, cast((sz + {_C4 - 1}) // {_C4} as integer) AS cc from s where l_linestatus <> 'F'),
+x AS (select aid, sz, cc, greatest(cc, 1) AS n,
+             unnest(generate_series(1, case when cc <= 1 then 1 else greatest(cc, 1) end)) AS g from c)
+select aid, case when cc <= 1 then null else cast(g as integer) end AS part_no,
+       case when cc <= 1 then null else (g - 1) * {_C4} end AS start_byte,
+       case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte
+from x"""
+ORACLE["stream_hash_validation"] = _with_recursive("select aid, sz, rc, route from routed", "routed")
