@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultlens.functions.text import normalise_name, suffix_name
+from vaultlens.constants import UNDEFINED_PREFIX
+from vaultlens.functions.text import js_trim, parse_description, suffix_name
 from vaultlens.session import ensure_checkpoint_dir
 
 
 def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "archivedescription",
                   out: str = "fname") -> DataFrame:
-    """Add the normalised name parsed from each description (native expressions only)."""
-    return df.withColumn(out, normalise_name(id_col, desc_col))
+    """Add the normalised name parsed from each description (native expressions only).
+
+    Same steps as :func:`vaultlens.functions.text.normalise_name`, staged as
+    columns: the trimmed text is referenced by every parse branch, and
+    subexpression elimination does not reach into conditional branches.
+    """
+    staged = (df.withColumn("_vl_d", js_trim(F.coalesce(F.col(desc_col), F.lit(""))))
+                .withColumn("_vl_p", js_trim(F.coalesce(parse_description(F.col("_vl_d")), F.lit("")))))
+    named = F.when(F.col("_vl_p") == "", F.concat(F.lit(UNDEFINED_PREFIX), F.col(id_col))).otherwise(F.col("_vl_p"))
+    return staged.withColumn(out, F.translate(named, "\\", "/")).drop("_vl_d", "_vl_p")
 
 
 def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_num",
@@ -37,30 +46,35 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
     ensure_checkpoint_dir(spark)
     rows = df.withColumn("_vl_base", F.col(name_col)).withColumn("_vl_ord", F.col(order_col))
     firsts = rows.groupBy("_vl_base").agg(F.min("_vl_ord").alias("_vl_ord"))
+    # Materialised once: the suffix sets, the rounds and the output all read it.
     flagged = (rows.join(firsts.withColumn("_vl_first", F.lit(True)), ["_vl_base", "_vl_ord"], "left")
-                   .withColumn("_vl_first", F.coalesce(F.col("_vl_first"), F.lit(False))))
+                   .withColumn("_vl_first", F.coalesce(F.col("_vl_first"), F.lit(False)))
+                   .checkpoint(eager=True))
     suffixed_later = (flagged.where(~F.col("_vl_first"))
                              .select(suffix_name("_vl_base", date_col).alias("_vl_name"), "_vl_ord")
-                             .groupBy("_vl_name").agg(F.min("_vl_ord").alias("_vl_sord"))
-                             .checkpoint(eager=True))
+                             .groupBy("_vl_name").agg(F.min("_vl_ord").alias("_vl_sord")))
     first_rows = (flagged.where(F.col("_vl_first"))
-                         .select("_vl_base", "_vl_ord", suffix_name("_vl_base", date_col).alias("_vl_sname"))
-                         .checkpoint(eager=True))
+                         .select("_vl_base", "_vl_ord", suffix_name("_vl_base", date_col).alias("_vl_sname")))
     if recorded is not None:
         rec = recorded.select(F.col(name_col).alias("_vl_base")).distinct()
-        hit = first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base")
+        hit = first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base").checkpoint(eager=True)
+        n_prev = hit.count()
     else:
-        hit = first_rows.limit(0).select("_vl_base")
-    chosen = hit.checkpoint(eager=True)
-    n_prev = chosen.count()
+        hit, n_prev = None, 0
+    chosen = hit
     while True:
-        extra = (first_rows.join(chosen, "_vl_base", "left_semi")
-                           .select(F.col("_vl_sname").alias("_vl_name"), F.col("_vl_ord").alias("_vl_sord")))
-        names = suffixed_later.unionByName(extra).groupBy("_vl_name").agg(F.min("_vl_sord").alias("_vl_sord"))
+        names = suffixed_later
+        if chosen is not None:
+            extra = (first_rows.join(chosen, "_vl_base", "left_semi")
+                               .select(F.col("_vl_sname").alias("_vl_name"), F.col("_vl_ord").alias("_vl_sord")))
+            names = names.unionByName(extra).groupBy("_vl_name").agg(F.min("_vl_sord").alias("_vl_sord"))
+        # One row per name on each side: a one-to-one join, whatever the skew.
         by_earlier = (first_rows.join(names, first_rows["_vl_base"] == names["_vl_name"])
                                 .where(F.col("_vl_sord") < F.col("_vl_ord"))
                                 .select("_vl_base"))
-        nxt = hit.unionByName(by_earlier).distinct().checkpoint(eager=True)
+        nxt = by_earlier if hit is None else hit.unionByName(by_earlier)
+        # Small: one row per first row that must be suffixed (usually none).
+        nxt = nxt.distinct().checkpoint(eager=True)
         n = nxt.count()
         chosen = nxt
         if n == n_prev:
