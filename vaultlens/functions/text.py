@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vaultlens.constants import JS_WHITESPACE, UNDEFINED_PREFIX
+from vaultlens.constants import JS_WHITESPACE, JS_WHITESPACE_CHARS, UNDEFINED_PREFIX
 
 
 def _c(x) -> Column:
@@ -14,7 +14,7 @@ def _c(x) -> Column:
 
 def js_trim(c) -> Column:
     """Trim every kind of whitespace (Spark's ``trim`` removes spaces only)."""
-    return F.regexp_replace(_c(c), f"^[{JS_WHITESPACE}]+|[{JS_WHITESPACE}]+$", "")
+    return F.btrim(_c(c), F.lit(JS_WHITESPACE_CHARS))
 
 
 def has_text(c) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultlens.constants import UNDEFINED_PREFIX
 from vaultlens.functions.text import js_trim, parse_description, suffix_name
-from vaultlens.session import ensure_checkpoint_dir
+from vaultlens.session import ensure_checkpoint_dir, materialize  # noqa: F401
 
 
 def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "archivedescription",
@@ -44,12 +44,11 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    rows = df.withColumn("_vl_base", F.col(name_col)).withColumn("_vl_ord", F.col(order_col))
+    # Written once: the first-per-name aggregate and the join back both read it.
+    rows = materialize(df.withColumn("_vl_base", F.col(name_col)).withColumn("_vl_ord", F.col(order_col)), "named")
     firsts = rows.groupBy("_vl_base").agg(F.min("_vl_ord").alias("_vl_ord"))
-    # Materialised once: the suffix sets, the rounds and the output all read it.
     flagged = (rows.join(firsts.withColumn("_vl_first", F.lit(True)), ["_vl_base", "_vl_ord"], "left")
-                   .withColumn("_vl_first", F.coalesce(F.col("_vl_first"), F.lit(False)))
-                   .checkpoint(eager=True))
+                   .withColumn("_vl_first", F.coalesce(F.col("_vl_first"), F.lit(False))))
     suffixed_later = (flagged.where(~F.col("_vl_first"))
                              .select(suffix_name("_vl_base", date_col).alias("_vl_name"), "_vl_ord")
                              .groupBy("_vl_name").agg(F.min("_vl_ord").alias("_vl_sord")))
@@ -57,7 +56,7 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
                          .select("_vl_base", "_vl_ord", suffix_name("_vl_base", date_col).alias("_vl_sname")))
     if recorded is not None:
         rec = recorded.select(F.col(name_col).alias("_vl_base")).distinct()
-        hit = first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base").checkpoint(eager=True)
+        hit = materialize(first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base"), "names-hit")
         n_prev = hit.count()
     else:
         hit, n_prev = None, 0
@@ -74,7 +73,7 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
                                 .select("_vl_base"))
         nxt = by_earlier if hit is None else hit.unionByName(by_earlier)
         # Small: one row per first row that must be suffixed (usually none).
-        nxt = nxt.distinct().checkpoint(eager=True)
+        nxt = materialize(nxt.distinct(), "names-round")
         n = nxt.count()
         chosen = nxt
         if n == n_prev:

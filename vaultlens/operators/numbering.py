@@ -9,9 +9,9 @@ the partition count we choose, not by the data.
 
 The range bounds come from a sample seeded by the RDD id, so two evaluations
 of the same range exchange may cut different ranges. The positioned rows are
-therefore checkpointed once (reliable checkpoint in the shared
-``spark.checkpoint.dir``) and both the counts and the numbering read that copy.
-This also cuts the lineage, so a lost executor never recomputes the sort.
+therefore written once as a Parquet table in the shared ``spark.checkpoint.dir``
+folder, and both the counts and the numbering read that copy. This also cuts
+the lineage, so a lost executor never recomputes the sort.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultlens.session import ensure_checkpoint_dir
+from vaultlens.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -43,11 +43,9 @@ def global_row_number(df: DataFrame, order_cols, out: str = "row_num",
     keys = _order_exprs(order_cols)
     # An explicit partition count keeps AQE from re-coalescing this exchange,
     # so the partition index seen below is the range index in every branch.
-    ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_vl_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(n, *keys)
+                           .sortWithinPartitions(*keys)
+                           .withColumn("_vl_mid", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(F.col("_vl_mid"), _POS_BITS)
     pos = F.col("_vl_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     counts = (ranged.select(part.alias("_vl_p"), pos.alias("_vl_pos"))

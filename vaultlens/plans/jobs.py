@@ -271,7 +271,7 @@ def location_split(spark, sf_dir):
                     parts["file_name"].alias("file_name"))
 
 
-from vaultlens.session import scratch_dir  # noqa: E402
+from vaultlens.session import materialize, scratch_dir  # noqa: E402
 from vaultlens.sources import files as io  # noqa: E402
 from vaultlens.sources import ranges_io  # noqa: E402
 
@@ -347,7 +347,8 @@ RANGE_UNIT = 4096  # part size used for the range I/O job (small objects in test
 @job
 def range_io(spark, sf_dir):
     """Documents staged as objects, then copied in ranged parts on the executors."""
-    objs = ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")).checkpoint(eager=True)
+    # The manifest is written once, so later stages never re-run the object writes.
+    objs = materialize(ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")), "manifest")
     plan = ranges.plan_ranges(objs, "size", RANGE_UNIT)
     return ranges_io.copy_byte_ranges(ranges_io.spread(plan), scratch_dir(spark, "parts"))
 
@@ -443,7 +444,7 @@ def stream_chunk_plan(spark, sf_dir):
 @job
 def stream_hash_validation(spark, sf_dir):
     p = B.payload(spark, sf_dir)
-    status = B.hash_status(spark, sf_dir, treehash.tree_hash(p, leaf=ORACLE_LEAF)).checkpoint(eager=True)
+    status = materialize(B.hash_status(spark, sf_dir, treehash.tree_hash(p, leaf=ORACLE_LEAF)), "hash-status")
     src, schema = _as_files(p.select("aid", "bytes"), spark, "payload")
     sinks = {r: scratch_dir(spark, f"route-{r}") for r in ("validated", "retry", "failed")}
     streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, scratch_dir(spark, "ck"), ORACLE_LEAF)

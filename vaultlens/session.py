@@ -70,3 +70,13 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path) if path else path
+
+
+def materialize(df, name: str):
+    """Cut the lineage: write ``df`` as Parquet under the shared checkpoint folder and
+    read it back. Later stages (and retries after a lost executor) read the files
+    instead of recomputing the plan."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
