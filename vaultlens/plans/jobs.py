@@ -452,3 +452,49 @@ def stream_hash_validation(spark, sf_dir):
     parts = [streams.read_sink(spark, path, T._parse_datatype_string(out_schema)).select("aid", "sz", "rc", "route")
              for path in sinks.values()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@job
+def stream_status_upsert(spark, sf_dir):
+    src, schema = _as_files(B.changes(spark, sf_dir), spark, "changes-upsert")
+    sink, ck = scratch_dir(spark, "status-log"), scratch_dir(spark, "ck")
+    streams.status_upsert_stream(_stream(spark, src, schema), sink, ck)
+    st = lifecycle.latest_state(spark.read.parquet(sink), "aid", "seq", ["cdt", "sgt", "vdt", "cpt", "sz"])
+    return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
+
+
+@job
+def staged_tree_hash(spark, sf_dir):
+    """Objects staged as files, hash tasks planned per chunk, leaves read by range
+    on the executors, then chunk and archive tree hashes (4 leaves per chunk)."""
+    objs = materialize(ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")), "manifest")
+    plan = ranges.plan_ranges(objs.withColumnRenamed("size", "sz"), "sz", 4 * ORACLE_LEAF)
+    leaves = ranges_io.scan_byte_ranges(ranges_io.spread(plan), leaf=ORACLE_LEAF)
+    chunks = treehash.chunk_tree_hash(leaves.drop("part_no"), leaves_per_chunk=4)
+    return treehash.multipart_tree_hash(chunks).select("aid", "tree_hash")
+
+
+@job
+def results_csv(spark, sf_dir):
+    """Request rows written as a result CSV and read back with typed columns."""
+    parted = _parted(spark, sf_dir)
+    rows = parted.select("row_num", "archiveid", "size", "sha256treehash", "creationdate",
+                         "archivedescription").distinct()
+    path = scratch_dir(spark, "results")
+    io.write_results_csv(rows, path)
+    return io.scan_results_csv(spark, path)
+
+
+@job
+def object_listing(spark, sf_dir):
+    """Documents staged under two prefixes, listed with binaryFile (no content read),
+    appended in prefix order and cut into delete batches."""
+    base = scratch_dir(spark, "bucket")
+    p = B.payload(spark, sf_dir)
+    half = F.col("aid").cast("bigint") % 2
+    for i, prefix in enumerate(("results", "inventory")):
+        materialize(ranges_io.stage_objects(p.where(half == i), f"{base}/{prefix}"), f"manifest-{prefix}")
+    listed = io.list_objects(spark, base, ["results", "inventory"])
+    b = batch_number(listed, ["listing", "path"], 1000)
+    return b.groupBy("listing", "batch").agg(F.count(F.lit(1)).alias("n_keys"),
+                                             F.sum("length").cast("bigint").alias("bytes"))

@@ -414,3 +414,15 @@ select aid, case when cc <= 1 then null else cast(g as integer) end AS part_no,
        case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte
 from x"""
 ORACLE["stream_hash_validation"] = _with_recursive("select aid, sz, rc, route from routed", "routed")
+
+ORACLE["stream_status_upsert"] = ORACLE["latest_status"]
+ORACLE["staged_tree_hash"] = ORACLE["tree_hash"]
+ORACLE["results_csv"] = with_views(
+    """select distinct cast(row_num as bigint) AS row_num, archiveid, size, sha256treehash, creationdate,
+              archivedescription from parted""", "parted")
+ORACLE["object_listing"] = """
+WITH d AS (select doc_id % 2 AS listing, cast(doc_id as varchar) AS k, octet_length(encode(text)) AS n from documents),
+r AS (select listing, n, row_number() over (order by listing, k) AS rn from d)
+select cast(listing as integer) AS listing, cast(rn // 1000 as bigint) AS batch, count(*) AS n_keys,
+       cast(sum(n) as bigint) AS bytes
+from r group by 1, 2"""
