@@ -227,11 +227,15 @@ def status_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     aid = F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"))
     ts = F.col("l_shipdate").cast("timestamp")
     sz = F.col("l_quantity").cast("bigint") * F.lit(268435456)
-    return li.select(aid.alias("aid"),
-                     F.when(F.col("l_linestatus") == "F", ts).alias("psdt"),
-                     F.when(F.col("l_returnflag").isin("A", "R"), ts).alias("sgt"),
-                     F.when(F.col("l_returnflag") == "R", ts).alias("vdt"),
-                     sz.alias("sz"), chunk_count(sz).cast("int").alias("cc"))
+    puts = li.select(aid.alias("aid"),
+                     F.struct(ts.alias("ts"), F.col("l_quantity").alias("q")).alias("_vl_seq"),
+                     F.struct(F.when(F.col("l_linestatus") == "F", ts).alias("psdt"),
+                              F.when(F.col("l_returnflag").isin("A", "R"), ts).alias("sgt"),
+                              F.when(F.col("l_returnflag") == "R", ts).alias("vdt"),
+                              sz.alias("sz"), chunk_count(sz).cast("int").alias("cc")).alias("_vl_rec"))
+    # A key-value table: a later put of the same key replaces the earlier one.
+    return (puts.groupBy("aid").agg(F.max_by("_vl_rec", "_vl_seq").alias("_vl_rec"))
+                .select("aid", "_vl_rec.*"))
 
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -426,17 +426,19 @@ def stream_metric_window(spark, sf_dir):
 
 @job
 def stream_chunk_plan(spark, sf_dir):
-    """Retrieval notices as JSON text files -> gate on copy started -> copy tasks."""
-    inv = B.inventory(spark, sf_dir)
-    msg = F.to_json(F.struct(F.lit("ArchiveRetrieval").alias("Action"), F.col("archiveid").alias("ArchiveId"),
-                             F.col("size").alias("ArchiveSizeInBytes")))
+    """Retrieval notices as JSON text files (each delivered twice) -> gate on copy
+    started -> copy tasks, each planned once."""
+    st = B.status_light(spark, sf_dir)
+    msg = F.to_json(F.struct(F.lit("ArchiveRetrieval").alias("Action"), F.col("aid").alias("ArchiveId"),
+                             F.col("sz").alias("ArchiveSizeInBytes")))
     src = scratch_dir(spark, "notices")
-    inv.select(F.to_json(F.struct(msg.alias("Message"))).alias("value")).repartition(8).write.text(src)
+    once = st.select(F.to_json(F.struct(msg.alias("Message"))).alias("value"))
+    once.unionByName(once).repartition(8).write.text(src)
     notices = spark.readStream.option("maxFilesPerTrigger", 2).text(src).withColumnRenamed("value", "raw")
     parse = lambda b: io.parse_retrieval_notice(b).withColumnRenamed("ArchiveId", "aid")
     status = B.status_light(spark, sf_dir).select("aid", "psdt", "cc")
-    sink, ck = scratch_dir(spark, "chunk-messages"), scratch_dir(spark, "ck")
-    streams.chunk_plan_stream(notices, status, sink, ck, parse=parse)
+    sink, ck, started = scratch_dir(spark, "chunk-messages"), scratch_dir(spark, "ck"), scratch_dir(spark, "started")
+    streams.chunk_plan_stream(notices, status, sink, started, ck, parse=parse)
     schema = "aid string, part_no int, start_byte long, end_byte long"
     return spark.read.text(sink).select(F.from_json("value", schema).alias("m")).select("m.*")
 

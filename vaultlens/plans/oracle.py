@@ -277,13 +277,24 @@ select g.aid, phase, cc, n_parts, n_parts >= cc AS complete, parts,
        array_to_string(list_transform(generate_series(1, greatest(cc, 1)), lambda x: 'chunk' || cast(x as varchar)), ', ') AS chunk_list
 from g join cnt on g.aid = cnt.aid"""
 
-ORACLE["work_gates"] = r"""
-select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
-                 cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
-       case when l_linestatus = 'F' then 'skip' else 'split' end AS split_action,
-       case when l_returnflag in ('A', 'R') then 'hash' else 'copy' end AS copy_route,
-       case when l_returnflag = 'R' then 'release' else 'hash' end AS hash_route
-from lineitem"""
+VIEWS["status_l"] = r"""
+status_l AS (
+  select aid, l_linestatus, l_returnflag, sz from (
+    select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+                     cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
+           l_linestatus, l_returnflag, cast(l_quantity as bigint) * 268435456 AS sz,
+           row_number() over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey
+                              order by l_shipdate desc, l_quantity desc) AS rn
+    from lineitem) q where rn = 1
+)"""
+_DEPS["status_l"] = []
+
+ORACLE["work_gates"] = with_views(r"""
+select i.archiveid AS aid,
+       case when s.l_linestatus = 'F' then 'skip' else 'split' end AS split_action,
+       case when s.l_returnflag in ('A', 'R') then 'hash' else 'copy' end AS copy_route,
+       case when s.l_returnflag = 'R' then 'release' else 'hash' end AS hash_route
+from inv_x i join status_l s on i.archiveid = s.aid""", "inv_x", "status_l")
 
 _FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 ORACLE["latest_status"] = f"""
@@ -401,18 +412,15 @@ ORACLE["stream_chunk_completion"] = (
     ORACLE["chunk_state"][:ORACLE["chunk_state"].index("select g.aid, phase, cc, n_parts")]
     + "select g.aid, phase, cc from g join cnt on g.aid = cnt.aid where n_parts >= cc")
 ORACLE["stream_metric_window"] = ORACLE["metric_timeline"]
-ORACLE["stream_chunk_plan"] = f"""
-WITH s AS (select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
-                            cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
-                  cast(l_quantity as bigint) * 268435456 AS sz, l_linestatus
-           from lineitem),
+ORACLE["stream_chunk_plan"] = with_views(f"""
+, s AS (select * from status_l),
 c AS (select aid, sz, cast((sz + {_C4 - 1}) // {_C4} as integer) AS cc from s where l_linestatus <> 'F'),
 x AS (select aid, sz, cc, greatest(cc, 1) AS n,
              unnest(generate_series(1, case when cc <= 1 then 1 else greatest(cc, 1) end)) AS g from c)
 select aid, case when cc <= 1 then null else cast(g as integer) end AS part_no,
        case when cc <= 1 then null else (g - 1) * {_C4} end AS start_byte,
        case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte
-from x"""
+from x""", "status_l")
 ORACLE["stream_hash_validation"] = _with_recursive("select aid, sz, rc, route from routed", "routed")
 
 ORACLE["stream_status_upsert"] = ORACLE["latest_status"]
