@@ -72,3 +72,11 @@ def test_written_table_prunes_on_part(spark):
     rows = one.collect()
     assert len(rows) == want and [r.row_num for r in rows] == sorted(r.row_num for r in rows)
     assert "BatchEvalPython" not in plan
+
+
+def test_int_parse_and_iso(spark):
+    from vaultlens.functions.sizing import int_parse, iso_timestamp
+    df = spark.createDataFrame([("12",), ("x",), (None,)], "t string")
+    assert [r.v for r in df.select(int_parse("t").alias("v")).collect()] == [12, None, None]
+    r = spark.sql("select timestamp'2020-08-23 10:18:22' as ts").select(iso_timestamp("ts").alias("s")).first()
+    assert r.s == "2020-08-23T10:18:22+00:00"

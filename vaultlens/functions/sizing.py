@@ -55,3 +55,13 @@ def consistency_state(inventory_count, partitioned_count) -> Column:
              .when((F.coalesce(part, F.lit(0)) != 0) & (part != inv), F.lit("FAIL"))
              .when(part == inv, F.lit("READY"))
              .otherwise(F.lit("PARTITION")))
+
+
+def int_parse(text) -> Column:
+    """Text -> bigint; NULL when it is not a number (never fails the job)."""
+    return _c(text).try_cast("bigint")
+
+
+def iso_timestamp(ts) -> Column:
+    """Timestamp -> ISO-8601 text with a numeric offset (``2020-08-23T10:18:22+00:00``)."""
+    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ssxxx")

@@ -40,7 +40,7 @@ def partition_plan(spark, sf_dir):
 from vaultlens.functions.sizing import chunk_count, request_wait_seconds  # noqa: E402
 from vaultlens.operators import naming  # noqa: E402
 
-FIXED_CDT = "2024-01-01T00:00:00+00:00"  # request time stamped on status rows in batch runs
+FIXED_CDT = "2024-01-01 00:00:00"  # request time stamped on status rows in batch runs (UTC)
 
 
 def _named(spark, sf_dir):
@@ -59,12 +59,17 @@ def unique_names(spark, sf_dir):
 
 
 def status_rows(named: DataFrame, cdt: str = FIXED_CDT) -> DataFrame:
-    """Inventory row -> status record (request time as ISO-8601 text)."""
+    """Inventory row -> status record (request time as ISO-8601 text).
+
+    ``cdt=None`` stamps the current time.
+    """
+    from vaultlens.functions.sizing import iso_timestamp
+    when = F.current_timestamp() if cdt is None else F.lit(cdt).cast("timestamp")
     return named.select(
         F.col("archiveid").alias("aid"), F.col("row_num").alias("ifn"), F.col("part").alias("pid"),
         F.col("sha256treehash").alias("sha"), F.col("size").alias("sz"),
         F.col("archivedescription").alias("descr"), "fname",
-        chunk_count("size").cast("int").alias("cc"), F.lit(0).alias("rc"), F.lit(cdt).alias("cdt"))
+        chunk_count("size").cast("int").alias("cc"), F.lit(0).alias("rc"), iso_timestamp(when).alias("cdt"))
 
 
 @job
