@@ -56,29 +56,38 @@ def number_inventory(inv: DataFrame, num_partitions: int | None = None) -> DataF
     return global_row_number(inv, ["creationdate", "archiveid"], out="row_num", num_partitions=num_partitions)
 
 
+def enrich_inventory(inv: DataFrame, ovr: DataFrame | None = None) -> DataFrame:
+    """Left-join the de-duplicated override list and apply it (flag ``overridden``).
+
+    AQE picks broadcast or sort-merge from the measured size of the list; the
+    archive key is unique on both sides, so no key is hot.
+    """
+    if ovr is not None:
+        df = inv.join(dedup_overrides(ovr), "archiveid", "left")
+    else:
+        df = inv.withColumn("override", F.lit(None).cast("string"))
+    return df.withColumn("overridden", has_text("override")).transform(apply_override)
+
+
 def partition_inventory(inv: DataFrame, ovr: DataFrame | None = None, quota: int = DAILY_QUOTA_BYTES,
-                        num_partitions: int | None = None) -> DataFrame:
+                        num_partitions: int | None = None, prepare=None) -> DataFrame:
     """Number, enrich and assign each archive its request partition.
 
     part = row_num div partition_size, where the partition size comes from the
     one-row summary (count, bytes) as a column expression: no driver round trip.
-    The summary is a single row, so its broadcast is bounded.
+    The summary is a single row, so its broadcast is bounded. Numbering runs
+    first on the plain inventory: the range exchange samples its input in a
+    separate pass, so anything placed before it (joins, parsing) would run twice.
+    Enrichment and an optional per-row ``prepare`` step follow the numbering.
     """
     size = inventory_summary(inv).select(
         partition_size("archive_count", "vault_bytes", quota).alias("_vl_psize"))
-    numbered = number_inventory(inv, num_partitions)
-    if ovr is not None:
-        # Left join on the archive key; AQE picks broadcast or sort-merge from the
-        # measured size of the de-duplicated list.
-        numbered = numbered.join(dedup_overrides(ovr), "archiveid", "left")
-    else:
-        numbered = numbered.withColumn("override", F.lit(None).cast("string"))
-    out = (numbered.crossJoin(F.broadcast(size))
-                   .withColumn("overridden", has_text("override"))
-                   .transform(apply_override)
-                   .withColumn("part", idiv("row_num", F.col("_vl_psize")))
-                   .drop("_vl_psize"))
-    return out
+    numbered = enrich_inventory(number_inventory(inv, num_partitions), ovr)
+    if prepare is not None:
+        numbered = prepare(numbered)
+    return (numbered.crossJoin(F.broadcast(size))
+                    .withColumn("part", idiv("row_num", F.col("_vl_psize")))
+                    .drop("_vl_psize"))
 
 
 def partition_stats(parted: DataFrame) -> DataFrame:

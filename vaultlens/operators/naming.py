@@ -26,7 +26,7 @@ def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "arc
 
 def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_num",
                  date_col: str = "creationdate", recorded: DataFrame | None = None,
-                 out: str = "fname") -> DataFrame:
+                 out: str = "fname", materialize_input: bool = True) -> DataFrame:
     """Give every archive a name not used before it in ``order_col`` order.
 
     Sequentially: a name already assigned (earlier in this run, or ``recorded``)
@@ -44,8 +44,11 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    # Written once: the first-per-name aggregate and the join back both read it.
-    rows = materialize(df.withColumn("_vl_base", F.col(name_col)).withColumn("_vl_ord", F.col(order_col)), "named")
+    # The first-per-name aggregate and the join back both read the rows: write them
+    # once, unless the input is already cheap to re-read (e.g. a materialised table).
+    rows = df.withColumn("_vl_base", F.col(name_col)).withColumn("_vl_ord", F.col(order_col))
+    if materialize_input:
+        rows = materialize(rows, "named")
     firsts = rows.groupBy("_vl_base").agg(F.min("_vl_ord").alias("_vl_ord"))
     flagged = (rows.join(firsts.withColumn("_vl_first", F.lit(True)), ["_vl_base", "_vl_ord"], "left")
                    .withColumn("_vl_first", F.coalesce(F.col("_vl_first"), F.lit(False))))

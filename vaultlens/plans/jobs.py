@@ -45,8 +45,9 @@ FIXED_CDT = "2024-01-01 00:00:00"  # request time stamped on status rows in batc
 
 
 def _named(spark, sf_dir):
-    parted = _parted(spark, sf_dir)
-    return naming.unique_names(naming.resolve_names(parted))
+    parted = invops.partition_inventory(B.inventory(spark, sf_dir), B.overrides(spark, sf_dir),
+                                        prepare=naming.resolve_names)
+    return naming.unique_names(parted)
 
 
 @job
