@@ -24,8 +24,11 @@ def partitioned_count(parted: DataFrame) -> DataFrame:
 
 
 def consistency_check(inv: DataFrame, parted: DataFrame) -> DataFrame:
-    """Both one-row summaries side by side and the next step to take."""
-    s = inventory_summary(inv).crossJoin(partitioned_count(parted))
+    """Both one-row summaries side by side and the next step to take.
+
+    The partitioned count enters as a scalar subquery: one value, no join.
+    """
+    s = inventory_summary(inv).withColumn("partitioned_count", partitioned_count(parted).scalar())
     return s.withColumn("state", consistency_state("archive_count", "partitioned_count"))
 
 
@@ -73,21 +76,18 @@ def partition_inventory(inv: DataFrame, ovr: DataFrame | None = None, quota: int
                         num_partitions: int | None = None, prepare=None) -> DataFrame:
     """Number, enrich and assign each archive its request partition.
 
-    part = row_num div partition_size, where the partition size comes from the
-    one-row summary (count, bytes) as a column expression: no driver round trip.
-    The summary is a single row, so its broadcast is bounded. Numbering runs
+    part = row_num div partition_size, where the partition size is a scalar
+    subquery over the one-row summary (count, bytes): one value, no join and no
+    driver round trip in user code. Numbering runs
     first on the plain inventory: the range exchange samples its input in a
     separate pass, so anything placed before it (joins, parsing) would run twice.
     Enrichment and an optional per-row ``prepare`` step follow the numbering.
     """
-    size = inventory_summary(inv).select(
-        partition_size("archive_count", "vault_bytes", quota).alias("_vl_psize"))
+    psize = inventory_summary(inv).select(partition_size("archive_count", "vault_bytes", quota)).scalar()
     numbered = enrich_inventory(number_inventory(inv, num_partitions), ovr)
     if prepare is not None:
         numbered = prepare(numbered)
-    return (numbered.crossJoin(F.broadcast(size))
-                    .withColumn("part", idiv("row_num", F.col("_vl_psize")))
-                    .drop("_vl_psize"))
+    return numbered.withColumn("part", idiv("row_num", psize))
 
 
 def partition_stats(parted: DataFrame) -> DataFrame:

@@ -129,7 +129,8 @@ def part_plan_2gib(spark, sf_dir):
 def release_plan(spark, sf_dir):
     """Validated objects -> release tasks, skipping keys already at the destination;
     each task carries the encoded copy source and whether the staged copy exists."""
-    status = status_rows(_named(spark, sf_dir)).select("aid", "fname", "sz", "cc")
+    # The status table is read by the plan and by both listings: written once.
+    status = materialize(status_rows(_named(spark, sf_dir)).select("aid", "fname", "sz", "cc"), "status")
     dest, staged = B.destination_listing(spark, sf_dir, status)
     plan = ranges.plan_release_chunks(status, dest)
     flagged = plan.join(staged.select(F.col("key").alias("fname"), F.lit(True).alias("staged")), "fname", "left")
