@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultlens.constants import (ERROR_NOISE, ERROR_SPELLINGS, METRIC_BYTES_NAMES, METRIC_COUNT_NAMES,
-                                 METRIC_WINDOW, STAGE_FIELDS)
+                                 METRIC_UNIT, METRIC_WINDOW, STAGE_FIELDS)
 
 
 def drop_removals(changes: DataFrame) -> DataFrame:
@@ -131,3 +131,18 @@ def error_log(logs: DataFrame) -> DataFrame:
     hit = reduce(lambda a, b: a | b, [F.col("message").contains(s) for s in ERROR_SPELLINGS])
     noise = reduce(lambda a, b: a | b, [F.col("message").contains(s) for s in ERROR_NOISE])
     return logs.where(hit & ~noise).orderBy(F.col("ts").desc())
+
+
+def metric_point_rows(points: DataFrame, dimension: str, ts=None) -> DataFrame:
+    """(metric, value) -> published rows ``ts, metric, dimension, unit, value``."""
+    when = F.current_timestamp() if ts is None else (F.lit(ts).cast("timestamp") if isinstance(ts, str) else ts)
+    return points.select(when.alias("ts"), "metric", F.lit(dimension).alias("dimension"),
+                         F.lit(METRIC_UNIT).alias("unit"), F.col("value").cast("bigint").alias("value"))
+
+
+def append_metric_points(points: DataFrame, path: str, dimension: str, ts=None) -> bool:
+    """Append the points to the metric table; nothing is written when there are none."""
+    if points.isEmpty():
+        return False
+    metric_point_rows(points, dimension, ts).write.mode("append").parquet(path)
+    return True

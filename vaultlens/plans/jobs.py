@@ -230,9 +230,16 @@ def _counters(spark, sf_dir):
     return progress.counter_totals(allrows.withColumn("value", F.col("value").cast("bigint")))
 
 
+METRIC_DIMENSION = "vaultlens"
+
+
 @job
 def progress_metrics(spark, sf_dir):
-    return progress.progress_points(_counters(spark, sf_dir))
+    """Counter table -> metric points, published to the metric table and read back."""
+    points = progress.progress_points(_counters(spark, sf_dir))
+    path = scratch_dir(spark, "metric-points")
+    progress.append_metric_points(points, path, METRIC_DIMENSION)
+    return spark.read.parquet(path).select("metric", "value")
 
 
 @job
