@@ -50,9 +50,15 @@ def _level(arr: Column) -> Column:
 
 
 def combine_array(df: DataFrame, arr_col: str, levels: int, out: str) -> DataFrame:
-    """Reduce an ordered digest array to its tree hash with ``levels`` unrolled levels."""
+    """Reduce an ordered digest array to its tree hash with ``levels`` unrolled levels.
+
+    An array longer than ``2**levels`` would not reduce to one digest; it fails
+    the job instead of returning a wrong hash.
+    """
     tmp = "_vl_lvl"
-    df = df.withColumn(tmp, F.col(arr_col))
+    too_long = F.size(F.col(arr_col)) > F.lit(2 ** levels)
+    df = df.withColumn(tmp, F.when(too_long, F.raise_error(F.lit(f"tree hash: more than 2^{levels} nodes")))
+                              .otherwise(F.col(arr_col)))
     for _ in range(levels):
         df = df.withColumn(tmp, F.when(F.size(tmp) > 1, _level(F.col(tmp))).otherwise(F.col(tmp)))
     return df.withColumn(out, F.get(F.col(tmp), 0)).drop(tmp)
