@@ -29,8 +29,12 @@ def retry_requests(routed: DataFrame, id_col: str = "aid", clear_started: bool =
     the split step would skip the retry; ``clear_started=False`` keeps that.
     """
     r = routed.where(F.col("route") == "retry")
-    msg = F.to_json(F.struct(F.lit("RetryRequest").alias("Action"), F.col(id_col).alias("ArchiveId"),
-                             F.col("sz").cast("bigint").alias("ArchiveSizeInBytes")))
+    job = F.col("jobId") if "jobId" in routed.columns else F.lit(None).cast("string")
+    inner = F.to_json(F.struct(F.lit("RetryRequest").alias("Action"), job.alias("JobId"),
+                               F.col(id_col).alias("ArchiveId"),
+                               F.col("sz").cast("bigint").alias("ArchiveSizeInBytes")))
+    # Same envelope as an original retrieval notice: {"Message": "<json text>"}.
+    msg = F.to_json(F.struct(inner.alias("Message")))
     out = r.select(id_col, (F.col("rc") + 1).alias("rc"), F.lit(None).cast("timestamp").alias("sgt"),
                    msg.alias("message"))
     if clear_started:

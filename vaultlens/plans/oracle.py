@@ -251,7 +251,8 @@ _DEPS["routed"] = ["th"]
 ORACLE["hash_validation"] = _with_recursive(
     """select aid, sz, rc, route,
               case when route = 'retry' then rc + 1 end AS next_rc,
-              case when route = 'retry' then '{"Action":"RetryRequest","ArchiveId":"' || aid || '","ArchiveSizeInBytes":' || cast(sz as varchar) || '}' end AS message
+              case when route = 'retry' then '{"Message":"{\\"Action\\":\\"RetryRequest\\",\\"ArchiveId\\":\\"' || aid
+                   || '\\",\\"ArchiveSizeInBytes\\":' || cast(sz as varchar) || '}"}' end AS message
        from routed""", "routed")
 
 ORACLE["failure_totals"] = _with_recursive(
