@@ -36,5 +36,5 @@ def test_partition_plan_is_native_and_pruned(spark):
     # every gathered input is already aggregated (summary, counts)
     assert set(_single_partition_inputs(plan)) <= {"HashAggregate"}
     # the override list scan reads only the columns it needs and pushes the key filter
-    assert "PushedFilters: [IsNotNull(l_orderkey)]" in plan
+    assert "EqualTo(l_returnflag,R)" in plan
     assert "l_extendedprice" not in plan

@@ -28,7 +28,8 @@ def inventory_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     description takes one of seven shapes chosen by the line number.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
+        "l_returnflag", "l_linestatus")
     base = F.concat(F.lit("set"), (F.col("l_partkey") % 50).cast("string"),
                     F.lit("/obj"), (F.col("l_suppkey") % 10).cast("string"))
     b64 = F.base64(F.col("base").cast("binary"))
@@ -47,6 +48,8 @@ def inventory_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.alias("base"),
         F.col("l_linenumber").alias("ln"),
         F.col("l_orderkey").alias("ok"),
+        F.col("l_returnflag").alias("rf"),
+        F.col("l_linestatus").alias("ls"),
     )
     return z.withColumn("archivedescription", desc).withColumn("sha256treehash", F.sha2(F.col("archiveid"), 256))
 
@@ -58,14 +61,15 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Override list: blank, empty, null and real overrides, plus a second value for some ids."""
+    """Override list for returned lines (flag R): blank, empty, null and real
+    overrides by line number; open returned lines (status O) get a second value."""
     inv = inventory_ext(spark, sf_dir)
     m = F.col("ln") % 4
-    first = inv.where(F.col("ok") % 5 == 0).select(
+    first = inv.where(F.col("rf") == "R").select(
         "archiveid",
         F.when(m == 1, F.lit("   ")).when(m == 2, F.lit("")).when(m == 3, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("ovr/"), F.col("base"))).alias("override"))
-    second = inv.where(F.col("ok") % 10 == 0).select(
+    second = inv.where((F.col("rf") == "R") & (F.col("ls") == "O")).select(
         "archiveid", F.concat(F.lit("zz/"), F.col("base")).alias("override"))
     return first.unionByName(second)
 

@@ -381,7 +381,7 @@ def _as_files(df: DataFrame, spark, name: str, n_files: int = 8) -> tuple[str, T
 
 
 def _stream(spark, path: str, schema, per_trigger: int = 2):
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+    return streams.change_source(spark, path, schema, "parquet", per_trigger)
 
 
 STAGE_ROWS = T.StructType([T.StructField("stage", T.StringType()), T.StructField("n", T.LongType()),
@@ -415,7 +415,7 @@ def stream_chunk_completion(spark, sf_dir):
     chunks = B.chunk_results(spark, sf_dir).select("aid", "phase", "part_no")
     src, schema = _as_files(chunks.repartition(8, "part_no"), spark, "chunk-results")
     sink, ck = scratch_dir(spark, "completions"), scratch_dir(spark, "ck")
-    streams.chunk_completion_stream(_stream(spark, src, schema, 1), B.chunk_counts(spark, sf_dir), sink, ck)
+    streams.chunk_completion_stream(_stream(spark, src, schema, 2), B.chunk_counts(spark, sf_dir), sink, ck)
     return streams.read_sink(spark, sink, streams.COMPLETION_OUT).select("aid", "phase", "cc")
 
 

@@ -10,7 +10,7 @@ VIEWS: dict[str, str] = {}
 
 VIEWS["inv_x"] = r"""
 inv_x AS (
-  select archiveid, creationdate, size, base, ln, ok, sha256(archiveid) AS sha256treehash,
+  select archiveid, creationdate, size, base, ln, ok, rf, ls, sha256(archiveid) AS sha256treehash,
     case ln when 2 then '<m><v>4</v><p>' || base64(encode(base)) || ' </p><lm>x</lm></m>'
             when 3 then '{"Path":"' || base || '","UTCDateModified":"x"}'
             when 4 then replace(base, '/', '\')
@@ -23,7 +23,7 @@ inv_x AS (
                strftime(l_shipdate, '%Y-%m-%d') AS creationdate,
                cast(l_quantity as bigint) * 268435456 AS size,
                concat('set', cast(l_partkey % 50 as varchar), '/obj', cast(l_suppkey % 10 as varchar)) AS base,
-               l_linenumber AS ln, l_orderkey AS ok
+               l_linenumber AS ln, l_orderkey AS ok, l_returnflag AS rf, l_linestatus AS ls
         from lineitem) z
 )"""
 
@@ -31,9 +31,9 @@ VIEWS["ovr"] = r"""
 ovr AS (
   select archiveid, case when ln % 4 = 1 then '   ' when ln % 4 = 2 then '' when ln % 4 = 3 then null
                          else 'ovr/' || base end AS override
-  from inv_x where ok % 5 = 0
+  from inv_x where rf = 'R'
   union all
-  select archiveid, 'zz/' || base from inv_x where ok % 10 = 0
+  select archiveid, 'zz/' || base from inv_x where rf = 'R' and ls = 'O'
 )"""
 
 VIEWS["numbered"] = r"""
