@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultlens.constants import UNDEFINED_PREFIX
 from vaultlens.functions.text import js_trim, parse_description, suffix_name
-from vaultlens.session import ensure_checkpoint_dir, materialize  # noqa: F401
+from vaultlens.session import ensure_checkpoint_dir, materialize
 
 
 def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "archivedescription",

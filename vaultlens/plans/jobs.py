@@ -30,7 +30,9 @@ def inventory_summary(spark, sf_dir):
 
 @job
 def global_numbering(spark, sf_dir):
-    return invops.number_inventory(B.inventory(spark, sf_dir)).select("archiveid", "row_num")
+    # Project first: the numbering writes what it is given.
+    return invops.number_inventory(B.inventory(spark, sf_dir).select("archiveid", "creationdate")) \
+                 .select("archiveid", "row_num")
 
 
 @job
@@ -38,7 +40,7 @@ def partition_plan(spark, sf_dir):
     return invops.partition_stats(_parted(spark, sf_dir))
 
 
-from vaultlens.functions.sizing import chunk_count, request_wait_seconds  # noqa: E402
+from vaultlens.functions.sizing import chunk_count  # noqa: E402
 from vaultlens.operators import naming  # noqa: E402
 
 FIXED_CDT = "2024-01-01 00:00:00"  # request time stamped on status rows in batch runs (UTC)
