@@ -518,3 +518,20 @@ def object_listing(spark, sf_dir):
     b = batch_number(listed, ["listing", "path"], 1000)
     return b.groupBy("listing", "batch").agg(F.count(F.lit(1)).alias("n_keys"),
                                              F.sum("length").cast("bigint").alias("bytes"))
+
+
+@job
+def request_rows(spark, sf_dir):
+    """Resumed request run: rows beyond each partition's last processed number,
+    named against the names already recorded, as status records."""
+    parted = invops.partition_inventory(B.inventory(spark, sf_dir), B.overrides(spark, sf_dir),
+                                        prepare=naming.resolve_names)
+    rec = B.recorded_status(spark, sf_dir).select(F.col("aid").alias("archiveid"))
+    done = parted.join(rec, "archiveid", "left_semi")
+    last = invops.max_processed_per_partition(done).select("part", "max_ifn")
+    todo = (parted.join(last, "part", "left")
+                  .where(F.col("row_num") > F.coalesce(F.col("max_ifn"), F.lit(0)))
+                  .drop("max_ifn"))
+    recorded_names = done.select("fname")
+    named = naming.unique_names(todo, recorded=recorded_names)
+    return status_rows(named).select("aid", "ifn", "pid", "fname", "cc")

@@ -435,3 +435,16 @@ r AS (select listing, n, row_number() over (order by listing, k) AS rn from d)
 select cast(listing as integer) AS listing, cast(rn // 1000 as bigint) AS batch, count(*) AS n_keys,
        cast(sum(n) as bigint) AS bytes
 from r group by 1, 2"""
+
+ORACLE["request_rows"] = with_views(
+    """, rec AS (select i.archiveid from inv_x i join orders o on i.ok = o.o_orderkey where o.o_orderstatus = 'F'),
+       done AS (select * from named where archiveid in (select archiveid from rec)),
+       lastp AS (select part, max(row_num) AS max_ifn from done group by part),
+       todo AS (select n.* from named n left join lastp l on n.part = l.part where n.row_num > coalesce(l.max_ifn, 0)),
+       recn AS (select distinct fname0 from done)
+       select archiveid AS aid, cast(row_num as bigint) AS ifn, cast(part as bigint) AS pid,
+              case when fname0 in (select fname0 from recn)
+                     or row_number() over (partition by fname0 order by row_num) > 1
+                   then fname0 || '-' || creationdate else fname0 end AS fname,
+              cast((size + 4294967295) // 4294967296 as integer) AS cc
+       from todo""", "named")
