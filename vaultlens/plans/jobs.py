@@ -418,7 +418,7 @@ def stream_chunk_completion(spark, sf_dir):
     src, schema = _as_files(chunks.repartition(8, "part_no"), spark, "chunk-results")
     sink, ck = scratch_dir(spark, "completions"), scratch_dir(spark, "ck")
     streams.chunk_completion_stream(_stream(spark, src, schema, 2), B.chunk_counts(spark, sf_dir), sink, ck)
-    return streams.read_sink(spark, sink, streams.COMPLETION_OUT).select("aid", "phase", "cc")
+    return streams.read_completions(spark, sink)
 
 
 @job
