@@ -25,6 +25,10 @@ def get_session(master: str | None = None, app: str = "vaultlens", shuffle_parti
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Streaming state (distinct parts, per-key counts) grows with the number of
+        # archives; RocksDB keeps it off the JVM heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
