@@ -31,7 +31,8 @@ def partition(spark: SparkSession, inventory: str, overrides: str | None, out: s
     """Inventory CSV (+ override list) -> partitioned Parquet; returns the partition plan."""
     inv = io.scan_inventory_csv(spark, inventory)
     ovr = io.scan_override_csv(spark, overrides) if overrides else None
-    parted = invops.partition_inventory(inv, ovr, quota)
+    # A CSV source is parsed once into a staged Parquet copy (stage=True).
+    parted = invops.partition_inventory(inv, ovr, quota, stage=True)
     io.write_partitioned_inventory(parted, out)
     back = io.scan_partitioned_inventory(spark, out)
     return back.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").cast("bigint").alias("bytes"),
