@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from vaultlens.functions.sizing import chunk_count
+from vaultlens.functions.text import split_location, uri_encode
 from vaultlens.operators import inventory as invops
+from vaultlens.operators import lifecycle, naming, progress, ranges, treehash
+from vaultlens.operators.numbering import batch_number
 from vaultlens.plans import bindings as B
-from vaultlens.session import materialize
+from vaultlens.session import materialize, scratch_dir
+from vaultlens.sources import files as io
+from vaultlens.sources import ranges_io
+from vaultlens.streaming import streams
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,9 +48,6 @@ def partition_plan(spark, sf_dir):
     return invops.partition_stats(_parted(spark, sf_dir))
 
 
-from vaultlens.functions.sizing import chunk_count  # noqa: E402
-from vaultlens.operators import naming  # noqa: E402
-
 FIXED_CDT = "2024-01-01 00:00:00"  # request time stamped on status rows in batch runs (UTC)
 
 
@@ -99,10 +104,6 @@ def request_pacing(spark, sf_dir):
     return invops.request_calendar(parted, throttle)
 
 
-from vaultlens.functions.text import uri_encode  # noqa: E402
-from vaultlens.operators import ranges  # noqa: E402
-
-
 def _inv_status(spark, sf_dir):
     """Light status rows (id, size, chunk count) straight from the inventory."""
     return B.inventory(spark, sf_dir).select(F.col("archiveid").alias("aid"), F.col("size").alias("sz"),
@@ -141,8 +142,6 @@ def release_plan(spark, sf_dir):
                           F.coalesce(F.col("staged"), F.lit(False)).alias("staged"))
 
 
-from vaultlens.operators import lifecycle, treehash  # noqa: E402
-
 ORACLE_LEAF = 1024  # 1 KiB leaves keep several leaves per document in test runs
 
 
@@ -179,10 +178,6 @@ def failure_totals(spark, sf_dir):
     return lifecycle.failure_totals(_routed(spark, sf_dir))
 
 
-from vaultlens.operators import progress  # noqa: E402
-from vaultlens.operators.numbering import batch_number  # noqa: E402
-from vaultlens.functions.text import split_location  # noqa: E402
-
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -289,11 +284,6 @@ def location_split(spark, sf_dir):
                     parts["file_name"].alias("file_name"))
 
 
-from vaultlens.session import materialize, scratch_dir  # noqa: E402
-from vaultlens.sources import files as io  # noqa: E402
-from vaultlens.sources import ranges_io  # noqa: E402
-
-
 def _written_parts(spark, sf_dir):
     parted = _parted(spark, sf_dir)
     path = scratch_dir(spark, "partitioned")
@@ -371,11 +361,6 @@ def range_io(spark, sf_dir):
     return ranges_io.copy_byte_ranges(ranges_io.spread(plan), scratch_dir(spark, "parts"))
 
 
-from pyspark.sql import types as T  # noqa: E402
-
-from vaultlens.streaming import streams  # noqa: E402
-
-
 def _as_files(df: DataFrame, spark, name: str, n_files: int = 8) -> tuple[str, T.StructType]:
     path = scratch_dir(spark, name)
     df.repartition(n_files).write.mode("overwrite").parquet(path)
