@@ -18,9 +18,18 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultlens.constants import CHUNK_SIZE, TREE_HASH_LEAF
+from vaultlens.constants import CHUNK_SIZE, MAX_ARCHIVE_SIZE, TREE_HASH_LEAF
 
-ARCHIVE_LEVELS = 24  # supports 2**24 chunks per archive; extra levels are no-ops
+
+
+def archive_levels(chunk_bytes: int = CHUNK_SIZE) -> int:
+    """Levels over chunk digests for the largest archive: a 40 TiB archive has
+    10,240 chunks of 4 GiB, so 14 levels (16,384 nodes). A longer array fails
+    loudly (:func:`combine_array`)."""
+    return max(1, math.ceil(math.log2(max(2, -(-MAX_ARCHIVE_SIZE // chunk_bytes)))))
+
+
+ARCHIVE_LEVELS = archive_levels()
 
 
 def leaf_sha256(block: Column) -> Column:
@@ -79,10 +88,10 @@ def chunk_tree_hash(leaves: DataFrame, id_col: str = "aid", leaves_per_chunk: in
 
 
 def multipart_tree_hash(chunks: DataFrame, id_col: str = "aid", order_col: str = "part_no",
-                        digest_col: str = "digest", out: str = "tree_hash") -> DataFrame:
+                        digest_col: str = "digest", out: str = "tree_hash", levels: int = ARCHIVE_LEVELS) -> DataFrame:
     """Per archive: tree hash over its chunk digests in part order."""
     arr = _ordered_digests(chunks, [id_col], order_col, digest_col)
-    return combine_array(arr.withColumn("n_parts", F.size("_vl_arr")), "_vl_arr", ARCHIVE_LEVELS, out).drop("_vl_arr")
+    return combine_array(arr.withColumn("n_parts", F.size("_vl_arr")), "_vl_arr", levels, out).drop("_vl_arr")
 
 
 def tree_hash(payload: DataFrame, id_col: str = "aid", bytes_col: str = "bytes", leaf: int = TREE_HASH_LEAF,
@@ -90,4 +99,4 @@ def tree_hash(payload: DataFrame, id_col: str = "aid", bytes_col: str = "bytes",
     """Archive tree hash from its bytes (chunk level, then archive level)."""
     leaves = leaf_digests(payload, id_col, bytes_col, leaf)
     chunks = chunk_tree_hash(leaves, id_col, leaves_per_chunk)
-    return multipart_tree_hash(chunks, id_col, "part_no", "digest", out)
+    return multipart_tree_hash(chunks, id_col, "part_no", "digest", out, archive_levels(leaf * leaves_per_chunk))

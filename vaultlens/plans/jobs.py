@@ -476,7 +476,7 @@ def staged_tree_hash(spark, sf_dir):
     plan = ranges.plan_ranges(objs.withColumnRenamed("size", "sz"), "sz", 4 * ORACLE_LEAF)
     leaves = ranges_io.scan_byte_ranges(ranges_io.spread(plan), leaf=ORACLE_LEAF)
     chunks = treehash.chunk_tree_hash(leaves.drop("part_no"), leaves_per_chunk=4)
-    return treehash.multipart_tree_hash(chunks).select("aid", "tree_hash")
+    return treehash.multipart_tree_hash(chunks, levels=treehash.archive_levels(4 * ORACLE_LEAF)).select("aid", "tree_hash")
 
 
 @job
