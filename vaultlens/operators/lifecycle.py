@@ -39,6 +39,9 @@ def retry_requests(routed: DataFrame, id_col: str = "aid", clear_started: bool =
                    msg.alias("message"))
     if clear_started:
         out = out.withColumn("psdt", F.lit(None).cast("timestamp"))
+    if "cc" in routed.columns:
+        # the chunk attributes whose values the retry removes
+        out = out.join(r.select(id_col, chunk_list_expr(F.col("cc")).alias("clear_chunks")), id_col)
     return out
 
 
