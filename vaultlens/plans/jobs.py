@@ -27,8 +27,16 @@ def job(fn):
     return fn
 
 
-def _parted(spark, sf_dir):
-    return invops.partition_inventory(B.inventory(spark, sf_dir), B.overrides(spark, sf_dir))
+def _parted(spark, sf_dir, cols=None):
+    """Partitioned inventory. ``cols`` projects the inventory first: the numbering
+    writes a Parquet copy, which column pruning cannot see through."""
+    inv = B.inventory(spark, sf_dir)
+    if cols:
+        inv = inv.select(*cols)
+    return invops.partition_inventory(inv, B.overrides(spark, sf_dir))
+
+
+STATS_COLS = ["archiveid", "creationdate", "size", "archivedescription"]
 
 
 @job
@@ -45,7 +53,7 @@ def global_numbering(spark, sf_dir):
 
 @job
 def partition_plan(spark, sf_dir):
-    return invops.partition_stats(_parted(spark, sf_dir))
+    return invops.partition_stats(_parted(spark, sf_dir, STATS_COLS))
 
 
 FIXED_CDT = "2024-01-01 00:00:00"  # request time stamped on status rows in batch runs (UTC)
@@ -89,7 +97,7 @@ def status_records(spark, sf_dir):
 @job
 def resume_requests(spark, sf_dir):
     """Per partition: last processed archive of an earlier run, rows left, bytes."""
-    parted = _parted(spark, sf_dir)
+    parted = _parted(spark, sf_dir, STATS_COLS)
     rec = B.recorded_status(spark, sf_dir)
     done = parted.join(rec.select(F.col("aid").alias("archiveid")), "archiveid", "left_semi")
     last = invops.max_processed_per_partition(done)
@@ -99,7 +107,7 @@ def resume_requests(spark, sf_dir):
 @job
 def request_pacing(spark, sf_dir):
     """Per partition: bytes, throttled bytes, wait before the next one and start offset."""
-    parted = _parted(spark, sf_dir)
+    parted = _parted(spark, sf_dir, STATS_COLS)
     throttle = B.throttle_events(spark, sf_dir, parted)
     return invops.request_calendar(parted, throttle)
 
@@ -301,7 +309,7 @@ def partition_roundtrip(spark, sf_dir):
 
 @job
 def max_partition(spark, sf_dir):
-    return invops.max_partition(_parted(spark, sf_dir))
+    return invops.max_partition(_parted(spark, sf_dir, STATS_COLS))
 
 
 @job
