@@ -58,3 +58,16 @@ def test_random_sizes_against_loop(spark):
         rows.setdefault(r.aid, []).append((r.part_no, r.start_byte, r.end_byte))
     for i, s in enumerate(sizes):
         assert sorted(rows[f"s{i}"]) == loop_model(ceil_div(s, CHUNK_SIZE), s, CHUNK_SIZE)
+
+
+def test_hot_archive_chunks(spark):
+    # one archive gets a third of all deliveries (many redeliveries of its parts)
+    rows = [("hot", "copied", 1 + i % 5, f"v{i}", i) for i in range(300)]
+    rows += [(f"a{i}", "copied", 1, "x", 1000 + i) for i in range(600)]
+    df = spark.createDataFrame(rows, "aid string, phase string, part_no int, value string, seq long")
+    counts = spark.createDataFrame([("hot", 5)] + [(f"a{i}", 1) for i in range(600)], "aid string, cc int")
+    out = lifecycle.chunk_completion(lifecycle.latest_chunk_values(df, "seq"), counts)
+    hot = out.where(F.col("aid") == "hot").first()
+    assert hot.complete and hot.n_parts == 5
+    assert hot.parts == ",".join(f"{p}:v{295 + p - 1}" for p in range(1, 6))
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()

@@ -90,3 +90,18 @@ def test_unique_names_matches_sequential_fold(spark):
         rec = spark.createDataFrame([(r,) for r in recorded], "fname string") if recorded else None
         got = {r.row_num: r.fname for r in unique_names(df, recorded=rec).collect()}
         assert got == _sequential(rows, recorded)
+
+
+def test_hot_base_name(spark):
+    """A base shared by a third of all rows: same result as the fold, and no
+    window over the name (which would put that third in one task)."""
+    rnd = random.Random(2)
+    rows = []
+    for rn in range(1, 301):
+        name = "hot" if rn % 3 == 0 else f"n{rnd.randint(0, 60)}"
+        rows.append((rn, name, f"d{rnd.randint(0, 3)}"))
+    rows.append((301, "hot-d1", "d9"))   # collides with a suffixed hot name
+    df = spark.createDataFrame(rows, "row_num long, fname string, creationdate string")
+    out = unique_names(df)
+    assert {r.row_num: r.fname for r in out.collect()} == _sequential(rows, [])
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
