@@ -348,7 +348,7 @@ def notice_parse(spark, sf_dir):
     summ = invops.inventory_summary(inv)
     imsg = F.to_json(F.struct(F.lit("InventoryRetrieval").alias("Action"), F.lit("inventory-job").alias("JobId"),
                               F.col("vault_bytes").alias("InventorySizeInBytes")))
-    record = F.struct(F.lit("aws:sns").alias("EventSource"),
+    record = F.struct(F.lit("topic").alias("EventSource"),
                       F.struct(F.lit("Notification").alias("Type"), imsg.alias("Message")).alias("Sns"))
     env = summ.select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("raw"))
     invn = io.parse_inventory_notice(env).select(
