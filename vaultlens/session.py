@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,15 +66,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/vaultlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for executor-side Python file access."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path) if path else path
-
-
 def materialize(df, name: str):
     """Cut the lineage: write ``df`` as Parquet under the shared checkpoint folder and
     read it back. Later stages (and retries after a lost executor) read the files
