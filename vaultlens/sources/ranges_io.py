@@ -9,6 +9,7 @@ the executors.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,7 +46,9 @@ def _read_range(path: str, start: int, end: int, block: int) -> Iterator[bytes]:
 def stage_objects(df: DataFrame, base: str, id_col: str = "aid", bytes_col: str = "bytes") -> DataFrame:
     """Write each row's bytes as the object ``<base>/<id>``; returns (id, path, size).
 
-    Writing to a temporary name and renaming makes a re-run task idempotent.
+    Each attempt writes to its own temporary name and renames it into place, so a
+    retried or speculative task never interleaves with another attempt and a
+    re-run leaves the same object.
     """
     def write(batches):
         for pdf in batches:
@@ -54,7 +57,7 @@ def stage_objects(df: DataFrame, base: str, id_col: str = "aid", bytes_col: str
                 target = f"{base.rstrip('/')}/{aid}"
                 fs, p = _fs(target)
                 fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-                tmp = p + ".tmp"
+                tmp = f"{p}.tmp-{uuid.uuid4().hex}"
                 with fs.open_output_stream(tmp) as out:
                     out.write(bytes(data))
                 fs.move(tmp, p)
@@ -112,12 +115,13 @@ def copy_byte_ranges(plan: DataFrame, dest: str, id_col: str = "aid") -> DataFra
                 fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
                 md5 = hashlib.md5()
                 n = 0
-                with fs.open_output_stream(p + ".tmp") as o:
+                tmp = f"{p}.tmp-{uuid.uuid4().hex}"
+                with fs.open_output_stream(tmp) as o:
                     for block in _read_range(path, int(start), int(end), BLOCK):
                         md5.update(block)
                         o.write(block)
                         n += len(block)
-                fs.move(p + ".tmp", p)
+                fs.move(tmp, p)
                 out[id_col].append(aid); out["part_no"].append(int(part)); out["nbytes"].append(n)
                 out["etag"].append('"' + md5.hexdigest() + '"')
             yield pd.DataFrame(out).astype({"part_no": "int32", "nbytes": "int64"})
