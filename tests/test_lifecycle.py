@@ -71,3 +71,12 @@ def test_hot_archive_chunks(spark):
     assert hot.complete and hot.n_parts == 5
     assert hot.parts == ",".join(f"{p}:v{295 + p - 1}" for p in range(1, 6))
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_chunk_attributes(spark):
+    etag = '"' + "a" * 32 + '"'
+    h = "b" * 64
+    df = spark.createDataFrame([("x", {"chunk1": etag, "chunk2": h, "cc": "2", "fname": "f"})],
+                               "aid string, attrs map<string,string>")
+    got = sorted((r.part_no, r.kind) for r in lifecycle.chunk_rows_from_record(df).collect())
+    assert got == [(1, "etag"), (2, "hashed")]

@@ -108,3 +108,19 @@ def latest_state(log: DataFrame, key: str, seq_col: str, fields: list[str]) -> D
     """
     aggs = [F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(seq_col))).alias(f) for f in fields]
     return log.groupBy(key).agg(*aggs)
+
+
+def chunk_rows_from_record(records: DataFrame, attrs_col: str = "attrs", id_col: str = "aid") -> DataFrame:
+    """Raw status items (a map of attribute -> text) -> one row per ``chunkN`` value.
+
+    In the raw form one attribute per chunk is reused across phases and the
+    phase is known only from the value: longer than 40 characters is a tree hash
+    (64 hex characters), otherwise an etag (quoted MD5, 34 characters).
+    """
+    ex = records.select(id_col, F.explode(F.col(attrs_col)).alias("k", "value"))
+    chunks = ex.where(F.col("k").rlike("^chunk[0-9]+$"))
+    return chunks.select(
+        id_col,
+        F.regexp_extract("k", "([0-9]+)$", 1).cast("int").alias("part_no"),
+        "value",
+        F.when(F.length("value") > 40, F.lit("hashed")).otherwise(F.lit("etag")).alias("kind"))
