@@ -41,3 +41,17 @@ def test_delete_batches_999_then_1000(spark):
     keys = spark.range(1, 2501).select(F.format_string("k%05d", "id").alias("key"))
     b = batch_number(keys, ["key"], 1000).groupBy("batch").count().orderBy("batch").collect()
     assert [(r.batch, r["count"]) for r in b] == [(0, 999), (1, 1000), (2, 501)]
+
+
+def test_data_sized_ranges_with_coalescing(spark):
+    """No explicit count: AQE coalesces contiguous ranges; numbering stays exact."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        inv = B.inventory(spark, SF_ORACLE).select("archiveid", "creationdate")
+        got = global_row_number(inv, ["creationdate", "archiveid"])
+        j = got.join(_window(inv), ["archiveid", "creationdate"])
+        assert j.where(F.col("row_num") != F.col("rn_ref")).count() == 0
+    finally:
+        spark.conf.set(key, before)

@@ -38,14 +38,13 @@ def global_row_number(df: DataFrame, order_cols, out: str = "row_num",
     Equal to ``row_number() over (order by order_cols)``; ties on the full key
     are numbered in an arbitrary order, as with the window.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _order_exprs(order_cols)
-    # An explicit partition count keeps AQE from re-coalescing this exchange,
-    # so the partition index seen below is the range index in every branch.
-    ranged = materialize(df.repartitionByRange(n, *keys)
-                           .sortWithinPartitions(*keys)
-                           .withColumn("_vl_mid", F.monotonically_increasing_id()), "numbered")
+    # Without an explicit count, AQE sizes the range partitions from the data
+    # (coalescing contiguous ranges keeps the global order). Positions are read
+    # only from the written copy, so the partition layout needs no stability.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = materialize(ranged.sortWithinPartitions(*keys)
+                               .withColumn("_vl_mid", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(F.col("_vl_mid"), _POS_BITS)
     pos = F.col("_vl_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     counts = (ranged.select(part.alias("_vl_p"), pos.alias("_vl_pos"))
