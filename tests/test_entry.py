@@ -48,6 +48,8 @@ def duck():
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan   # no row-at-a-time Python anywhere
     rows = [tuple(r) for r in df.collect()]
     cur = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
