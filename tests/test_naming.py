@@ -105,3 +105,15 @@ def test_hot_base_name(spark):
     out = unique_names(df)
     assert {r.row_num: r.fname for r in out.collect()} == _sequential(rows, [])
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seven_bit_mode(spark):
+    import base64
+    raw = "dir/é.txt"
+    b64 = base64.b64encode(raw.encode()).decode()
+    df = spark.createDataFrame([(f"<m><p>{b64}</p></m>",)], "d string")
+    utf8 = df.select(parse_description("d").alias("p")).first().p
+    seven = df.select(parse_description("d", ascii7=True).alias("p")).first().p
+    assert utf8 == raw
+    want = "".join(chr(b & 0x7F) for b in raw.encode())
+    assert seven == want and seven.startswith("dir/") and seven.endswith(".txt")

@@ -22,13 +22,22 @@ def has_text(c) -> Column:
     return F.coalesce(_c(c).rlike(f"[^{JS_WHITESPACE}]"), F.lit(False))
 
 
-def _b64_text(tag_text: Column) -> Column:
-    """Decode base64 (standard or URL-safe alphabet) to UTF-8 text.
+# Rule for 7-bit decoding: every byte with the high bit set maps to the byte minus 128.
+_HIGH = "".join(chr(c) for c in range(128, 256))
+_LOW = "".join(chr(c - 128) for c in range(128, 256))
 
-    The migrated code decodes as 7-bit ASCII, which mangles non-ASCII names;
+
+def _b64_text(tag_text: Column, ascii7: bool = False) -> Column:
+    """Decode base64 (standard or URL-safe alphabet) to text.
+
+    Default UTF-8. ``ascii7`` reproduces the migrated code's decoding (high bit
+    of every byte cleared, then read as Latin-1), which mangles non-ASCII names;
     on ASCII payloads both agree.
     """
-    return F.decode(F.unbase64(F.translate(tag_text, "-_", "+/")), "UTF-8")
+    raw = F.unbase64(F.translate(tag_text, "-_", "+/"))
+    if ascii7:
+        return F.translate(F.decode(raw, "ISO-8859-1"), _HIGH, _LOW)
+    return F.decode(raw, "UTF-8")
 
 
 def _tag_value(d: Column, tag: str) -> Column:
@@ -36,7 +45,7 @@ def _tag_value(d: Column, tag: str) -> Column:
     return F.regexp_extract(d, f"<{tag}>[{JS_WHITESPACE}]*(.*?)[{JS_WHITESPACE}]*</{tag}>", 1)
 
 
-def parse_description(desc) -> Column:
+def parse_description(desc, ascii7: bool = False) -> Column:
     """Name recorded in an archive description, or the description itself.
 
     Detection order: ``<m>..</m>`` (payload in ``<p>``, base64), then
@@ -53,16 +62,16 @@ def parse_description(desc) -> Column:
     well_formed = doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$")
     has_path = F.coalesce(F.array_contains(F.json_object_keys(doc), "Path"), F.lit(False))
     json_path = F.when(json_form & well_formed & has_path & strict.isNotNull(), strict)
-    m_val = _b64_text(_tag_value(d, "p"))
-    am_val = _b64_text(_tag_value(d, "Path"))
+    m_val = _b64_text(_tag_value(d, "p"), ascii7)
+    am_val = _b64_text(_tag_value(d, "Path"), ascii7)
     return (F.when(m_form, m_val)
              .when(am_form, am_val)
              .otherwise(F.coalesce(json_path, d)))
 
 
-def normalise_name(archive_id, desc) -> Column:
+def normalise_name(archive_id, desc, ascii7: bool = False) -> Column:
     """trim -> parse -> trim -> empty becomes ``00undefined/<id>`` -> ``\\`` becomes ``/``."""
-    parsed = js_trim(F.coalesce(parse_description(js_trim(F.coalesce(_c(desc), F.lit("")))), F.lit("")))
+    parsed = js_trim(F.coalesce(parse_description(js_trim(F.coalesce(_c(desc), F.lit(""))), ascii7), F.lit("")))
     named = F.when(parsed == "", F.concat(F.lit(UNDEFINED_PREFIX), _c(archive_id))).otherwise(parsed)
     return F.translate(named, "\\", "/")
 

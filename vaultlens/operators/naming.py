@@ -11,7 +11,7 @@ from vaultlens.session import ensure_checkpoint_dir, materialize
 
 
 def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "archivedescription",
-                  out: str = "fname") -> DataFrame:
+                  out: str = "fname", ascii7: bool = False) -> DataFrame:
     """Add the normalised name parsed from each description (native expressions only).
 
     Same steps as :func:`vaultlens.functions.text.normalise_name`, staged as
@@ -19,7 +19,7 @@ def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "arc
     subexpression elimination does not reach into conditional branches.
     """
     staged = (df.withColumn("_vl_d", js_trim(F.coalesce(F.col(desc_col), F.lit(""))))
-                .withColumn("_vl_p", js_trim(F.coalesce(parse_description(F.col("_vl_d")), F.lit("")))))
+                .withColumn("_vl_p", js_trim(F.coalesce(parse_description(F.col("_vl_d"), ascii7), F.lit("")))))
     named = F.when(F.col("_vl_p") == "", F.concat(F.lit(UNDEFINED_PREFIX), F.col(id_col))).otherwise(F.col("_vl_p"))
     return staged.withColumn(out, F.translate(named, "\\", "/")).drop("_vl_d", "_vl_p")
 
