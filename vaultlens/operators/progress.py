@@ -125,12 +125,17 @@ def oldest_message_age(messages: DataFrame, period_s: int = 300) -> DataFrame:
               .select("queue", (F.col("k") * p).alias("at_us"), (F.col("k") * p - F.col("oldest_us")).alias("age_us")))
 
 
-def error_log(logs: DataFrame) -> DataFrame:
+def error_log(logs: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     """Lines containing one of the three spellings of 'error' and none of the
-    known noise messages, newest first."""
+    known noise messages, newest first.
+
+    ``tiebreak`` (e.g. a unique event id) joins the sort key, so the range
+    partitioning of the sort can split a timestamp shared by many lines.
+    """
     hit = reduce(lambda a, b: a | b, [F.col("message").contains(s) for s in ERROR_SPELLINGS])
     noise = reduce(lambda a, b: a | b, [F.col("message").contains(s) for s in ERROR_NOISE])
-    return logs.where(hit & ~noise).orderBy(F.col("ts").desc())
+    keys = [F.col("ts").desc()] + [F.col(c).desc() for c in (tiebreak or [])]
+    return logs.where(hit & ~noise).orderBy(*keys)
 
 
 def metric_point_rows(points: DataFrame, dimension: str, ts=None) -> DataFrame:

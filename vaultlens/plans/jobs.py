@@ -266,7 +266,7 @@ def oldest_message_age(spark, sf_dir):
 
 @job
 def error_log(spark, sf_dir):
-    return progress.error_log(B.log_events(spark, sf_dir)).select(
+    return progress.error_log(B.log_events(spark, sf_dir), tiebreak=["event_id"]).select(
         "event_id", F.date_format("ts", TS_FMT).alias("ts"), "message")
 
 
