@@ -36,7 +36,9 @@ def global_row_number(df: DataFrame, order_cols, out: str = "row_num",
     """Add ``out`` = 1-based position of each row in ``order_cols`` order (bigint).
 
     Equal to ``row_number() over (order by order_cols)``; ties on the full key
-    are numbered in an arbitrary order, as with the window.
+    are numbered in an arbitrary order, as with the window. End the key with a
+    unique column (archive id, object key): range partitioning can then split
+    any hot leading value over many tasks, which it cannot do for equal keys.
     """
     keys = _order_exprs(order_cols)
     # Without an explicit count, AQE sizes the range partitions from the data
