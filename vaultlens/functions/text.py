@@ -58,10 +58,11 @@ def parse_description(desc, ascii7: bool = False) -> Column:
     am_form = d.rlike("<ArchiveMetadata>.*</ArchiveMetadata>")
     json_form = d.rlike('\\{\\s*\\\\*".*\\}\\s*')
     doc = F.when(d.startswith('"'), F.get_json_object(d, "$")).otherwise(d)
+    # Strict parse (no single quotes; the last duplicate key wins). A missing or
+    # null ``Path`` both fall back to the raw text.
     strict = F.from_json(doc, "Path string", {"allowSingleQuotes": "false"}).getField("Path")
     well_formed = doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$")
-    has_path = F.coalesce(F.array_contains(F.json_object_keys(doc), "Path"), F.lit(False))
-    json_path = F.when(json_form & well_formed & has_path & strict.isNotNull(), strict)
+    json_path = F.when(json_form & well_formed & strict.isNotNull(), strict)
     m_val = _b64_text(_tag_value(d, "p"), ascii7)
     am_val = _b64_text(_tag_value(d, "Path"), ascii7)
     return (F.when(m_form, m_val)
