@@ -45,29 +45,39 @@ def _tag_value(d: Column, tag: str) -> Column:
     return F.regexp_extract(d, f"<{tag}>[{JS_WHITESPACE}]*(.*?)[{JS_WHITESPACE}]*</{tag}>", 1)
 
 
-def parse_description(desc, ascii7: bool = False) -> Column:
+def json_path(desc) -> Column:
+    """``Path`` of a JSON description (possibly JSON-encoded twice), else NULL.
+
+    Strict parse (no single quotes; the last duplicate key wins); a missing or
+    null ``Path`` gives NULL, so the caller keeps the raw text.
+    """
+    d = _c(desc)
+    json_form = d.rlike('\\{\\s*\\\\*".*\\}\\s*')
+    doc = F.when(d.startswith('"'), F.get_json_object(d, "$")).otherwise(d)
+    strict = F.from_json(doc, "Path string", {"allowSingleQuotes": "false"}).getField("Path")
+    well_formed = doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$")
+    return F.when(json_form & well_formed, strict)
+
+
+def parse_description(desc, ascii7: bool = False, json_col=None) -> Column:
     """Name recorded in an archive description, or the description itself.
 
     Detection order: ``<m>..</m>`` (payload in ``<p>``, base64), then
     ``<ArchiveMetadata>..</ArchiveMetadata>`` (payload in ``<Path>``), then a JSON
     document (possibly JSON-encoded twice) that has a ``Path`` key. Anything that
-    does not parse falls back to the text unchanged.
+    does not parse falls back to the text unchanged. ``json_col`` may carry a
+    precomputed :func:`json_path` of the same text.
     """
     d = _c(desc)
+    jp = json_path(d) if json_col is None else _c(json_col)
     m_form = d.rlike("<m>.*</m>")
     am_form = d.rlike("<ArchiveMetadata>.*</ArchiveMetadata>")
-    json_form = d.rlike('\\{\\s*\\\\*".*\\}\\s*')
-    doc = F.when(d.startswith('"'), F.get_json_object(d, "$")).otherwise(d)
-    # Strict parse (no single quotes; the last duplicate key wins). A missing or
-    # null ``Path`` both fall back to the raw text.
-    strict = F.from_json(doc, "Path string", {"allowSingleQuotes": "false"}).getField("Path")
-    well_formed = doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$")
-    json_path = F.when(json_form & well_formed & strict.isNotNull(), strict)
     m_val = _b64_text(_tag_value(d, "p"), ascii7)
     am_val = _b64_text(_tag_value(d, "Path"), ascii7)
     return (F.when(m_form, m_val)
              .when(am_form, am_val)
-             .otherwise(F.coalesce(json_path, d)))
+             .when(jp.isNotNull(), jp)
+             .otherwise(d))
 
 
 def normalise_name(archive_id, desc, ascii7: bool = False) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultlens.constants import UNDEFINED_PREFIX
-from vaultlens.functions.text import js_trim, parse_description, suffix_name
+from vaultlens.functions.text import js_trim, json_path, parse_description, suffix_name
 from vaultlens.session import ensure_checkpoint_dir, materialize
 
 
@@ -18,10 +18,14 @@ def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "arc
     columns: the trimmed text is referenced by every parse branch, and
     subexpression elimination does not reach into conditional branches.
     """
+    # The JSON branch gets its own column: JSON functions run interpreted, and kept
+    # apart (referenced twice, so not inlined) they leave the rest in generated code.
     staged = (df.withColumn("_vl_d", js_trim(F.coalesce(F.col(desc_col), F.lit(""))))
-                .withColumn("_vl_p", js_trim(F.coalesce(parse_description(F.col("_vl_d"), ascii7), F.lit("")))))
+                .withColumn("_vl_j", json_path(F.col("_vl_d")))
+                .withColumn("_vl_p", js_trim(F.coalesce(parse_description(F.col("_vl_d"), ascii7, F.col("_vl_j")),
+                                                        F.lit("")))))
     named = F.when(F.col("_vl_p") == "", F.concat(F.lit(UNDEFINED_PREFIX), F.col(id_col))).otherwise(F.col("_vl_p"))
-    return staged.withColumn(out, F.translate(named, "\\", "/")).drop("_vl_d", "_vl_p")
+    return staged.withColumn(out, F.translate(named, "\\", "/")).drop("_vl_d", "_vl_j", "_vl_p")
 
 
 def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_num",
