@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
