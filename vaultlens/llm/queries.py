@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from vaultlens.llm.decontaminate import op9_benchmark_decontamination
 from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
