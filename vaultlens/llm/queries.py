@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vaultlens.llm.bpe import op5_bpe_encoding
 from vaultlens.llm.decontaminate import op9_benchmark_decontamination
 from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.simhash import op4_simhash_near_dedup
@@ -9,6 +10,7 @@ from vaultlens.llm.simhash import op4_simhash_near_dedup
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_bpe_encoding": op5_bpe_encoding,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 

@@ -134,9 +134,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = root.join(groups, F.col("node") == F.col("fp")).select("node", "root", "first_id")
     label = linked.groupBy("root").agg(F.min("first_id").alias("component"))
     named = linked.join(label, "root").join(degree, "node").select("node", "component", "n_links")
-    by_print = groups.join(named, F.col("fp") == F.col("node"), "left").select(
+    # Written first, so that the last join reads two plain shuffles and AQE can split a hot print.
+    by_print = materialize(groups.join(named, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("gfp"), F.coalesce("component", "first_id").alias("component"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "simhash-labels")
     return rows.join(by_print, F.col("fp") == F.col("gfp")).select("id", "tkey", "fp", "n_links", "component")
 
 
