@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from vaultlens.llm.bpe import op5_bpe_encoding
 from vaultlens.llm.decontaminate import op9_benchmark_decontamination
+from vaultlens.llm.lines import op2_line_dedup
 from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_bpe_encoding": op5_bpe_encoding,
