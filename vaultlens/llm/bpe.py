@@ -205,17 +205,28 @@ def text_batches(batches, column: int):
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, ids`` per row; ``ids`` are little-endian unsigned 32-bit integers."""
-    return _run(docs, path, id_col, text_col, False)
+    return _run(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), path, False)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``encode`` plus ``decoded``, the text that those ids decode to."""
-    return _run(docs, path, id_col, text_col, True)
+    return _run(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), path, True)
 
 
-def _run(docs, path, id_col, text_col, decoded):
-    bpe = docs.sparkSession.sparkContext.broadcast(Bpe(path))
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def with_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` plus ``n_tokens``, ``ids`` and ``lossless`` (the ids decode to the text). Columns of
+    the input with these names are replaced."""
+    cols = [c for c in docs.columns if c not in ("n_tokens", "ids", "lossless")]
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("id"), F.col(f"`{text_col}`").alias("text"))
+    d = _run(row, path, True)
+    text = F.coalesce(F.col("id").getField(text_col).cast("string"), F.lit(""))
+    return d.select(*[F.col("id").getField(c).alias(c) for c in cols], "n_tokens", "ids",
+                    (F.col("decoded") == text).alias("lossless"))
+
+
+def _run(rows, path, decoded):
+    bpe = rows.sparkSession.sparkContext.broadcast(Bpe(path))
+    src = rows.select("id", F.col("text").cast("string"))
 
     def run(batches):
         encoder = Encoder(bpe.value)

@@ -189,6 +189,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
                     "items", "starts", "ends", (F.size("starts") > 0).alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      **options) -> DataFrame:
+    """``docs`` without the rows in which a phrase occurs; other rows and all columns stay."""
+    bad = removal_spans(docs, benchmark, id_col, text_col, **options).where(F.size("starts") > 0) \
+        .select(F.col("id").alias("bid"), F.col("tkey").alias("btkey")).distinct()
+    cols = docs.columns
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"),
+                    F.col(f"`{id_col}`").alias("id"), text_key(f"`{text_col}`").alias("tkey"))
+    return d.join(bad, F.col("id").eqNullSafe(F.col("bid")) & (F.col("tkey") == F.col("btkey")), "left_anti") \
+        .select("row.*")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return d.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",

@@ -5,8 +5,7 @@ hashes; that narrow table is written once. A line is normalised (white space run
 one space, digit runs to ``0``, lower case) and hashed. It is *frequent* on a host when
 it stands in at least ``min_docs`` distinct documents of that host and in more than
 ``max_share`` of them; exact copies of a text count as one document. Frequent lines are
-removed. A document is *depleted* when fewer than ``min_words`` words, or less than
-``min_share`` of its words, are left.
+removed. A document is *depleted* when less than ``min_share`` of its words are left.
 
 Hot hosts and lines: counts are combined map-side; the join back of lines to the
 frequent ones is salted by the text, so a line in a third of all documents spreads over
@@ -95,7 +94,7 @@ def frequent_lines(texts: DataFrame, min_docs: int, max_share: float) -> DataFra
 
 
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-               min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_words: int = MIN_WORDS,
+               min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
                min_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """One row per input row: id, tkey, host, the base counts, base_failed, ``n_removed_lines``,
     ``n_kept_words``, ``removed`` (hashes of the frequent lines the text has) and ``kept``."""
@@ -120,7 +119,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
         F.coalesce("n_removed_lines", zero).alias("n_removed_lines"),
         (F.col("n_words") - F.coalesce("removed_words", zero)).alias("n_kept_words"), "removed")
-    depleted = (F.col("n_kept_words") < min_words) | (F.col("n_kept_words") < min_share * F.col("n_words"))
+    depleted = F.col("n_kept_words") < min_share * F.col("n_words")
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from vaultlens.llm.bpe import op5_bpe_encoding
 from vaultlens.llm.decontaminate import op9_benchmark_decontamination
 from vaultlens.llm.lines import op2_line_dedup
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
