@@ -150,14 +150,14 @@ class Bpe:
 
 
 class Encoder:
-    """Encodes texts; keeps the memo of pieces."""
+    """Encodes texts; keeps the memo of pieces. Without ``added``, their strings are ordinary text."""
 
-    def __init__(self, bpe: Bpe, pattern: str = PIECES):
+    def __init__(self, bpe: Bpe, pattern: str = PIECES, added: bool = True):
         self.bpe, self.memo, self.held = bpe, {}, 0
         self.find = regex.compile(pattern).findall
-        names = sorted(bpe.added, key=len, reverse=True)
+        names = sorted(bpe.added, key=len, reverse=True) if added else []
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.special = {name: np.array([i], dtype="<u4").tobytes() for name, i in bpe.added.items()}
+        self.special = {name: np.array([i], dtype="<u4").tobytes() for name, i in bpe.added.items() if added}
 
     def _parts(self, text: str) -> list[tuple[bytes | None, list[str]]]:
         """(ids of an added token or None, pieces) in order."""

@@ -10,8 +10,10 @@ from vaultlens.llm.pii import op7_pii
 from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.secrets import op8_secret_scan
 from vaultlens.llm.simhash import op4_simhash_near_dedup
+from vaultlens.llm.token_files import op1_token_counts
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
