@@ -6,6 +6,7 @@ import corpus_pipeline
 from vaultlens.llm.bpe import op5_bpe_encoding
 from vaultlens.llm.decontaminate import op9_benchmark_decontamination
 from vaultlens.llm.lines import op2_line_dedup
+from vaultlens.llm.lm import op6_lm_scores
 from vaultlens.llm.pii import op7_pii
 from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.secrets import op8_secret_scan
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_bpe_encoding": op5_bpe_encoding,
+    "op6_lm_scores": op6_lm_scores,
     "op7_pii": op7_pii,
     "op8_secret_scan": op8_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
