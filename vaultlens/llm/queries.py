@@ -12,6 +12,7 @@ from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.secrets import op8_secret_scan
 from vaultlens.llm.simhash import op4_simhash_near_dedup
 from vaultlens.llm.token_files import op1_token_counts
+from vaultlens.llm.warc import op10_warc
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -23,7 +24,19 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_secret_scan": op8_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_warc": op10_warc,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+# The records written and read back must carry what the pages themselves say.
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT html, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY html HAVING count(*) > 1)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(p.html) AS payload_digest,
+       CASE WHEN g.first IS NULL OR page_id = g.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> g.first THEN g.first END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html
+"""
+
+ORACLE: dict[str, str] = {"op10_warc": OP10_SQL}

@@ -60,7 +60,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
             for b in text_batches(batches, 1):
                 if out is None:
                     system.create_dir(base, recursive=True)
-                    out = system.open_output_stream(f"{base}/{file}")
+                    out = system.open_output_stream(f"{base}/{file}", compression=None)
                 for ids in encoder.encode(_texts(b.column(1))):
                     out.write(np.frombuffer(ids, dtype="<u4").astype(f"<u{width}").tobytes() + tail)
                 yield pa.RecordBatch.from_arrays(
