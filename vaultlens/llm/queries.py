@@ -28,6 +28,59 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+win AS (SELECT doc_id, i, w[i:i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+rep AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win), range(0, 5) AS r(k) WHERE c > 1 GROUP BY doc_id),
+line AS (
+  SELECT doc_id, source, t, raw,
+         lower(trim(regexp_replace(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'))) AS l
+  FROM (SELECT doc_id, source, t, unnest(lines) AS raw FROM d)),
+freq AS (
+  SELECT source, l FROM (SELECT source, l, count(DISTINCT t) AS n FROM line GROUP BY source, l)
+  JOIN (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source) USING (source) WHERE n >= 10 AND n > docs * 0.05),
+lost AS (
+  SELECT doc_id, count(*) AS n, sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) AS words
+  FROM line JOIN freq USING (source, l) GROUP BY doc_id),
+f AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(lost.n, 0)::BIGINT AS n_removed_lines, (len(w) - coalesce(lost.words, 0))::BIGINT AS n_kept_words
+  FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT n_kept_words < 0.3 * n_words AS kept
+FROM f
+"""
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+phrase AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+place AS (
+  SELECT doc_id, n, i, w[i:i + n - 1] AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM phrase) AS sizes)),
+hit AS (SELECT doc_id, i, place.n, item_id FROM place JOIN phrase ON place.g = phrase.g),
+word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
+
 # The records written and read back must carry what the pages themselves say.
 OP10_SQL = """
 WITH p AS (
@@ -39,4 +92,8 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha256(p.html) AS payload_digest,
 FROM p LEFT JOIN g ON p.html = g.html
 """
 
-ORACLE: dict[str, str] = {"op10_warc": OP10_SQL}
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": OP3_SQL,
+    "op9_benchmark_decontamination": OP9_SQL,
+    "op10_warc": OP10_SQL,
+}
