@@ -10,7 +10,7 @@ from vaultlens.operators import inventory as inv_ops
 from vaultlens.plans import bindings as B
 from vaultlens.session import scratch_dir
 from vaultlens.sources import files as io
-from vaultlens.sources import ranges_io
+from vaultlens.plans import bindings
 from test_treehash import model
 
 
@@ -36,7 +36,7 @@ def test_treehash_routes_staged_objects(spark):
     data = {"a": b"x" * 3000, "b": b"y" * 10, "c": b"z" * 2048}
     objs = spark.createDataFrame(list(data.items()), "aid string, bytes binary")
     base = scratch_dir(spark, "t-objs")
-    ranges_io.stage_objects(objs, base).collect()
+    bindings.stage_objects(objs, base).collect()
     status_dir = scratch_dir(spark, "t-status")
     sha = {"a": model(data["a"], 1024 * 1024), "b": "0" * 64, "c": "0" * 64}
     spark.createDataFrame([(k, sha[k], len(v), 0 if k == "b" else 3) for k, v in data.items()],

@@ -1,0 +1,34 @@
+"""Byte ranges read on the executors: spread over tasks, combined hashes, short sources."""
+
+import pytest
+
+from test_treehash import model
+from vaultlens.operators import ranges, treehash
+from vaultlens.sources import ranges_io
+
+
+def test_plan_rows_spread_over_tasks(spark):
+    plan = spark.range(1000).selectExpr("cast(id as string) as aid", "1 as part_no", "0L as start_byte", "4294967295L as end_byte")
+    assert ranges_io.spread(plan).rdd.getNumPartitions() == 1000
+    assert ranges_io.spread(plan, task_bytes=1 << 62).rdd.getNumPartitions() == 8
+    assert ranges_io.spread(plan.limit(0)).rdd.getNumPartitions() == 1
+
+
+def test_range_hashes_combine_to_the_object_hash(spark, tmp_path):
+    leaf, objects = 16, {f"o{n}": bytes(i * 7 % 251 for i in range(n)) for n in (0, 1, 16, 17, 64, 65, 333)}
+    for name, data in objects.items():
+        (tmp_path / name).write_bytes(data)
+    rows = [(name, str(tmp_path / name), len(data)) for name, data in objects.items() if data]
+    plan = ranges.plan_ranges(spark.createDataFrame(rows, "aid string, path string, sz long"), "sz", 4 * leaf)
+    chunks = ranges_io.scan_byte_ranges(ranges_io.spread(plan), leaf=leaf)
+    got = {r.aid: r.tree_hash for r in treehash.multipart_tree_hash(chunks).collect()}
+    assert got == {name: model(data, leaf) for name, data in objects.items() if data}
+
+
+@pytest.mark.parametrize("reader", ["scan", "copy"])
+def test_short_source_is_an_error(spark, tmp_path, reader):
+    (tmp_path / "o").write_bytes(b"0123456789")
+    plan = spark.createDataFrame([("o", str(tmp_path / "o"), 1, 0, 99)], "aid string, path string, part_no int, start_byte long, end_byte long")
+    df = ranges_io.scan_byte_ranges(plan) if reader == "scan" else ranges_io.copy_byte_ranges(plan, str(tmp_path / "out"))
+    with pytest.raises(Exception, match="90 bytes of the range"):
+        df.collect()

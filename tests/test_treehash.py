@@ -44,3 +44,15 @@ def test_leaf_counts_match_model(spark):
     want = {a: model(b, leaf) for a, b in rows}
     assert flat == want
     assert two_level == want
+
+
+def test_many_chunk_digests(spark):
+    """More chunk digests than any fixed number of levels used to allow."""
+    n = (1 << 14) + 3
+    digests = [hashlib.sha256(str(i).encode()).digest() for i in range(n)]
+    df = spark.range(n).selectExpr("'a' as aid", "id as part_no", "sha2(cast(id as string), 256) as digest")
+    nodes = digests
+    while len(nodes) > 1:
+        nodes = [hashlib.sha256(nodes[i] + nodes[i + 1]).digest() if i + 1 < len(nodes) else nodes[i]
+                 for i in range(0, len(nodes), 2)]
+    assert treehash.multipart_tree_hash(df).first().tree_hash == nodes[0].hex()

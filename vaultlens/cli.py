@@ -79,8 +79,7 @@ def verify(spark: SparkSession, objects: str, status: str, out: str) -> DataFram
                   .select("path", F.col("length").alias("sz"),
                           F.regexp_extract("path", "([^/]+)$", 1).alias("aid"))
     plan = ranges.plan_hash_chunks(listed.withColumn("cc", chunk_count("sz").cast("int")))
-    leaves = ranges_io.scan_byte_ranges(ranges_io.spread(plan))
-    hashes = treehash.multipart_tree_hash(treehash.chunk_tree_hash(leaves.drop("part_no")))
+    hashes = treehash.multipart_tree_hash(ranges_io.scan_byte_ranges(ranges_io.spread(plan)))
     routed = lifecycle.validate_hash(hashes, st.select("aid", "sha", "sz", "rc"))
     routed.write.mode("overwrite").partitionBy("route").parquet(out)
     return spark.read.parquet(out)

@@ -15,7 +15,6 @@ CHUNK_SIZE = 4 * GIB                  # copy / hash / release range unit
 INVENTORY_PART_SIZE = 4 * GIB         # inventory download part unit
 OVERRIDE_PART_SIZE = 2 * GIB          # override-list copy part unit
 TREE_HASH_LEAF = 1 * MIB              # tree-hash leaf
-MAX_ARCHIVE_SIZE = 40 * TIB           # largest archive the vault service stores
 MIN_THROTTLING_DELAY = 960            # seconds to wait when throttled
 MAX_HASH_RETRIES = 3                  # hash mismatches before an archive fails
 DELETE_BATCH = 1000                   # keys per delete request

@@ -13,24 +13,12 @@ leaves, the two-level result equals the flat tree over all leaves.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultlens.constants import CHUNK_SIZE, MAX_ARCHIVE_SIZE, TREE_HASH_LEAF
-
-
-
-def archive_levels(chunk_bytes: int = CHUNK_SIZE) -> int:
-    """Levels over chunk digests for the largest archive: a 40 TiB archive has
-    10,240 chunks of 4 GiB, so 14 levels (16,384 nodes). A longer array fails
-    loudly (:func:`combine_array`)."""
-    return max(1, math.ceil(math.log2(max(2, -(-MAX_ARCHIVE_SIZE // chunk_bytes)))))
+from vaultlens.constants import CHUNK_SIZE, TREE_HASH_LEAF
 
 
-ARCHIVE_LEVELS = archive_levels()
-
 
 def leaf_sha256(block: Column) -> Column:
     return F.sha2(block, 256)
@@ -58,19 +46,13 @@ def _level(arr: Column) -> Column:
     ).otherwise(F.get(arr, j * 2)))
 
 
-def combine_array(df: DataFrame, arr_col: str, levels: int, out: str) -> DataFrame:
-    """Reduce an ordered digest array to its tree hash with ``levels`` unrolled levels.
-
-    An array longer than ``2**levels`` would not reduce to one digest; it fails
-    the job instead of returning a wrong hash.
-    """
-    tmp = "_vl_lvl"
-    too_long = F.size(F.col(arr_col)) > F.lit(2 ** levels)
-    df = df.withColumn(tmp, F.when(too_long, F.raise_error(F.lit(f"tree hash: more than 2^{levels} nodes")))
-                              .otherwise(F.col(arr_col)))
-    for _ in range(levels):
-        df = df.withColumn(tmp, F.when(F.size(tmp) > 1, _level(F.col(tmp))).otherwise(F.col(tmp)))
-    return df.withColumn(out, F.get(F.col(tmp), 0)).drop(tmp)
+def combine_array(df: DataFrame, arr_col: str, out: str) -> DataFrame:
+    """Reduce an ordered digest array of any length to its tree hash: one fold over as many
+    levels as this array has (a level over a single digest leaves it as it is)."""
+    arr = F.col(arr_col).cast("array<string>")
+    levels = F.greatest(F.ceil(F.log2(F.size(arr))), F.lit(1)).cast("int")
+    top = F.aggregate(F.sequence(F.lit(1), levels), arr, lambda acc, _: _level(acc).cast("array<string>"))
+    return df.withColumn(out, F.get(top, 0))
 
 
 def _ordered_digests(df: DataFrame, keys: list[str], order_col: str, digest_col: str) -> DataFrame:
@@ -81,17 +63,16 @@ def _ordered_digests(df: DataFrame, keys: list[str], order_col: str, digest_col:
 
 def chunk_tree_hash(leaves: DataFrame, id_col: str = "aid", leaves_per_chunk: int = CHUNK_SIZE // TREE_HASH_LEAF) -> DataFrame:
     """Per (archive, chunk): tree hash of its leaves. ``part_no`` is 1-based."""
-    levels = max(1, math.ceil(math.log2(max(leaves_per_chunk, 2))))
     keyed = leaves.withColumn("part_no", (F.floor(F.col("leaf_no") / F.lit(leaves_per_chunk)) + 1).cast("int"))
     arr = _ordered_digests(keyed, [id_col, "part_no"], "leaf_no", "digest")
-    return combine_array(arr, "_vl_arr", levels, "digest").drop("_vl_arr")
+    return combine_array(arr, "_vl_arr", "digest").drop("_vl_arr")
 
 
 def multipart_tree_hash(chunks: DataFrame, id_col: str = "aid", order_col: str = "part_no",
-                        digest_col: str = "digest", out: str = "tree_hash", levels: int = ARCHIVE_LEVELS) -> DataFrame:
+                        digest_col: str = "digest", out: str = "tree_hash") -> DataFrame:
     """Per archive: tree hash over its chunk digests in part order."""
     arr = _ordered_digests(chunks, [id_col], order_col, digest_col)
-    return combine_array(arr.withColumn("n_parts", F.size("_vl_arr")), "_vl_arr", levels, out).drop("_vl_arr")
+    return combine_array(arr.withColumn("n_parts", F.size("_vl_arr")), "_vl_arr", out).drop("_vl_arr")
 
 
 def tree_hash(payload: DataFrame, id_col: str = "aid", bytes_col: str = "bytes", leaf: int = TREE_HASH_LEAF,
@@ -99,4 +80,4 @@ def tree_hash(payload: DataFrame, id_col: str = "aid", bytes_col: str = "bytes",
     """Archive tree hash from its bytes (chunk level, then archive level)."""
     leaves = leaf_digests(payload, id_col, bytes_col, leaf)
     chunks = chunk_tree_hash(leaves, id_col, leaves_per_chunk)
-    return multipart_tree_hash(chunks, id_col, "part_no", "digest", out, archive_levels(leaf * leaves_per_chunk))
+    return multipart_tree_hash(chunks, id_col, "part_no", "digest", out)

@@ -6,10 +6,14 @@ them. The DuckDB spelling of the same views is in :mod:`vaultlens.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultlens.functions.sizing import chunk_count
+from vaultlens.sources import ranges_io
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -249,3 +253,28 @@ def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = F.unix_micros(F.col("ts").cast("timestamp"))
     return ev.select(F.col("event_type").alias("queue"), sent.alias("sent_us"),
                      (sent + F.round(F.col("value") * 60000000).cast("bigint")).alias("done_us"))
+
+
+def stage_objects(df: DataFrame, base: str, id_col: str = "aid", bytes_col: str = "bytes") -> DataFrame:
+    """Write each row's bytes as the object ``<base>/<id>``; returns (id, path, size).
+
+    Each attempt writes to its own temporary name and renames it into place, so a
+    retried or speculative task never interleaves with another attempt and a
+    re-run leaves the same object.
+    """
+    def write(batches):
+        for pdf in batches:
+            paths, sizes = [], []
+            for aid, data in zip(pdf[id_col], pdf[bytes_col]):
+                target = f"{base.rstrip('/')}/{aid}"
+                fs, p = ranges_io.file_system(target)
+                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                tmp = f"{p}.tmp-{uuid.uuid4().hex}"
+                with fs.open_output_stream(tmp) as out:
+                    out.write(bytes(data))
+                fs.move(tmp, p)
+                paths.append(target)
+                sizes.append(len(data))
+            yield pd.DataFrame({id_col: pdf[id_col], "path": paths, "size": pd.Series(sizes, dtype="int64")})
+
+    return df.select(id_col, bytes_col).mapInPandas(write, f"{id_col} string, path string, size long")

@@ -364,7 +364,7 @@ RANGE_UNIT = 4096  # part size used for the range I/O job (small objects in test
 def range_io(spark, sf_dir):
     """Documents staged as objects, then copied in ranged parts on the executors."""
     # The manifest is written once, so later stages never re-run the object writes.
-    objs = materialize(ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")), "manifest")
+    objs = materialize(B.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")), "manifest")
     plan = ranges.plan_ranges(objs, "size", RANGE_UNIT)
     return ranges_io.copy_byte_ranges(ranges_io.spread(plan), scratch_dir(spark, "parts"))
 
@@ -478,13 +478,12 @@ def stream_status_upsert(spark, sf_dir):
 
 @job
 def staged_tree_hash(spark, sf_dir):
-    """Objects staged as files, hash tasks planned per chunk, leaves read by range
-    on the executors, then chunk and archive tree hashes (4 leaves per chunk)."""
-    objs = materialize(ranges_io.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")), "manifest")
+    """Objects staged as files, hash tasks planned per chunk, chunks read and hashed by
+    range on the executors, then archive tree hashes (4 leaves per chunk)."""
+    objs = materialize(B.stage_objects(B.payload(spark, sf_dir), scratch_dir(spark, "objects")), "manifest")
     plan = ranges.plan_ranges(objs.withColumnRenamed("size", "sz"), "sz", 4 * ORACLE_LEAF)
-    leaves = ranges_io.scan_byte_ranges(ranges_io.spread(plan), leaf=ORACLE_LEAF)
-    chunks = treehash.chunk_tree_hash(leaves.drop("part_no"), leaves_per_chunk=4)
-    return treehash.multipart_tree_hash(chunks, levels=treehash.archive_levels(4 * ORACLE_LEAF)).select("aid", "tree_hash")
+    chunks = ranges_io.scan_byte_ranges(ranges_io.spread(plan), leaf=ORACLE_LEAF)
+    return treehash.multipart_tree_hash(chunks).select("aid", "tree_hash")
 
 
 @job
@@ -506,7 +505,7 @@ def object_listing(spark, sf_dir):
     p = B.payload(spark, sf_dir)
     half = F.col("aid").cast("bigint") % 2
     for i, prefix in enumerate(("results", "inventory")):
-        materialize(ranges_io.stage_objects(p.where(half == i), f"{base}/{prefix}"), f"manifest-{prefix}")
+        materialize(B.stage_objects(p.where(half == i), f"{base}/{prefix}"), f"manifest-{prefix}")
     listed = io.list_objects(spark, base, ["results", "inventory"])
     b = batch_number(listed, ["listing", "path"], 1000)
     return b.groupBy("listing", "batch").agg(F.count(F.lit(1)).alias("n_keys"),

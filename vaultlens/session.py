@@ -44,8 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is. Only when it is unset (local runs, tests) a private folder is
-    created and registered.
+    is used as is. When it is unset, a local master gets a private folder; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     global _LOCAL_SCRATCH
     sc = spark.sparkContext
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="vaultlens-ckpt-")
     sc.setCheckpointDir(_LOCAL_SCRATCH)

@@ -19,10 +19,14 @@ from pyspark.sql import functions as F
 from vaultlens.constants import TREE_HASH_LEAF
 
 BLOCK = 8 * 1024 * 1024
+TASK_BYTES = 4 * 1024 * 1024 * 1024   # planned bytes a task reads
 
 
-def _fs(uri: str):
+def file_system(uri: str):
+    """File system and path of a URI as Spark spells it (``s3a:`` is Arrow's ``s3:``)."""
     from pyarrow import fs as pafs
+    if uri.startswith(("s3a:", "s3n:")):
+        uri = "s3:" + uri[4:]
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     if uri.startswith("file:") and not uri.startswith("file://"):
@@ -31,87 +35,74 @@ def _fs(uri: str):
 
 
 def _read_range(path: str, start: int, end: int, block: int) -> Iterator[bytes]:
-    fs, p = _fs(path)
+    fs, p = file_system(path)
     with fs.open_input_file(p) as f:
         f.seek(start)
         left = end - start + 1
         while left > 0:
             b = f.read(min(block, left))
             if not b:
-                break
+                raise OSError(f"{path}: {left} bytes of the range {start}-{end} are missing")
             left -= len(b)
             yield b
 
 
-def stage_objects(df: DataFrame, base: str, id_col: str = "aid", bytes_col: str = "bytes") -> DataFrame:
-    """Write each row's bytes as the object ``<base>/<id>``; returns (id, path, size).
+class _Tree:
+    """Tree hash of a stream of leaves; keeps one digest per level."""
 
-    Each attempt writes to its own temporary name and renames it into place, so a
-    retried or speculative task never interleaves with another attempt and a
-    re-run leaves the same object.
-    """
-    def write(batches):
-        for pdf in batches:
-            paths, sizes = [], []
-            for aid, data in zip(pdf[id_col], pdf[bytes_col]):
-                target = f"{base.rstrip('/')}/{aid}"
-                fs, p = _fs(target)
-                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-                tmp = f"{p}.tmp-{uuid.uuid4().hex}"
-                with fs.open_output_stream(tmp) as out:
-                    out.write(bytes(data))
-                fs.move(tmp, p)
-                paths.append(target)
-                sizes.append(len(data))
-            yield pd.DataFrame({id_col: pdf[id_col], "path": paths, "size": pd.Series(sizes, dtype="int64")})
+    def __init__(self):
+        self.nodes: list[tuple[int, bytes]] = []   # (level, digest), levels falling
+
+    def add(self, leaf) -> None:
+        level, digest = 0, hashlib.sha256(leaf).digest()
+        while self.nodes and self.nodes[-1][0] == level:
+            digest = hashlib.sha256(self.nodes.pop()[1] + digest).digest()
+            level += 1
+        self.nodes.append((level, digest))
 
-    return df.select(id_col, bytes_col).mapInPandas(write, f"{id_col} string, path string, size long")
+    def root(self) -> str:
+        digest = self.nodes[-1][1]
+        for _, left in reversed(self.nodes[:-1]):   # an odd last node moves up unchanged
+            digest = hashlib.sha256(left + digest).digest()
+        return digest.hex()
 
 
 def scan_byte_ranges(plan: DataFrame, leaf: int = TREE_HASH_LEAF, id_col: str = "aid") -> DataFrame:
-    """Leaf digests of each planned range: (id, part_no, leaf_no, digest).
+    """Tree hash of each planned range: (id, part_no, digest), one row per plan row.
 
-    ``leaf_no`` counts from the start of the object, so ranges aligned to the
-    leaf size give the same leaves as hashing the whole object.
+    Leaves are hashed and combined where they are read; a task holds one block and one
+    digest per tree level. Ranges of a power-of-two number of leaves combine to the hash
+    of the whole object. A source shorter than its range is an error.
     """
     def run(batches):
         for pdf in batches:
-            out = {id_col: [], "part_no": [], "leaf_no": [], "digest": []}
             for aid, part, path, start, end in zip(pdf[id_col], pdf["part_no"], pdf["path"],
                                                    pdf["start_byte"], pdf["end_byte"]):
-                start, end = int(start), int(end)
-                n = start // leaf
-                emitted = False
-                carry = b""
-                for block in _read_range(path, start, end, max(leaf, (BLOCK // leaf) * leaf)):
-                    data = carry + block if carry else block
-                    mv = memoryview(data)
-                    full = len(data) // leaf * leaf
-                    for off in range(0, full, leaf):
-                        out[id_col].append(aid); out["part_no"].append(int(part)); out["leaf_no"].append(n)
-                        out["digest"].append(hashlib.sha256(mv[off:off + leaf]).hexdigest())
-                        n += 1
-                        emitted = True
-                    carry = bytes(mv[full:])
-                if carry or not emitted:
-                    out[id_col].append(aid); out["part_no"].append(int(part)); out["leaf_no"].append(n)
-                    out["digest"].append(hashlib.sha256(carry).hexdigest())
-            yield pd.DataFrame(out).astype({"part_no": "int32", "leaf_no": "int64"})
+                tree, seen = _Tree(), False
+                for block in _read_range(path, int(start), int(end), max(leaf, (BLOCK // leaf) * leaf)):
+                    mv, seen = memoryview(block), True
+                    for off in range(0, len(block), leaf):
+                        tree.add(mv[off:off + leaf])
+                if not seen:
+                    tree.add(b"")
+                yield pd.DataFrame({id_col: [aid], "part_no": [int(part)], "digest": [tree.root()]}) \
+                    .astype({"part_no": "int32"})
 
     return plan.select(id_col, "part_no", "path", "start_byte", "end_byte").mapInPandas(
-        run, f"{id_col} string, part_no int, leaf_no long, digest string")
+        run, f"{id_col} string, part_no int, digest string")
 
 
 def copy_byte_ranges(plan: DataFrame, dest: str, id_col: str = "aid") -> DataFrame:
     """Copy each planned range to ``<dest>/<id>/part-<n>``; returns the part manifest
-    (id, part_no, nbytes, etag) where the etag is the MD5 of the part, quoted."""
+    (id, part_no, nbytes, etag) where the etag is the MD5 of the part, quoted. Takes
+    ranged plans only: every row needs its part number and both range ends."""
     def run(batches):
         for pdf in batches:
             out = {id_col: [], "part_no": [], "nbytes": [], "etag": []}
             for aid, part, path, start, end in zip(pdf[id_col], pdf["part_no"], pdf["path"],
                                                    pdf["start_byte"], pdf["end_byte"]):
                 target = f"{dest.rstrip('/')}/{aid}/part-{int(part):05d}"
-                fs, p = _fs(target)
+                fs, p = file_system(target)
                 fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
                 md5 = hashlib.md5()
                 n = 0
@@ -130,6 +121,13 @@ def copy_byte_ranges(plan: DataFrame, dest: str, id_col: str = "aid") -> DataFra
         run, f"{id_col} string, part_no int, nbytes long, etag string")
 
 
-def spread(plan: DataFrame, id_col: str = "aid") -> DataFrame:
-    """Spread range tasks evenly over the cluster before the I/O step."""
-    return plan.repartition(F.col(id_col), F.col("part_no"))
+def spread(plan: DataFrame, id_col: str = "aid", task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Spread range tasks over the cluster before the I/O step.
+
+    A plan row is tiny but stands for up to a whole range, so the task count follows the
+    planned bytes. An explicit count is not coalesced by AQE.
+    """
+    planned = plan.agg(F.sum(F.col("end_byte") - F.col("start_byte") + 1).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    cores = plan.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-(planned.b or 0) // task_bytes), min(planned.n, cores))
+    return plan.repartition(int(tasks), F.col(id_col), F.col("part_no"))
