@@ -46,6 +46,13 @@ def test_malformed_json_falls_back(spark):
         ('{"Path":"first","Path":"last"}', "last"),
         ('{"Path":', '{"Path":'),
         ("<m><v>4</v></m>", ""),
+        ('{"Path":"a"}}', '{"Path":"a"}}'),
+        ('{"Path":"a"} {"x":1}', '{"Path":"a"} {"x":1}'),
+        ('{"Path":"a"},{"Path":"b"}', '{"Path":"a"},{"Path":"b"}'),
+        ("<m><p>abcde</p></m>", "i\ufffd\u001d"),
+        ("<m><p>6Q==</p></m>", "\ufffd"),
+        ("<m><p>aGVs bG8!</p></m>", "hello"),
+        ("<m><p></p></m>", ""),
     ]
     df = spark.createDataFrame(cases, "d string, expected string")
     got = df.select(parse_description("d").alias("p"), "expected").collect()

@@ -52,3 +52,8 @@ ERROR_NOISE = ["ThrottlingException", "Idle connections will be closed"]
 JS_WHITESPACE = "\\s\\u00A0\\uFEFF\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 JS_WHITESPACE_CHARS = ("\t\n\v\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
                        "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff")
+
+# Shapes of an archive description, in the order they are tried.
+M_FORM = "<m>.*</m>"
+METADATA_FORM = "<ArchiveMetadata>.*</ArchiveMetadata>"
+JSON_FORM = '\\{\\s*\\\\*".*\\}\\s*'

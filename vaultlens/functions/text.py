@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vaultlens.constants import JS_WHITESPACE, JS_WHITESPACE_CHARS, UNDEFINED_PREFIX
+from vaultlens.constants import JS_WHITESPACE, JS_WHITESPACE_CHARS, JSON_FORM, M_FORM, METADATA_FORM, UNDEFINED_PREFIX
 
 
 def _c(x) -> Column:
@@ -30,14 +30,18 @@ _LOW = "".join(chr(c - 128) for c in range(128, 256))
 def _b64_text(tag_text: Column, ascii7: bool = False) -> Column:
     """Decode base64 (standard or URL-safe alphabet) to text.
 
-    Default UTF-8. ``ascii7`` reproduces the migrated code's decoding (high bit
-    of every byte cleared, then read as Latin-1), which mangles non-ASCII names;
-    on ASCII payloads both agree.
+    Total: characters outside the alphabet are skipped, padding is not needed, a lone last
+    character is dropped, and bytes that are not UTF-8 become replacement characters.
+    ``ascii7`` reproduces the migrated code's decoding (high bit of every byte cleared,
+    then read as Latin-1), which mangles non-ASCII names; on ASCII payloads both agree.
     """
-    raw = F.unbase64(F.translate(tag_text, "-_", "+/"))
+    kept = F.regexp_replace(F.translate(tag_text, "-_", "+/"), "[^A-Za-z0-9+/]", "")
+    n = F.length(kept)
+    whole = F.when(n % 4 == 1, F.left(kept, n - 1)).otherwise(kept)
+    raw = F.unbase64(F.rpad(whole, F.ceil(F.length(whole) / 4).cast("int") * 4, F.lit("=")))
     if ascii7:
         return F.translate(F.decode(raw, "ISO-8859-1"), _HIGH, _LOW)
-    return F.decode(raw, "UTF-8")
+    return F.make_valid_utf8(raw.cast("string"))
 
 
 def _tag_value(d: Column, tag: str) -> Column:
@@ -48,15 +52,17 @@ def _tag_value(d: Column, tag: str) -> Column:
 def json_path(desc) -> Column:
     """``Path`` of a JSON description (possibly JSON-encoded twice), else NULL.
 
-    Strict parse (no single quotes; the last duplicate key wins); a missing or
-    null ``Path`` gives NULL, so the caller keeps the raw text.
+    Strict parse of the whole text as one document (no single quotes; the last duplicate
+    key wins); anything after the document, or a missing or null ``Path``, gives NULL, so
+    the caller keeps the raw text.
     """
     d = _c(desc)
-    json_form = d.rlike('\\{\\s*\\\\*".*\\}\\s*')
+    json_form = d.rlike(JSON_FORM)
     doc = F.when(d.startswith('"'), F.get_json_object(d, "$")).otherwise(d)
-    strict = F.from_json(doc, "Path string", {"allowSingleQuotes": "false"}).getField("Path")
+    # As the only element of an array, a document must end where the text ends.
+    docs = F.from_json(F.concat(F.lit("["), doc, F.lit("]")), "array<struct<Path:string>>", {"allowSingleQuotes": "false"})
     well_formed = doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$")
-    return F.when(json_form & well_formed, strict)
+    return F.when(json_form & well_formed & (F.size(docs) == 1), F.get(docs, 0).getField("Path"))
 
 
 def parse_description(desc, ascii7: bool = False, json_col=None) -> Column:
@@ -70,8 +76,8 @@ def parse_description(desc, ascii7: bool = False, json_col=None) -> Column:
     """
     d = _c(desc)
     jp = json_path(d) if json_col is None else _c(json_col)
-    m_form = d.rlike("<m>.*</m>")
-    am_form = d.rlike("<ArchiveMetadata>.*</ArchiveMetadata>")
+    m_form = d.rlike(M_FORM)
+    am_form = d.rlike(METADATA_FORM)
     m_val = _b64_text(_tag_value(d, "p"), ascii7)
     am_val = _b64_text(_tag_value(d, "Path"), ascii7)
     return (F.when(m_form, m_val)

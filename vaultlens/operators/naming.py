@@ -54,13 +54,12 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
     if materialize_input:
         rows = materialize(rows, "named")
     firsts = rows.groupBy("_vl_base").agg(F.min("_vl_ord").alias("_vl_ord"))
-    flagged = (rows.join(firsts.withColumn("_vl_first", F.lit(True)), ["_vl_base", "_vl_ord"], "left")
-                   .withColumn("_vl_first", F.coalesce(F.col("_vl_first"), F.lit(False))))
-    suffixed_later = (flagged.where(~F.col("_vl_first"))
-                             .select(suffix_name("_vl_base", date_col).alias("_vl_name"), "_vl_ord")
-                             .groupBy("_vl_name").agg(F.min("_vl_ord").alias("_vl_sord")))
-    first_rows = (flagged.where(F.col("_vl_first"))
-                         .select("_vl_base", "_vl_ord", suffix_name("_vl_base", date_col).alias("_vl_sname")))
+    # Both per-name tables are written once; the rounds below read them, not the rows.
+    suffixed_later = materialize(rows.join(firsts, ["_vl_base", "_vl_ord"], "left_anti")
+                                 .select(suffix_name("_vl_base", date_col).alias("_vl_name"), "_vl_ord")
+                                 .groupBy("_vl_name").agg(F.min("_vl_ord").alias("_vl_sord")), "names-later")
+    first_rows = materialize(rows.join(firsts, ["_vl_base", "_vl_ord"], "left_semi")
+                             .select("_vl_base", "_vl_ord", suffix_name("_vl_base", date_col).alias("_vl_sname")), "names-first")
     if recorded is not None:
         rec = recorded.select(F.col(name_col).alias("_vl_base")).distinct()
         hit = materialize(first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base"), "names-hit")
@@ -86,12 +85,12 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
         if n == n_prev:
             break
         n_prev = n
-    # Flag the chosen first rows through their unique (base, order) pair, so a
-    # hot base never funnels into one join task.
-    chosen_pairs = (first_rows.join(chosen, "_vl_base", "left_semi")
-                              .select("_vl_base", "_vl_ord", F.lit(True).alias("_vl_hit")))
-    res = flagged.join(chosen_pairs, ["_vl_base", "_vl_ord"], "left")
-    suffix = (~F.col("_vl_first")) | F.coalesce(F.col("_vl_hit"), F.lit(False))
+    # The rows are flagged once, through the unique (base, order) pairs of the first rows
+    # that keep their name, so a hot base never funnels into one join task.
+    keeps = (first_rows.join(chosen, "_vl_base", "left_anti")
+                       .select("_vl_base", "_vl_ord", F.lit(True).alias("_vl_keeps")))
+    res = rows.join(keeps, ["_vl_base", "_vl_ord"], "left")
+    suffix = F.col("_vl_keeps").isNull()
     return (res.withColumn(out, F.when(suffix, suffix_name("_vl_base", date_col)).otherwise(F.col("_vl_base")))
                .withColumn("suffixed", suffix)
-               .drop("_vl_base", "_vl_ord", "_vl_first", "_vl_hit"))
+               .drop("_vl_base", "_vl_ord", "_vl_keeps"))

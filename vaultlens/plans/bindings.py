@@ -29,7 +29,10 @@ def inventory_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     archiveid = order-line-part-supplier; creationdate = ship date text (many ties);
     size = quantity x 256 MiB (quantity 16 lands on exactly 4 GiB); the
-    description takes one of seven shapes chosen by the line number.
+    description takes one of seven shapes chosen by the line number, and first lines
+    take six more by the order: base64 without padding and with foreign characters,
+    bytes that are not UTF-8, a JSON text with an extra brace or a second document, and
+    a plain name that equals what another archive's suffixed name may be.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
@@ -38,12 +41,20 @@ def inventory_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("/obj"), (F.col("l_suppkey") % 10).cast("string"))
     b64 = F.base64(F.col("base").cast("binary"))
     ln = F.col("ln")
+    m = F.col("ok") % 7
+    odd = (F.when(m == 1, F.concat(F.lit("<m><p>!"), F.replace(b64, F.lit("="), F.lit("")), F.lit("*</p></m>")))
+            .when(m == 2, F.concat(F.lit('{"Path":"'), F.col("base"), F.lit('"}}')))
+            .when(m == 3, F.concat(F.lit('{"Path":"'), F.col("base"), F.lit('"} {"x":1}')))
+            .when(m == 4, F.lit("<m><p>6Q==</p></m>"))
+            .when(m == 5, F.concat(F.col("base"), F.lit("-1995-06-17")))
+            .otherwise(F.col("base")))
     desc = (F.when(ln == 2, F.concat(F.lit("<m><v>4</v><p>"), b64, F.lit(" </p><lm>x</lm></m>")))
              .when(ln == 3, F.concat(F.lit('{"Path":"'), F.col("base"), F.lit('","UTCDateModified":"x"}')))
              .when(ln == 4, F.translate(F.col("base"), "/", "\\"))
              .when(ln == 5, F.lit("   "))
              .when(ln == 6, F.concat(F.lit('"<ArchiveMetadata>  <Path>  '), b64, F.lit('  </Path></ArchiveMetadata>"')))
              .when(ln == 7, F.lit('{"Path":"   "}'))
+             .when(ln == 1, odd)
              .otherwise(F.col("base")))
     z = li.select(
         F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey")).alias("archiveid"),
@@ -190,10 +201,6 @@ def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(key.alias("key"), F.length("url").cast("bigint").alias("size"))
 
 
-def status_records_view(inv_named: DataFrame) -> DataFrame:
-    return inv_named.withColumn("cc", chunk_count("size"))
-
-
 def throttle_events(spark: SparkSession, sf_dir: str, parted: DataFrame) -> DataFrame:
     """Throttling errors: each ``error`` event of user u hits the archive numbered u,
     adding that archive's whole size (as a failed chunk copy does)."""

@@ -524,6 +524,6 @@ def request_rows(spark, sf_dir):
     todo = (parted.join(last, "part", "left")
                   .where(F.col("row_num") > F.coalesce(F.col("max_ifn"), F.lit(0)))
                   .drop("max_ifn"))
-    recorded_names = done.select("fname")
-    named = naming.unique_names(todo, recorded=recorded_names)
+    # The status table holds assigned names, not the names parsed from descriptions.
+    named = naming.unique_names(todo, recorded=naming.unique_names(done).select("fname"))
     return status_rows(named).select("aid", "ifn", "pid", "fname", "cc")

@@ -17,7 +17,15 @@ inv_x AS (
             when 5 then '   '
             when 6 then '"<ArchiveMetadata>  <Path>  ' || base64(encode(base)) || '  </Path></ArchiveMetadata>"'
             when 7 then '{"Path":"   "}'
-            else base end AS archivedescription
+            when 1 then case ok % 7 when 1 then '<m><p>!' || replace(base64(encode(base)), '=', '') || '*</p></m>'
+                                    when 2 then '{"Path":"' || base || '"}}' when 3 then '{"Path":"' || base || '"} {"x":1}'
+                                    when 4 then '<m><p>6Q==</p></m>' when 5 then base || '-1995-06-17' else base end
+            else base end AS archivedescription,
+    case when ln in (5, 7) then '00undefined/' || archiveid
+         when ln = 1 and ok % 7 = 2 then '{"Path":"' || base || '"}}'
+         when ln = 1 and ok % 7 = 3 then '{"Path":"' || base || '"} {"x":1}'
+         when ln = 1 and ok % 7 = 4 then chr(65533)
+         when ln = 1 and ok % 7 = 5 then base || '-1995-06-17' else base end AS nm
   from (select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
                               cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS archiveid,
                strftime(l_shipdate, '%Y-%m-%d') AS creationdate,
@@ -56,19 +64,19 @@ dovr AS (
 
 VIEWS["parted"] = r"""
 parted AS (
-  select r.archiveid, r.creationdate, r.size, r.sha256treehash, r.row_num, r.base, r.ln, r.ok,
+  select r.archiveid, r.creationdate, r.size, r.sha256treehash, r.row_num, r.base, r.ln, r.ok, r.nm,
          case when length(trim(d.override)) > 0 then d.override else r.archivedescription end AS archivedescription,
          case when length(trim(d.override)) > 0 then 1 else 0 end AS ov,
          r.row_num // p.psize AS part
   from numbered r left join dovr d on r.archiveid = d.archiveid cross join psize p
 )"""
 
-# Resolved names follow from how the descriptions were built: shapes 5 and 7 are
-# blank, all others carry ``base``; overrides replace the description first.
+# Resolved names (``nm``) follow from how the descriptions were built; overrides replace
+# the description first.
 VIEWS["named"] = r"""
 named AS (
   select *, case when ov = 1 then replace(trim(archivedescription), '\', '/')
-                 when ln in (5, 7) then '00undefined/' || archiveid else base end AS fname0
+                 else nm end AS fname0
   from parted
 )"""
 
@@ -110,14 +118,18 @@ ORACLE["partition_plan"] = with_views(
        from parted group by part""", "parted")
 
 ORACLE["resolve_names"] = with_views(
-    "select archiveid, case when ln in (5, 7) then '00undefined/' || archiveid else base end AS fname from inv_x",
+    "select archiveid, nm AS fname from inv_x",
     "inv_x")
 
+# A first row is suffixed too if its name equals the suffixed name of an earlier row. (Names
+# made that way carry two dates and meet no other, so one step is the whole fixpoint.)
 VIEWS["uniq"] = r"""
+uniq0 AS (select *, row_number() over (partition by fname0 order by row_num) AS k from named),
+sfx AS (select fname0 || '-' || creationdate AS sname, min(row_num) AS srow from uniq0 where k > 1 group by 1),
 uniq AS (
-  select *, case when row_number() over (partition by fname0 order by row_num) > 1
-                 then fname0 || '-' || creationdate else fname0 end AS fname
-  from named
+  select uniq0.*, case when k > 1 or coalesce(srow < row_num, false)
+                       then fname0 || '-' || creationdate else fname0 end AS fname
+  from uniq0 left join sfx on k = 1 and sname = fname0
 )"""
 _DEPS["uniq"] = ["named"]
 
@@ -202,7 +214,7 @@ ORACLE["release_plan"] = with_views(
        select aid, x.fname, case when cc <= 1 then null else cast(g as integer) end AS part_no,
               case when cc <= 1 then null else (g - 1) * {_C4} end AS start_byte,
               case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte,
-              'staging%2F' || replace(x.fname, '/', '%2F') AS copy_source,
+              'staging%2F' || url_encode(x.fname) AS copy_source,
               staged.key is not null AS staged
        from x left join staged on x.fname = staged.key""", "uniq")
 
@@ -438,13 +450,19 @@ from r group by 1, 2"""
 
 ORACLE["request_rows"] = with_views(
     """, rec AS (select i.archiveid from inv_x i join orders o on i.ok = o.o_orderkey where o.o_orderstatus = 'F'),
-       done AS (select * from named where archiveid in (select archiveid from rec)),
+       done AS (select *, row_number() over (partition by fname0 order by row_num) AS k
+                from named where archiveid in (select archiveid from rec)),
+       dsfx AS (select fname0 || '-' || creationdate AS sname, min(row_num) AS srow from done where k > 1 group by 1),
+       recn AS (select distinct case when k > 1 or coalesce(srow < row_num, false)
+                                     then fname0 || '-' || creationdate else fname0 end AS rname
+                from done left join dsfx on k = 1 and sname = fname0),
        lastp AS (select part, max(row_num) AS max_ifn from done group by part),
-       todo AS (select n.* from named n left join lastp l on n.part = l.part where n.row_num > coalesce(l.max_ifn, 0)),
-       recn AS (select distinct fname0 from done)
+       todo AS (select n.*, row_number() over (partition by n.fname0 order by n.row_num) AS k,
+                       n.fname0 in (select rname from recn) AS taken
+                from named n left join lastp l on n.part = l.part where n.row_num > coalesce(l.max_ifn, 0)),
+       tsfx AS (select fname0 || '-' || creationdate AS sname, min(row_num) AS srow from todo where k > 1 or taken group by 1)
        select archiveid AS aid, cast(row_num as bigint) AS ifn, cast(part as bigint) AS pid,
-              case when fname0 in (select fname0 from recn)
-                     or row_number() over (partition by fname0 order by row_num) > 1
+              case when k > 1 or taken or coalesce(srow < row_num, false)
                    then fname0 || '-' || creationdate else fname0 end AS fname,
               cast((size + 4294967295) // 4294967296 as integer) AS cc
-       from todo""", "named")
+       from todo left join tsfx on k = 1 and sname = fname0""", "named")
