@@ -80,3 +80,12 @@ def test_raw_chunk_attributes(spark):
                                "aid string, attrs map<string,string>")
     got = sorted((r.part_no, r.kind) for r in lifecycle.chunk_rows_from_record(df).collect())
     assert got == [(1, "etag"), (2, "hashed")]
+
+
+def test_written_null_clears_a_field(spark):
+    log = spark.createDataFrame([("a", 1, "t1", "x", ["sgt", "psdt"]), ("a", 2, None, None, ["sgt"]), ("b", 1, "t2", None, ["sgt"])],
+                                "aid string, seq int, sgt string, psdt string, written array<string>")
+    got = {r.aid: (r.sgt, r.psdt) for r in lifecycle.latest_state(log, "aid", "seq", ["sgt", "psdt"], "written").collect()}
+    assert got == {"a": (None, "x"), "b": ("t2", None)}
+    img = {r.aid: (r.sgt, r.psdt) for r in lifecycle.latest_image(log, "aid", "seq", ["sgt", "psdt"]).collect()}
+    assert img == {"a": (None, None), "b": ("t2", None)}

@@ -60,3 +60,18 @@ def test_oldest_message_age(spark):
                                "queue string, sent_us long, done_us long")
     got = sorted((r.at_us, r.age_us) for r in progress.oldest_message_age(df).collect())
     assert got == [(p, p - 10), (2 * p, 2 * p - 10)]
+
+
+def test_oldest_message_age_against_model(spark):
+    import random
+    rnd, p = random.Random(7), 100_000_000
+    rows = [(rnd.choice("ab"), s := rnd.randint(0, 40 * p), rnd.choice([None, s + rnd.randint(0, 9 * p)])
+             if rnd.random() < 0.1 else s + rnd.randint(0, 3 * p)) for _ in range(300)]
+    report = max(max(s, d or s) for _, s, d in rows)
+    want = {}
+    for q, s, d in rows:
+        for k in range(-(-s // p), -(-(d or report) // p)):
+            want[q, k * p] = max(want.get((q, k * p), 0), k * p - s)
+    df = spark.createDataFrame(rows, "queue string, sent_us long, done_us long")
+    got = {(r.queue, r.at_us): r.age_us for r in progress.oldest_message_age(df, 100).collect()}
+    assert got == want

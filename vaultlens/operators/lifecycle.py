@@ -35,13 +35,12 @@ def retry_requests(routed: DataFrame, id_col: str = "aid", clear_started: bool =
                                F.col("sz").cast("bigint").alias("ArchiveSizeInBytes")))
     # Same envelope as an original retrieval notice: {"Message": "<json text>"}.
     msg = F.to_json(F.struct(inner.alias("Message")))
+    # the chunk attributes whose values the retry removes
+    chunks = [chunk_list_expr(F.col("cc")).alias("clear_chunks")] if "cc" in routed.columns else []
     out = r.select(id_col, (F.col("rc") + 1).alias("rc"), F.lit(None).cast("timestamp").alias("sgt"),
-                   msg.alias("message"))
+                   msg.alias("message"), *chunks)
     if clear_started:
         out = out.withColumn("psdt", F.lit(None).cast("timestamp"))
-    if "cc" in routed.columns:
-        # the chunk attributes whose values the retry removes
-        out = out.join(r.select(id_col, chunk_list_expr(F.col("cc")).alias("clear_chunks")), id_col)
     return out
 
 
@@ -100,14 +99,23 @@ def work_gates(notices: DataFrame, status: DataFrame, id_col: str = "aid") -> Da
         F.when(F.col("vdt").isNotNull(), "release").otherwise("hash").alias("hash_route"))
 
 
-def latest_state(log: DataFrame, key: str, seq_col: str, fields: list[str]) -> DataFrame:
+def latest_image(log: DataFrame, key: str, seq_col: str, fields: list[str]) -> DataFrame:
+    """Current record per key from a log of whole images: the latest image wins, so a field
+    it does not have is cleared."""
+    return (log.groupBy(key).agg(F.max_by(F.struct(*fields), seq_col).alias("_vl_rec"))
+               .select(key, "_vl_rec.*"))
+
+
+def latest_state(log: DataFrame, key: str, seq_col: str, fields: list[str], written: str) -> DataFrame:
     """Current record per key from an append-only log of partial updates.
 
-    Each field takes its value from the latest entry that set it (an upsert
-    that leaves a field out keeps the old value).
+    ``written`` lists the fields an entry writes. Each field takes its value from the latest
+    entry that wrote it: a field left out keeps its old value, a written null clears it.
     """
-    aggs = [F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(seq_col))).alias(f) for f in fields]
-    return log.groupBy(key).agg(*aggs)
+    aggs = [F.max_by(F.struct(F.col(f).alias("v")), F.when(F.array_contains(written, f), F.col(seq_col))).alias(f)
+            for f in fields]
+    st = log.groupBy(key).agg(*aggs)
+    return st.select(key, *[F.col(f).getField("v").alias(f) for f in fields])
 
 
 def chunk_rows_from_record(records: DataFrame, attrs_col: str = "attrs", id_col: str = "aid") -> DataFrame:

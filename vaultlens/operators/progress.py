@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultlens.constants import (ERROR_NOISE, ERROR_SPELLINGS, METRIC_BYTES_NAMES, METRIC_COUNT_NAMES,
                                  METRIC_UNIT, METRIC_WINDOW, STAGE_FIELDS)
 
+COUNTERS = [name for _, name in STAGE_FIELDS] + ["total", "throttledBytes", "failedBytes", "errorCount"]
+
 
 def drop_removals(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("event_name") != "REMOVE")
@@ -56,8 +58,9 @@ def counter_totals(deltas: DataFrame) -> DataFrame:
 
 
 def counter_get(counters: DataFrame, pk: str) -> DataFrame:
-    """One counter item as a single wide row (no row when the item is missing)."""
-    return counters.where(F.col("pk") == pk).groupBy("pk").pivot("counter").agg(F.first("value"))
+    """One counter item as a single wide row with all known counters (no row when the item is
+    missing). The counters are listed, so no job runs to find them."""
+    return counters.where(F.col("pk") == pk).groupBy("pk").pivot("counter", COUNTERS).agg(F.first("value"))
 
 
 def progress_points(counters: DataFrame) -> DataFrame:
@@ -109,20 +112,29 @@ def latest_metric_values(points: DataFrame, seq=None) -> DataFrame:
     return points.groupBy("metric").agg(F.max_by("value", order).alias("value"))
 
 
-def oldest_message_age(messages: DataFrame, period_s: int = 300) -> DataFrame:
+def oldest_message_age(messages: DataFrame, period_s: int = 300, report_us: Column | None = None) -> DataFrame:
     """Age of the oldest undelivered message per queue, sampled at every period end.
 
-    A message is in flight from ``sent_us`` until ``done_us``; it is explode into
-    the period ends it spans (bounded by its own lifetime), then a partial min
-    per (queue, period end).
+    A message is in flight from ``sent_us`` until ``done_us``, and without one until the
+    report time (default: the latest time in the table). Messages are first reduced to the
+    oldest per (queue, last period): at most one row a period. A running minimum from the
+    last period down then gives each stretch of periods its oldest message, and only these
+    stretches, which do not overlap, become rows.
     """
     p = period_s * 1_000_000
-    first = F.ceil(F.col("sent_us") / F.lit(float(p))).cast("bigint")
-    last = (F.ceil(F.col("done_us") / F.lit(float(p))) - 1).cast("bigint")
-    m = messages.withColumn("_vl_a", first).withColumn("_vl_b", last).where(F.col("_vl_a") <= F.col("_vl_b"))
-    ex = m.select("queue", "sent_us", F.explode(F.sequence("_vl_a", "_vl_b")).alias("k"))
-    return (ex.groupBy("queue", "k").agg(F.min("sent_us").alias("oldest_us"))
-              .select("queue", (F.col("k") * p).alias("at_us"), (F.col("k") * p - F.col("oldest_us")).alias("age_us")))
+    if report_us is None:
+        report_us = messages.agg(F.max(F.greatest("sent_us", F.coalesce("done_us", "sent_us")))).scalar()
+    period = lambda t: F.ceil(t / F.lit(float(p))).cast("bigint")
+    m = messages.select("queue", "sent_us", (period(F.coalesce("done_us", report_us)) - 1).alias("last")) \
+                .where(period(F.col("sent_us")) <= F.col("last"))
+    g = m.groupBy("queue", "last").agg(F.min("sent_us").alias("sent_us"))
+    later = Window.partitionBy("queue").orderBy(F.col("last").desc())
+    g = g.withColumn("oldest_us", F.min("sent_us").over(later.rowsBetween(Window.unboundedPreceding, 0))) \
+         .withColumn("below", F.lead("last").over(later))
+    first = F.greatest(period(F.col("oldest_us")), F.coalesce(F.col("below") + 1, period(F.col("oldest_us"))))
+    ex = g.withColumn("first", first).where("first <= last") \
+          .select("queue", "oldest_us", F.explode(F.sequence("first", "last")).alias("k"))
+    return ex.select("queue", (F.col("k") * p).alias("at_us"), (F.col("k") * p - F.col("oldest_us")).alias("age_us"))
 
 
 def error_log(logs: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:

@@ -136,6 +136,18 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     name.alias("event_name"), old.alias("old"), image(False).alias("new"))
 
 
+STATUS_FIELDS = ["cdt", "sgt", "vdt", "cpt", "sz"]
+
+
+def status_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new image of each change record that is not a removal; every 11th event is a retry,
+    which has cleared the staged time."""
+    c = changes(spark, sf_dir).where(F.col("event_name") != "REMOVE")
+    return c.select("aid", F.struct("ts", "event_id").alias("seq"), *[
+        (F.when(F.col("event_id") % 11 != 0, F.col("new").getField(f)) if f == "sgt" else F.col("new").getField(f)).alias(f)
+        for f in STATUS_FIELDS])
+
+
 def chunk_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-chunk results as the pipeline records them, with redeliveries.
 
@@ -254,12 +266,13 @@ def status_light(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queue messages from events: queue = event type, sent at ts, deleted
-    ``value`` minutes later."""
-    ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    """Queue messages from events: queue = event type, sent at ts, deleted ``value``
+    minutes later; every 97th is never deleted."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     sent = F.unix_micros(F.col("ts").cast("timestamp"))
+    done = sent + F.round(F.col("value") * 60000000).cast("bigint")
     return ev.select(F.col("event_type").alias("queue"), sent.alias("sent_us"),
-                     (sent + F.round(F.col("value") * 60000000).cast("bigint")).alias("done_us"))
+                     F.when(F.col("event_id") % 97 != 0, done).alias("done_us"))
 
 
 def stage_objects(df: DataFrame, base: str, id_col: str = "aid", bytes_col: str = "bytes") -> DataFrame:

@@ -204,10 +204,7 @@ def work_gates(spark, sf_dir):
 
 @job
 def latest_status(spark, sf_dir):
-    ch = progress.drop_removals(B.changes(spark, sf_dir))
-    log = ch.select("aid", F.struct("ts", "event_id").alias("seq"),
-                    *[F.col("new").getField(f).alias(f) for f in ("cdt", "sgt", "vdt", "cpt", "sz")])
-    st = lifecycle.latest_state(log, "aid", "seq", ["cdt", "sgt", "vdt", "cpt", "sz"])
+    st = lifecycle.latest_image(B.status_images(spark, sf_dir), "aid", "seq", B.STATUS_FIELDS)
     return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
 
 
@@ -274,12 +271,9 @@ def error_log(spark, sf_dir):
 def cleanup_batches(spark, sf_dir):
     """Listings of the five prefixes, appended in order, cut into delete batches."""
     keys = B.object_keys(spark, sf_dir)
-    listings = [keys.where(F.col("key").startswith(p)).withColumn("listing", F.lit(i))
-                for i, p in enumerate(B.LISTING_PREFIXES)]
-    allkeys = listings[0]
-    for df in listings[1:]:
-        allkeys = allkeys.unionByName(df)
-    b = batch_number(allkeys, ["listing", "key"], 1000)
+    # One scan numbers the listings; keys under no prefix are not listed.
+    number = F.coalesce(*[F.when(F.col("key").startswith(p), F.lit(i)) for i, p in enumerate(B.LISTING_PREFIXES)])
+    b = batch_number(keys.withColumn("listing", number).where("listing is not null"), ["listing", "key"], 1000)
     return b.groupBy("batch").agg(F.count(F.lit(1)).alias("n_keys"), F.min_by("key", F.struct("listing", "key")).alias("first_key"),
                                   F.max_by("key", F.struct("listing", "key")).alias("last_key"))
 
@@ -402,7 +396,7 @@ def stream_first_transition(spark, sf_dir):
     src, schema = _as_files(ch.unionByName(ch), spark, "changes-replayed")
     sink, ck = scratch_dir(spark, "first-transition"), scratch_dir(spark, "ck")
     streams.first_transition_stream(_stream(spark, src, schema), sink, ck)
-    return spark.read.schema(STAGE_ROWS).parquet(sink)
+    return streams.latest_batch(spark, sink, STAGE_ROWS)
 
 
 @job
@@ -469,10 +463,10 @@ def stream_hash_validation(spark, sf_dir):
 
 @job
 def stream_status_upsert(spark, sf_dir):
-    src, schema = _as_files(B.changes(spark, sf_dir), spark, "changes-upsert")
+    src, schema = _as_files(B.status_images(spark, sf_dir), spark, "images-upsert")
     sink, ck = scratch_dir(spark, "status-log"), scratch_dir(spark, "ck")
     streams.status_upsert_stream(_stream(spark, src, schema), sink, ck)
-    st = lifecycle.latest_state(spark.read.parquet(sink), "aid", "seq", ["cdt", "sgt", "vdt", "cpt", "sz"])
+    st = lifecycle.latest_image(spark.read.parquet(sink), "aid", "seq", B.STATUS_FIELDS)
     return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
 
 

@@ -313,7 +313,8 @@ _FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 ORACLE["latest_status"] = f"""
 select cast(user_id as varchar) AS aid,
        strftime(min(ts) filter (where event_type = 'signup'), {_FMT}) AS cdt,
-       strftime(min(ts) filter (where event_type = 'click'), {_FMT}) AS sgt,
+       case when arg_max(event_id, (ts, event_id)) % 11 <> 0
+            then strftime(min(ts) filter (where event_type = 'click'), {_FMT}) end AS sgt,
        strftime(min(ts) filter (where event_type = 'view'), {_FMT}) AS vdt,
        strftime(min(ts) filter (where event_type = 'purchase'), {_FMT}) AS cpt,
        cast(user_id * 1000 + 1 as bigint) AS sz
@@ -361,7 +362,9 @@ select metric, value from (
   from events) q where rn = 1"""
 
 ORACLE["oldest_message_age"] = """
-WITH m AS (select event_type AS queue, epoch_us(ts) AS s, epoch_us(ts) + cast(round(value * 60000000) as bigint) AS d from events),
+WITH m0 AS (select event_type AS queue, epoch_us(ts) AS s,
+                   case when event_id % 97 <> 0 then epoch_us(ts) + cast(round(value * 60000000) as bigint) end AS d from events),
+m AS (select queue, s, coalesce(d, (select max(greatest(s, coalesce(d, s))) from m0)) AS d from m0),
 k AS (select queue, s, unnest(generate_series(cast(ceil(s / 300000000.0) as bigint), cast(ceil(d / 300000000.0) as bigint) - 1)) AS k from m)
 select queue, k * 300000000 AS at_us, k * 300000000 - min(s) AS age_us from k group by queue, k"""
 
