@@ -13,6 +13,7 @@ text for work messages) under ``--out``.
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,7 +91,7 @@ def progress_points(spark: SparkSession, changes: str, out: str, dimension: str
     ch = spark.read.parquet(changes)
     points = progress.progress_points(progress.counter_totals(
         progress.counter_deltas(progress.stage_counts(ch))))
-    progress.append_metric_points(points, out, dimension)
+    progress.write_metric_points(points, out, dimension, int(time.time()))
     return spark.read.parquet(out)
 
 

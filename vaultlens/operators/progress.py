@@ -157,9 +157,7 @@ def metric_point_rows(points: DataFrame, dimension: str, ts=None) -> DataFrame:
                          F.lit(METRIC_UNIT).alias("unit"), F.col("value").cast("bigint").alias("value"))
 
 
-def append_metric_points(points: DataFrame, path: str, dimension: str, ts=None) -> bool:
-    """Append the points to the metric table; nothing is written when there are none."""
-    if points.isEmpty():
-        return False
-    metric_point_rows(points, dimension, ts).write.mode("append").parquet(path)
-    return True
+def write_metric_points(points: DataFrame, path: str, dimension: str, batch_id: int, ts=None) -> None:
+    """Add one batch of points to the metric table. The batch id is its folder: publishing a
+    batch again replaces it."""
+    metric_point_rows(points, dimension, ts).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")

@@ -245,7 +245,7 @@ def hash_status(spark: SparkSession, sf_dir: str, computed: DataFrame) -> DataFr
 
 
 def status_light(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status rows with progress timestamps set from the line's flags:
+    """Status rows (with the object's key) and progress timestamps set from the line's flags:
     copy started when the line status is F, staged when returned (A or R),
     validated when R."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -262,7 +262,7 @@ def status_light(spark: SparkSession, sf_dir: str) -> DataFrame:
                               sz.alias("sz"), chunk_count(sz).cast("int").alias("cc")).alias("_vl_rec"))
     # A key-value table: a later put of the same key replaces the earlier one.
     return (puts.groupBy("aid").agg(F.max_by("_vl_rec", "_vl_seq").alias("_vl_rec"))
-                .select("aid", "_vl_rec.*"))
+                .select("aid", F.concat(F.lit("obj/"), "aid").alias("fname"), "_vl_rec.*"))
 
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

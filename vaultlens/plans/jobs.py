@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultlens.functions.sizing import chunk_count
+from vaultlens.constants import STAGE_FIELDS
+from vaultlens.functions.sizing import chunk_count, int_parse
 from vaultlens.functions.text import split_location, uri_encode
 from vaultlens.operators import inventory as invops
 from vaultlens.operators import lifecycle, naming, progress, ranges, treehash
@@ -176,7 +177,7 @@ def _routed(spark, sf_dir):
 
 @job
 def hash_validation(spark, sf_dir):
-    routed = _routed(spark, sf_dir)
+    routed = materialize(_routed(spark, sf_dir), "routed")
     retry = lifecycle.retry_requests(routed).select("aid", F.col("rc").alias("next_rc"), "message")
     return routed.select("aid", "sz", "rc", "route").join(retry, "aid", "left")
 
@@ -213,12 +214,16 @@ def stage_progress(spark, sf_dir):
     return progress.stage_rows(progress.stage_counts(B.changes(spark, sf_dir)))
 
 
-def _counters(spark, sf_dir):
-    deltas = progress.counter_deltas(progress.stage_counts(B.changes(spark, sf_dir)))
+def _totals(spark, sf_dir):
     summ = invops.inventory_summary(B.inventory(spark, sf_dir))
-    totals = summ.select(F.inline(F.array(
+    return summ.select(F.inline(F.array(
         F.struct(F.lit("count").alias("pk"), F.lit("total").alias("counter"), F.col("archive_count").alias("value")),
         F.struct(F.lit("volume").alias("pk"), F.lit("total").alias("counter"), F.col("vault_bytes").alias("value")))))
+
+
+def _counters(spark, sf_dir):
+    deltas = progress.counter_deltas(progress.stage_counts(B.changes(spark, sf_dir)))
+    totals = _totals(spark, sf_dir)
     ev = B.table(spark, sf_dir, "events").where(F.col("event_type") == "error")
     thr = ev.agg(F.sum(F.col("user_id") * 1000 + 1).alias("b"), F.count(F.lit(1)).alias("e")).select(F.inline(F.array(
         F.struct(F.lit("throttling").alias("pk"), F.lit("throttledBytes").alias("counter"), F.col("b").alias("value")),
@@ -240,8 +245,14 @@ def progress_metrics(spark, sf_dir):
     """Counter table -> metric points, published to the metric table and read back."""
     points = progress.progress_points(_counters(spark, sf_dir))
     path = scratch_dir(spark, "metric-points")
-    progress.append_metric_points(points, path, METRIC_DIMENSION)
-    return spark.read.parquet(path).select("metric", "value")
+    progress.write_metric_points(points, path, METRIC_DIMENSION, 0)
+    return spark.read.parquet(path).select("metric", "dimension", "unit", "value")
+
+
+@job
+def counter_item(spark, sf_dir):
+    """The ``count`` item of the counter table as one wide row."""
+    return progress.counter_get(_counters(spark, sf_dir), "count").select("pk", *[c for _, c in STAGE_FIELDS], "total")
 
 
 @job
@@ -301,6 +312,15 @@ def partition_roundtrip(spark, sf_dir):
                        "archivedescription", "part").distinct()
 
 
+@job
+def one_partition(spark, sf_dir):
+    """One request partition read from the written table; only its files are scanned. The
+    partition number comes as text, as a work message carries it."""
+    back, parted = _written_parts(spark, sf_dir)
+    number = parted.select(F.max("part").cast("string").alias("text")).select(int_parse("text").alias("n")).first().n
+    return invops.read_partition(back, number)
+
+
 @job
 def max_partition(spark, sf_dir):
     return invops.max_partition(_parted(spark, sf_dir, STATS_COLS))
@@ -363,9 +383,14 @@ def range_io(spark, sf_dir):
     return ranges_io.copy_byte_ranges(ranges_io.spread(plan), scratch_dir(spark, "parts"))
 
 
-def _as_files(df: DataFrame, spark, name: str, n_files: int = 8) -> tuple[str, T.StructType]:
+FILE_ROWS = 500_000   # rows of a source file of the streams
+
+
+def _as_files(df: DataFrame, spark, name: str) -> tuple[str, T.StructType]:
+    """The rows as a folder of files: some for several micro-batches, more as the rows grow."""
     path = scratch_dir(spark, name)
-    df.repartition(n_files).write.mode("overwrite").parquet(path)
+    rows = materialize(df, f"{name}-rows")
+    rows.repartition(max(8, rows.count() // FILE_ROWS)).write.mode("overwrite").parquet(path)
     return path, df.schema
 
 
@@ -380,15 +405,25 @@ STAGE_ROWS = T.StructType([T.StructField("stage", T.StringType()), T.StructField
 @job
 def stream_stage_progress(spark, sf_dir):
     src, schema = _as_files(B.changes(spark, sf_dir), spark, "changes")
-    sink, ck = scratch_dir(spark, "stage-deltas"), scratch_dir(spark, "ck")
+    sink, ck = scratch_dir(spark, "stage-totals"), scratch_dir(spark, "ck")
     streams.stage_progress_stream(_stream(spark, src, schema), sink, ck)
-    deltas = spark.read.parquet(sink)
-    totals = progress.counter_totals(deltas)
+    totals = streams.latest_batch(spark, sink, streams.COUNTER_ROWS)
     return (totals.groupBy(F.col("counter").alias("stage"))
                   .agg(F.max(F.when(F.col("pk") == "count", F.col("value"))).alias("n"),
                        F.max(F.when(F.col("pk") == "volume", F.col("value"))).alias("bytes")))
 
 
+@job
+def scheduled_snapshot(spark, sf_dir):
+    """The metric points that the last batch of the progress stream publishes; totals are fixed."""
+    src, schema = _as_files(B.changes(spark, sf_dir), spark, "changes-snapshot")
+    points, ck = scratch_dir(spark, "snapshot-points"), scratch_dir(spark, "ck")
+    streams.stage_progress_stream(_stream(spark, src, schema), scratch_dir(spark, "snapshot-totals"), ck,
+                                  points_sink=points, fixed_counters=_totals(spark, sf_dir))
+    rows = T._parse_datatype_string("metric string, dimension string, unit string, value long")
+    return streams.latest_batch(spark, points, rows)
+
+
 @job
 def stream_first_transition(spark, sf_dir):
     """Every change record delivered twice; each (archive, stage) still counts once."""
@@ -411,53 +446,66 @@ def stream_chunk_completion(spark, sf_dir):
 @job
 def stream_metric_window(spark, sf_dir):
     """Metric points arrive in four time-ordered appends; 10-minute watermark."""
-    pts = B.metric_points(spark, sf_dir).select("ts", "metric", "value")
-    src = scratch_dir(spark, "metric-points")
+    pts = materialize(B.metric_points(spark, sf_dir).select("ts", "metric", "value"), "metric-rows")
+    src, sink, ck = (scratch_dir(spark, n) for n in ("metric-points", "metric-window", "ck"))
     us = F.unix_micros("ts")
-    qs = pts.select(us.alias("u")).approxQuantile("u", [0.25, 0.5, 0.75], 0.0)
-    edges = [None, *qs, None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (us >= F.lit(int(lo)))
-        if hi is not None:
-            cond = cond & (us < F.lit(int(hi)))
-        pts.where(cond).coalesce(1).write.mode("append").parquet(src)
-    sink, ck = scratch_dir(spark, "metric-window"), scratch_dir(spark, "ck")
-    streams.metric_window_stream(_stream(spark, src, pts.schema, 1), sink, ck)
+    span = pts.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    edges = [span.lo + (span.hi + 1 - span.lo) * k // 4 for k in range(5)] if span.lo is not None else []
+    for lo, hi in zip(edges, edges[1:]):
+        # One append is one micro-batch: the stream goes on from its checkpoint after each.
+        pts.where((us >= lo) & (us < hi)).write.mode("append").parquet(src)
+        streams.metric_window_stream(_stream(spark, src, pts.schema, None), sink, ck)
     out = spark.read.parquet(sink).groupBy("window_start", "metric").agg(F.max("max_value").alias("max_value"))
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "metric", "max_value")
 
 
 @job
 def stream_chunk_plan(spark, sf_dir):
-    """Retrieval notices as JSON text files (each delivered twice) -> gate on copy
-    started -> copy tasks, each planned once."""
-    st = B.status_light(spark, sf_dir)
-    msg = F.to_json(F.struct(F.lit("ArchiveRetrieval").alias("Action"), F.col("aid").alias("ArchiveId"),
-                             F.col("sz").alias("ArchiveSizeInBytes")))
-    src = scratch_dir(spark, "notices")
-    once = st.select(F.to_json(F.struct(msg.alias("Message"))).alias("value"))
-    once.unionByName(once).repartition(8).write.text(src)
-    notices = spark.readStream.option("maxFilesPerTrigger", 2).text(src).withColumnRenamed("value", "raw")
-    parse = lambda b: io.parse_retrieval_notice(b).withColumnRenamed("ArchiveId", "aid")
-    status = B.status_light(spark, sf_dir).select("aid", "psdt", "cc")
-    sink, ck, started = scratch_dir(spark, "chunk-messages"), scratch_dir(spark, "ck"), scratch_dir(spark, "started")
-    streams.chunk_plan_stream(notices, status, sink, started, ck, parse=parse)
-    schema = "aid string, part_no int, start_byte long, end_byte long"
+    """Retrieval notices as JSON text files (each delivered twice) -> gate on copy started ->
+    copy tasks, each planned once. Then staged archives that failed validation are requested
+    again: their notices come a third time, with the retry count raised, and are planned again."""
+    st = materialize(B.status_light(spark, sf_dir).withColumn("rc", F.lit(0)), "status-light")
+    src, sink, ck = (scratch_dir(spark, n) for n in ("notices", "chunk-messages", "ck"))
+
+    def deliver(rows, action):
+        msg = F.to_json(F.struct(F.lit(action).alias("Action"), F.concat(F.lit("job-"), "aid").alias("JobId"),
+                                 F.col("aid").alias("ArchiveId"), F.col("sz").alias("ArchiveSizeInBytes")))
+        rows.select(F.to_json(F.struct(msg.alias("Message"))).alias("value")).write.mode("append").text(src)
+
+    def run(status):
+        notices = spark.readStream.option("maxFilesPerTrigger", 2).text(src).withColumnRenamed("value", "raw")
+        parse = lambda b: io.parse_retrieval_notice(b).withColumnRenamed("ArchiveId", "aid")
+        streams.chunk_plan_stream(notices, status, sink, ck, parse=parse)
+
+    deliver(st, "ArchiveRetrieval")
+    deliver(st, "ArchiveRetrieval")
+    run(st)
+    again = F.col("psdt").isNull() & F.col("sgt").isNotNull()
+    deliver(st.where(again), "RetryRequest")
+    deliver(st.where(again), "RetryRequest")
+    run(st.withColumn("rc", F.when(again, 1).otherwise(0)))
+    schema = "aid string, fname string, job_id string, rc int, part_no int, start_byte long, end_byte long"
     return spark.read.text(sink).select(F.from_json("value", schema).alias("m")).select("m.*")
 
 
 @job
 def stream_hash_validation(spark, sf_dir):
+    """Chunk digests (8 leaves a chunk) delivered twice and in any order over several batches."""
     p = B.payload(spark, sf_dir)
-    status = materialize(B.hash_status(spark, sf_dir, treehash.tree_hash(p, leaf=ORACLE_LEAF)), "hash-status")
-    src, schema = _as_files(p.select("aid", "bytes"), spark, "payload")
-    sinks = {r: scratch_dir(spark, f"route-{r}") for r in ("validated", "retry", "failed")}
-    streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, scratch_dir(spark, "ck"), ORACLE_LEAF)
-    out_schema = "aid string, sz long, rc int, route string"
-    parts = [streams.read_sink(spark, path, T._parse_datatype_string(out_schema)).select("aid", "sz", "rc", "route")
-             for path in sinks.values()]
+    chunks = materialize(treehash.chunk_tree_hash(treehash.leaf_digests(p, leaf=ORACLE_LEAF), leaves_per_chunk=8), "chunk-hashes")
+    whole = materialize(treehash.multipart_tree_hash(chunks), "tree-hash")
+    status = materialize(B.hash_status(spark, sf_dir, whole)
+                         .join(whole.select("aid", F.col("n_parts").alias("cc")), "aid"), "hash-status")
+    # An archive's repeated digests come before its last one, as deliveries before the end do.
+    last = chunks.join(whole.select("aid", "n_parts"), "aid").withColumn("last", F.col("part_no") == F.col("n_parts"))
+    early = last.where(~F.col("last")).select("aid", "part_no", "digest")
+    src, schema = _as_files(early.unionByName(early), spark, "chunk-digests")
+    sinks, ck = {r: scratch_dir(spark, f"route-{r}") for r in ("validated", "retry", "failed")}, scratch_dir(spark, "ck")
+    streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, ck)
+    last.where("last").select("aid", "part_no", "digest").write.mode("append").parquet(src)
+    streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, ck)
+    out_schema = T._parse_datatype_string("aid string, sz long, rc int, route string")
+    parts = [streams.read_sink(spark, path, out_schema).select("aid", "sz", "rc", "route") for path in sinks.values()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

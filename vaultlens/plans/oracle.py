@@ -349,7 +349,20 @@ ORACLE["progress_metrics"] = _with_recursive(
          union all select 'ThrottledErrorCount', (select e from thr)
          union all select 'FailedArchivesBytes', (select b from fl)
          union all select 'FailedArchivesErrorCount', (select e from fl))
-       select metric, cast(value as bigint) AS value from pts""", "routed", "inv_x")
+       select metric, 'vaultlens' AS dimension, 'None' AS unit, cast(value as bigint) AS value from pts""", "routed", "inv_x")
+
+ORACLE["scheduled_snapshot"] = (
+    ORACLE["progress_metrics"][:ORACLE["progress_metrics"].index("select metric, 'vaultlens'")]
+    + "select metric, 'vaultlens' AS dimension, 'None' AS unit, cast(value as bigint) AS value from pts "
+      "where metric not like 'Throttled%' and metric not like 'Failed%'")
+
+ORACLE["counter_item"] = with_views(
+    f""", sp AS ({_STAGE_SQL})
+       select 'count' AS pk, cast(max(n) filter (where stage = 'requested') as bigint) AS requested,
+              cast(max(n) filter (where stage = 'staged') as bigint) AS staged,
+              cast(max(n) filter (where stage = 'validated') as bigint) AS validated,
+              cast(max(n) filter (where stage = 'copied') as bigint) AS copied,
+              (select count(*) from inv_x) AS total from sp""", "inv_x")
 
 ORACLE["metric_timeline"] = """
 select strftime(time_bucket(interval '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -399,6 +412,10 @@ ORACLE["partition_roundtrip"] = with_views(
     """select distinct cast(row_num as bigint) AS row_num, archiveid, size, sha256treehash, creationdate,
               archivedescription, cast(part as bigint) AS part from parted""", "parted")
 
+ORACLE["one_partition"] = with_views(
+    """select distinct cast(row_num as bigint) AS row_num, archiveid, size, sha256treehash, creationdate, archivedescription
+       from parted where part = (select max(part) from parted)""", "parted")
+
 ORACLE["max_partition"] = with_views(
     """select cast(max(part) as bigint) AS max_part,
               '{"nextPartition":0,"maxPartition":' || cast(max(part) as varchar) || '}' AS payload from parted""", "parted")
@@ -429,11 +446,13 @@ ORACLE["stream_chunk_completion"] = (
     + "select g.aid, phase, cc from g join cnt on g.aid = cnt.aid where n_parts >= cc")
 ORACLE["stream_metric_window"] = ORACLE["metric_timeline"]
 ORACLE["stream_chunk_plan"] = with_views(f"""
-, s AS (select * from status_l),
-c AS (select aid, sz, cast((sz + {_C4 - 1}) // {_C4} as integer) AS cc from s where l_linestatus <> 'F'),
-x AS (select aid, sz, cc, greatest(cc, 1) AS n,
+, s AS (select *, 0 AS rc from status_l where l_linestatus <> 'F'
+        union all select *, 1 from status_l where l_linestatus <> 'F' and l_returnflag in ('A', 'R')),
+c AS (select aid, rc, sz, cast((sz + {_C4 - 1}) // {_C4} as integer) AS cc from s),
+x AS (select aid, rc, sz, cc, greatest(cc, 1) AS n,
              unnest(generate_series(1, case when cc <= 1 then 1 else greatest(cc, 1) end)) AS g from c)
-select aid, case when cc <= 1 then null else cast(g as integer) end AS part_no,
+select aid, 'obj/' || aid AS fname, 'job-' || aid AS job_id, cast(rc as integer) AS rc,
+       case when cc <= 1 then null else cast(g as integer) end AS part_no,
        case when cc <= 1 then null else (g - 1) * {_C4} end AS start_byte,
        case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte
 from x""", "status_l")
