@@ -52,6 +52,16 @@ def counter_deltas(wide: DataFrame) -> DataFrame:
     return cnt.unionByName(vol)
 
 
+def throttle_deltas(throttle: DataFrame, drain: bool = False) -> DataFrame:
+    """Throttled bytes and errors as counter increments; ``drain``: as the decrements that follow
+    once a wait has taken them up."""
+    sign = -1 if drain else 1
+    t = throttle.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("throttled_bytes", "errors")])
+    item = lambda counter, c: F.struct(F.lit("throttling").alias("pk"), F.lit(counter).alias("counter"),
+                                       (sign * F.col(c)).alias("value"))
+    return t.select(F.inline(F.array(item("throttledBytes", "throttled_bytes"), item("errorCount", "errors"))))
+
+
 def counter_totals(deltas: DataFrame) -> DataFrame:
     """Atomic-add semantics: sum of all deltas per (pk, counter); missing means 0."""
     return deltas.groupBy("pk", "counter").agg(F.sum("value").cast("bigint").alias("value"))

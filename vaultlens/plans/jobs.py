@@ -113,6 +113,16 @@ def request_pacing(spark, sf_dir):
     return invops.request_calendar(parted, throttle)
 
 
+@job
+def throttle_drain(spark, sf_dir):
+    """Throttling counters after all waits but the last partition's: what a wait has taken up
+    is subtracted, so only bytes and errors that no wait has seen are left."""
+    parted = materialize(_parted(spark, sf_dir, STATS_COLS), "parted")
+    throttle = materialize(B.throttle_events(spark, sf_dir, parted), "throttle")
+    waited = throttle.where(F.col("part") < parted.agg(F.max("part")).scalar())
+    return progress.counter_totals(progress.throttle_deltas(throttle).unionByName(progress.throttle_deltas(waited, drain=True)))
+
+
 def _inv_status(spark, sf_dir):
     """Light status rows (id, size, chunk count) straight from the inventory."""
     return B.inventory(spark, sf_dir).select(F.col("archiveid").alias("aid"), F.col("size").alias("sz"),
@@ -142,7 +152,9 @@ def release_plan(spark, sf_dir):
     """Validated objects -> release tasks, skipping keys already at the destination;
     each task carries the encoded copy source and whether the staged copy exists."""
     # The status table is read by the plan and by both listings: written once.
-    status = materialize(status_rows(_named(spark, sf_dir)).select("aid", "fname", "sz", "cc"), "status")
+    validated = B.status_light(spark, sf_dir).select("aid", "vdt")
+    status = materialize(status_rows(_named(spark, sf_dir)).select("aid", "fname", "sz", "cc")
+                         .join(validated, "aid", "left"), "status")
     dest, staged = B.destination_listing(spark, sf_dir, status)
     plan = ranges.plan_release_chunks(status, dest)
     flagged = plan.join(staged.select(F.col("key").alias("fname"), F.lit(True).alias("staged")), "fname", "left")

@@ -121,6 +121,18 @@ ORACLE["resolve_names"] = with_views(
     "select archiveid, nm AS fname from inv_x",
     "inv_x")
 
+VIEWS["status_l"] = r"""
+status_l AS (
+  select aid, l_linestatus, l_returnflag, sz from (
+    select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
+                     cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
+           l_linestatus, l_returnflag, cast(l_quantity as bigint) * 268435456 AS sz,
+           row_number() over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey
+                              order by l_shipdate desc, l_quantity desc) AS rn
+    from lineitem) q where rn = 1
+)"""
+_DEPS["status_l"] = []
+
 # A first row is suffixed too if its name equals the suffixed name of an earlier row. (Names
 # made that way carry two dates and meet no other, so one step is the whole fixpoint.)
 VIEWS["uniq"] = r"""
@@ -166,6 +178,12 @@ ORACLE["request_pacing"] = with_views(
               cast(coalesce(sum(wait_s) over (order by part rows between unbounded preceding and 1 preceding), 0) as bigint) AS start_s
        from w3""", "parted")
 
+ORACLE["throttle_drain"] = with_views(
+    """, t AS (select p.size from events e join parted p on p.row_num = e.user_id
+               where e.event_type = 'error' and p.part = (select max(part) from parted))
+       select 'throttling' AS pk, 'throttledBytes' AS counter, cast(coalesce(sum(size), 0) as bigint) AS value from t
+       union all select 'throttling', 'errorCount', count(*) from t""", "parted")
+
 _C4 = 4294967296
 _C2 = 2147483648
 
@@ -204,11 +222,12 @@ ORACLE["part_plan_2gib"] = with_views(
 ORACLE["release_plan"] = with_views(
     f""", st AS (select archiveid AS aid, fname, size AS sz, cast((size + {_C4 - 1}) // {_C4} as integer) AS cc,
                      o.o_orderstatus AS os
-              from uniq u join orders o on u.ok = o.o_orderkey),
+                     , v.l_returnflag = 'R' AS valid
+              from uniq u join orders o on u.ok = o.o_orderkey left join status_l v on v.aid = u.archiveid),
        dest AS (select distinct fname AS key from st where os = 'F'
                 union select fname || '.bak' from st where os = 'O'),
        staged AS (select distinct fname AS key from st where os <> 'P'),
-       pend AS (select * from st where fname not in (select key from dest)),
+       pend AS (select * from st where valid and fname not in (select key from dest)),
        x AS (select aid, fname, sz, cc, greatest(cc, 1) AS n,
                     unnest(generate_series(1, case when cc <= 1 then 1 else greatest(cc, 1) end)) AS g from pend)
        select aid, x.fname, case when cc <= 1 then null else cast(g as integer) end AS part_no,
@@ -216,7 +235,7 @@ ORACLE["release_plan"] = with_views(
               case when cc <= 1 then null when g < n then (g - 1) * {_C4} + {_C4 - 1} else sz - 1 end AS end_byte,
               'staging%2F' || url_encode(x.fname) AS copy_source,
               staged.key is not null AS staged
-       from x left join staged on x.fname = staged.key""", "uniq")
+       from x left join staged on x.fname = staged.key""", "uniq", "status_l")
 
 VIEWS["th"] = r"""
 leaves AS (
@@ -290,18 +309,6 @@ select g.aid, phase, cc, n_parts, n_parts >= cc AS complete, parts,
        array_to_string(list_transform(generate_series(1, greatest(cc, 1)), lambda x: 'chunk' || cast(x as varchar)), ', ') AS chunk_list
 from g join cnt on g.aid = cnt.aid"""
 
-VIEWS["status_l"] = r"""
-status_l AS (
-  select aid, l_linestatus, l_returnflag, sz from (
-    select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar),
-                     cast(l_partkey as varchar), cast(l_suppkey as varchar)) AS aid,
-           l_linestatus, l_returnflag, cast(l_quantity as bigint) * 268435456 AS sz,
-           row_number() over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey
-                              order by l_shipdate desc, l_quantity desc) AS rn
-    from lineitem) q where rn = 1
-)"""
-_DEPS["status_l"] = []
-
 ORACLE["work_gates"] = with_views(r"""
 select i.archiveid AS aid,
        case when s.l_linestatus = 'F' then 'skip' else 'split' end AS split_action,
