@@ -37,6 +37,7 @@ ALPHA = 0.4
 VOCABULARY = 1 << 17
 HEAD = 512            # word numbers below it, <unk> included
 UNK = 0
+TASK_WORDS = 300_000  # different words a task counts before it passes them on
 _PER_OCTAVE = 8       # threshold steps: count bounds grow by 2 ** (1 / 8)
 
 
@@ -45,14 +46,23 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``word`` (binary), ``n`` over all texts (column ``text``, binary); summed in each task first."""
+    """``word`` (binary), ``n`` over all texts (column ``text``, binary); summed in each task first,
+    for ``TASK_WORDS`` different words at a time."""
     def run(batches):
+        seen = Counter()
+
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.binary()), pa.array(list(seen.values()), type=pa.int64())],
+                                             names=["word", "n"])
+            seen.clear()
+            return out
+
         for b in batches:
-            seen = Counter()
             for t in b.column(0):
                 seen.update(words_of(t.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.binary()), pa.array(list(seen.values()), type=pa.int64())],
-                                             names=["word", "n"])
+                if len(seen) > TASK_WORDS:
+                    yield flush()
+        yield flush()
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
