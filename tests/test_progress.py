@@ -1,7 +1,5 @@
 """Counters, metric points, log filter and queue age on small hand-made inputs."""
 
-from pyspark.sql import functions as F
-
 from vaultlens.operators import progress
 
 CHANGE_SCHEMA = ("event_name string, old struct<cdt:string,sgt:string,vdt:string,cpt:string,sz:long>, "
@@ -75,3 +73,9 @@ def test_oldest_message_age_against_model(spark):
     df = spark.createDataFrame(rows, "queue string, sent_us long, done_us long")
     got = {(r.queue, r.at_us): r.age_us for r in progress.oldest_message_age(df, 100).collect()}
     assert got == want
+
+
+def test_throttle_is_drained(spark):
+    t = spark.createDataFrame([(0, 5, 1), (0, 7, 1), (1, 11, 1)], "part int, throttled_bytes long, errors int")
+    both = progress.throttle_deltas(t).unionByName(progress.throttle_deltas(t.where("part = 0"), drain=True))
+    assert {r.counter: r.value for r in progress.counter_totals(both).collect()} == {"throttledBytes": 11, "errorCount": 1}

@@ -62,3 +62,10 @@ def test_download_part_rules(spark):
 def test_chunk_count_zero_and_exact(spark):
     df = spark.createDataFrame([(0,), (1,), (4 * GIB,), (4 * GIB + 1,)], "s long")
     assert [r.c for r in df.select(chunk_count("s").alias("c")).collect()] == [0, 1, 1, 2]
+
+
+def test_release_needs_validation(spark):
+    st = spark.createDataFrame([("a", "f1", 5, 1, "t"), ("b", "f2", 5, 1, None), ("c", "f3", 5, 1, "t")],
+                               "aid string, fname string, sz long, cc int, vdt string")
+    dest = spark.createDataFrame([("f3",), ("f1.bak",)], "key string")
+    assert [r.aid for r in ranges.plan_release_chunks(st, dest).collect()] == ["a"]

@@ -20,9 +20,6 @@ MAX_HASH_RETRIES = 3                  # hash mismatches before an archive fails
 DELETE_BATCH = 1000                   # keys per delete request
 SECONDS_PER_DAY = 86400
 METRIC_WINDOW = "5 minutes"           # dashboard period (300 s)
-CHANGE_BATCH_RECORDS = 1000           # change-stream records per micro-batch, max
-CHANGE_BATCH_WINDOW = "30 seconds"    # change-stream batching window
-SNAPSHOT_EVERY = "1 minute"           # metric points published once a minute
 METRIC_UNIT = "None"                  # unit recorded on every metric point
 UNDEFINED_PREFIX = "00undefined/"     # name used when a description is empty
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultlens.constants import STAGE_FIELDS
+from vaultlens.constants import DELETE_BATCH, STAGE_FIELDS
 from vaultlens.functions.sizing import chunk_count, int_parse
 from vaultlens.functions.text import split_location, uri_encode
 from vaultlens.operators import inventory as invops
@@ -296,7 +296,7 @@ def cleanup_batches(spark, sf_dir):
     keys = B.object_keys(spark, sf_dir)
     # One scan numbers the listings; keys under no prefix are not listed.
     number = F.coalesce(*[F.when(F.col("key").startswith(p), F.lit(i)) for i, p in enumerate(B.LISTING_PREFIXES)])
-    b = batch_number(keys.withColumn("listing", number).where("listing is not null"), ["listing", "key"], 1000)
+    b = batch_number(keys.withColumn("listing", number).where("listing is not null"), ["listing", "key"], DELETE_BATCH)
     return b.groupBy("batch").agg(F.count(F.lit(1)).alias("n_keys"), F.min_by("key", F.struct("listing", "key")).alias("first_key"),
                                   F.max_by("key", F.struct("listing", "key")).alias("last_key"))
 
@@ -561,7 +561,7 @@ def object_listing(spark, sf_dir):
     for i, prefix in enumerate(("results", "inventory")):
         materialize(B.stage_objects(p.where(half == i), f"{base}/{prefix}"), f"manifest-{prefix}")
     listed = io.list_objects(spark, base, ["results", "inventory"])
-    b = batch_number(listed, ["listing", "path"], 1000)
+    b = batch_number(listed, ["listing", "path"], DELETE_BATCH)
     return b.groupBy("listing", "batch").agg(F.count(F.lit(1)).alias("n_keys"),
                                              F.sum("length").cast("bigint").alias("bytes"))
 
