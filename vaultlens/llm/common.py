@@ -5,7 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultlens.session import materialize
+from vaultlens import session
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back. The shuffle files of the
+    write go when it ends: nothing reads them again, as later plans start from the table."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return session.materialize(df, name)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that no plan will read again."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +52,3 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
 def text_key(text: str | Column) -> Column:
     """64-bit key of a whole text; with the id it tells rows apart. Never null."""
     return F.xxhash64(F.col(text) if isinstance(text, str) else text)
-
-
-__all__ = ["materialize", "read_table", "keep_rows", "text_key"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultlens.llm.common import materialize
+from vaultlens.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = materialize(e, "cc")
     seen = _sign(e)
     while seen[0]:
-        e = materialize(_small_star(_large_star(e)), "cc")
+        old, e = e, materialize(_small_star(_large_star(e)), "cc")
+        discard(old)
         now = _sign(e)
         if now == seen:
             break
