@@ -67,3 +67,21 @@ def test_edge_rows(spark):
     same(rows_of(got), brute(rows))
     assert {r.mean_score for r in got.where("n_words = 0").collect()} == {None}
     assert lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("head", [1, 4, 512])
+@pytest.mark.parametrize("shared_words", [0, 7, 1000])
+def test_scores_do_not_depend_on_where_counts_are_kept(spark, head, shared_words):
+    rng = random.Random(10)
+    rows = [(i, " ".join(f"W{int(rng.expovariate(0.05))}é" for _ in range(rng.choice([0, 1, 2, 30])))) for i in range(120)]
+    rows += [(200, "twice twice rare"), (201, "rare twice twice twice rare"), (202, "lone"), (203, None), (None, "lone lone lone lone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    same(rows_of(lm_scores(df, head=head, shared_words=shared_words)), brute(rows))
+
+
+def test_every_word_of_a_large_vocabulary_is_its_own(spark):
+    """More words than are broadcast: rare words keep their counts, alone and in bigrams."""
+    rows = [(i, " ".join(f"w{k}" for k in range(1000 * i, 1000 * i + 1000))) for i in range(140)]
+    rows += [(500, "w5 w6 w7 w139000 w9"), (501, "w139998 w139999 w139998 w139999")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same(rows_of(lm_scores(df)), brute(rows))

@@ -1,16 +1,24 @@
 """Language-model scores: stupid backoff over word bigrams, computed relationally.
 
-The model covers every text. Words (lower-cased A-Z, cut at white space) are counted; the
-vocabulary is every word whose count reaches the lowest threshold that leaves at most
-``VOCABULARY`` words, and all other words are one word ``<unk>``, whose counts they share.
-So the unigram table has a fixed bound and is broadcast. Bigrams:
-
-* Both words among the ``HEAD`` most frequent: counted into a table of at most ``HEAD``
-  squared rows and broadcast. These are the only bigrams that a large share of all
-  documents can have, so no key of the shuffle below is hot.
-* All others: documents are exploded into (row, bigram, occurrences), shuffled by the
-  bigram's hash, and each partition's count table is joined to its rows as one window over
-  the sorted keys. The sums per document follow.
+The model covers every text and every word: words (lower-cased A-Z, cut at white space) and
+bigrams are counted each for itself. Where the counts are kept:
+
+* Unigrams: words whose count reaches the lowest threshold that leaves at most
+  ``SHARED_WORDS`` words are numbered and broadcast. All others (*rare* words) are keyed by a
+  63-bit hash, and their counts stay in the partitions of the shuffle below. The bound moves
+  words from one place to the other; scores do not depend on it.
+* Bigrams of two words among the ``HEAD`` most frequent: counted into a table of at most
+  ``HEAD`` squared rows and broadcast. These are the only bigrams that a large share of all
+  documents can have, so no key of the shuffle is hot.
+* All others: documents are exploded into (row, bigram, occurrences) and shuffled by the
+  bigram, or by its rare word. Each partition's count tables are joined to its rows as windows
+  over the sorted keys: a rare word's group has all bigrams that end in it and the documents
+  that start with it, so their sum is its count. A bigram of two rare words goes to both
+  groups; the first word's scores it if others have it, the second word's backs off if not.
+  The sums per document follow.
+
+``vocabulary``, if a caller gives it, makes all but that many words one word ``<unk>``; the
+query does not.
 
 Score of a word after another: ``(c(w1 w2) - own) / (c(w1) - own)`` if that is above zero,
 else ``ALPHA * c(w2) / N``; ``own`` are the document's own occurrences of the bigram, which
@@ -30,13 +38,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from vaultlens.llm.common import materialize, read_table
 
 ALPHA = 0.4
-VOCABULARY = 1 << 17
+SHARED_WORDS = 1 << 17   # words whose counts are broadcast
 HEAD = 512            # word numbers below it, <unk> included
 UNK = 0
+PAIR, SECOND, FIRST, DOCUMENT = range(4)   # exploded rows: no rare word; by the rare second; by the rare first; a document's own
 TASK_WORDS = 300_000  # different words a task counts before it passes them on
 _PER_OCTAVE = 8       # threshold steps: count bounds grow by 2 ** (1 / 8)
 
@@ -66,6 +76,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def rare_id(word: bytes) -> int:
+    """Negative 63-bit key of a word without a number."""
+    return (xxh64_intdigest(word) >> 1) - (1 << 63)
+
+
 class Unigrams:
     """Word numbers and counts. Number 0 is ``<unk>``; the others follow by falling count, then word."""
 
@@ -75,12 +90,17 @@ class Unigrams:
         self.count = np.array([total - sum(n for _, n in rows)] + [n for _, n in rows], dtype=np.int64)
         self.total = total
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
+    def ids(self, words: list[bytes], rare: bool) -> np.ndarray:
+        """Numbers of the words; one without a number is ``<unk>``, or its negative key if ``rare``."""
         get = self.number.get
-        return np.fromiter((get(w, UNK) for w in words), dtype=np.int64, count=len(words))
+        ids = np.fromiter((get(w, UNK) for w in words), dtype=np.int64, count=len(words))
+        if rare:
+            for i in np.flatnonzero(ids == UNK).tolist():
+                ids[i] = rare_id(words[i])
+        return ids
 
 
-def unigrams(counts: DataFrame, vocabulary: int = VOCABULARY) -> Unigrams:
+def unigrams(counts: DataFrame, vocabulary: int = SHARED_WORDS) -> Unigrams:
     step = F.floor(F.log2("n") * _PER_OCTAVE).cast("int")
     steps = {r.step: r for r in counts.groupBy(step.alias("step")).agg(   # a few hundred rows at most
         F.count("*").alias("words"), F.sum("n").alias("n")).collect()}
@@ -95,18 +115,41 @@ def unigrams(counts: DataFrame, vocabulary: int = VOCABULARY) -> Unigrams:
 
 
 def _bigrams(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(ids[:-1] * size + ids[1:], return_counts=True)
+    """Keys and counts of the bigrams of numbered words."""
+    a, b = ids[:-1], ids[1:]
+    numbered = (a >= 0) & (b >= 0)
+    return np.unique(a[numbered] * size + b[numbered], return_counts=True)
+
+
+def _rare_bigrams(row: int, ids: np.ndarray, size: int) -> np.ndarray:
+    """``row, part, other, role`` of each bigram with a rare word, and of a rare first word (after ``size``)."""
+    a, b = np.concatenate([[size], ids[:-1]]), ids
+    second, first = b < 0, a < 0
+    rows = np.empty((4, second.sum() + first.sum()), dtype=np.int64)
+    rows[0], rows[1], rows[2] = row, np.concatenate([b[second], a[first]]), np.concatenate([a[second], b[first]])
+    rows[3] = np.repeat([SECOND, FIRST], [second.sum(), first.sum()])
+    return rows
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns of a matrix, and how often each occurs."""
+    rows = rows[:, np.lexsort(rows)]
+    start = np.flatnonzero(np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(axis=0)])) if rows.shape[1] else np.zeros(0, dtype=np.int64)
+    return rows[:, start], np.diff(start, append=rows.shape[1])
 
 
 def head_counts(texts: DataFrame, shared, head: int) -> dict[int, int]:
     """Counts of the bigrams of two head words, by key; at most ``head`` squared."""
     def run(batches):
-        size = len(shared.value.count)
+        model, rare = shared.value
+        size = len(model.count)
         seen = Counter()
         for b in batches:
-            ids = [shared.value.ids(words_of(t.as_py())) for t in b.column(0)]
+            ids = [model.ids(words_of(t.as_py()), False) for t in b.column(0)]
             keys = np.concatenate([x[:-1] * size + x[1:] for x in ids] or [np.zeros(0, dtype=np.int64)])
             keys = keys[(keys // size < head) & (keys % size < head)]
+            if rare:   # number 0 stands for words that are no head words then
+                keys = keys[(keys // size != UNK) & (keys % size != UNK)]
             key, n = np.unique(keys, return_counts=True)
             for k, c in zip(key.tolist(), n.tolist()):
                 seen[k] += c
@@ -117,70 +160,83 @@ def head_counts(texts: DataFrame, shared, head: int) -> dict[int, int]:
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
-              vocabulary: int = VOCABULARY, head: int = HEAD) -> DataFrame:
+              vocabulary: int | None = None, head: int = HEAD, shared_words: int = SHARED_WORDS) -> DataFrame:
     """``id, n_words, n_backoff, score, mean_score`` per row; counts come from all rows of ``docs``."""
     spark = docs.sparkSession
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
                       F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
-    model = unigrams(materialize(word_counts(src), "lm-words"), vocabulary)
-    shared = spark.sparkContext.broadcast(model)
+    rare = vocabulary is None
+    model = unigrams(materialize(word_counts(src), "lm-words"), shared_words if rare else vocabulary)
+    shared = spark.sparkContext.broadcast((model, rare))
     heads = head_counts(src, shared, head)
     shared_heads = spark.sparkContext.broadcast((np.array(sorted(heads), dtype=np.int64),
                                                  np.array([heads[k] for k in sorted(heads)], dtype=np.int64)))
 
     def run(batches):
-        uni, (head_keys, head_n) = shared.value, shared_heads.value
+        (uni, rare), (head_keys, head_n) = shared.value, shared_heads.value
         size, count = len(uni.count), uni.count
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
-                rows, keys, ns, first = [], [], [], []
-                for i, (row, text) in enumerate(zip(part.column(0).to_pylist(), part.column(2))):
-                    ids = uni.ids(words_of(text.as_py()))
+                rows, keys, ns, rares, first = [], [], [], [np.zeros((4, 0), dtype=np.int64)], []
+                for row, text in zip(part.column(0).to_pylist(), part.column(2)):
+                    ids = uni.ids(words_of(text.as_py()), rare)
                     local, back = 0.0, 0
                     if len(ids):
                         key, n = _bigrams(ids, size)
                         inside = (key // size < head) & (key % size < head)
                         k, m = key[inside], n[inside]
                         if len(k):
-                            others = head_n[np.searchsorted(head_keys, k)] - m
-                            near = others > 0
-                            local += float((m * np.where(near, np.log(np.maximum(others, 1) / np.maximum(count[k // size] - m, 1)),
+                            near_n = head_n[np.searchsorted(head_keys, k)] - m
+                            near = near_n > 0
+                            local += float((m * np.where(near, np.log(np.maximum(near_n, 1) / np.maximum(count[k // size] - m, 1)),
                                                          np.log(alpha * count[k % size] / uni.total))).sum())
                             back = int(m[~near].sum())
-                        local += math.log(count[ids[0]] / uni.total)
+                        if ids[0] >= 0:
+                            local += math.log(count[ids[0]] / uni.total)
                         keys.append(key[~inside])
                         ns.append(n[~inside])
                         rows.append(np.full(len(keys[-1]), row))
+                        if (ids < 0).any():
+                            rares.append(_rare_bigrams(row, ids, size))
                     first.append((row, local, back, len(ids)))
-                m = sum(map(len, keys))
-                empty = [np.zeros(0, dtype=np.int64)]
-                row = np.concatenate([np.array([f[0] for f in first], dtype=np.int64), *(rows or empty)])
-                key = np.concatenate([np.array([-1 - f[0] for f in first], dtype=np.int64), *(keys or empty)])
-                n = np.concatenate([np.array([f[2] for f in first], dtype=np.int64), *(ns or empty)])
-                pad = lambda values, kind: pa.concat_arrays([pa.array(values, type=kind), pa.nulls(m, type=kind)])
+                pairs = sum(map(len, keys))
+                lone, lone_n = _distinct(np.concatenate(rares, axis=1))
+                m = pairs + len(lone_n)
+                own = lambda i: np.array([f[i] for f in first], dtype=np.int64)
+                joined = lambda *parts: pa.array(np.concatenate(parts))
                 ident = part.column(1).take(pa.concat_arrays([pa.array(range(part.num_rows), type=pa.int64()), pa.nulls(m, type=pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(key), pa.array(n.astype(np.int32)), ident,
-                     pad([f[1] for f in first], pa.float64()), pad([f[3] for f in first], pa.int64())],
-                    names=["row", "key", "n", "id", "local", "n_words"])
+                    [joined(own(0), *rows, lone[0]), joined(own(0), *keys, lone[1]),
+                     joined(own(3), np.zeros(pairs, dtype=np.int64), lone[2]),
+                     joined(np.repeat(np.array([DOCUMENT, PAIR], dtype=np.int8), [len(first), pairs]), lone[3].astype(np.int8)),
+                     joined(own(2), *ns, lone_n).cast(pa.int32()), ident,
+                     pa.concat_arrays([pa.array([f[1] for f in first], type=pa.float64()), pa.nulls(m, type=pa.float64())])],
+                    names=["row", "part", "other", "role", "n", "id", "local"])
 
     id_type = src.schema["id"].dataType.simpleString()
-    exploded = src.mapInArrow(run, f"row long, key long, n int, id {id_type}, local double, n_words long")
+    # A document's own row has its words as ``other`` and its back-offs so far as ``n``.
+    exploded = src.mapInArrow(run, f"row long, part long, other long, role byte, n int, id {id_type}, local double")
     size = len(model.count)
-    table = spark.createDataFrame([(i, c) for i, c in enumerate(model.count.tolist())], "w long, c long")   # at most VOCABULARY + 1 rows
-    first = F.broadcast(table.select(F.col("w").alias("w1"), F.col("c").alias("c1")))
-    second = F.broadcast(table.select(F.col("w").alias("w2"), F.col("c").alias("c2")))
-    counted = exploded.withColumn("others", F.sum("n").over(Window.partitionBy("key")) - F.col("n"))
-    pair = F.col("key") >= 0
-    placed = counted.withColumn("k1", F.when(pair, F.floor(F.col("key") / size).cast("long"))) \
-        .withColumn("k2", F.when(pair, F.col("key") % size)) \
-        .join(first, F.col("k1") == F.col("w1"), "left").join(second, F.col("k2") == F.col("w2"), "left")
-    near = F.col("others") > 0
-    value = F.when(~pair, F.col("local")).otherwise(F.col("n") * F.when(
-        near, F.log(F.col("others") / (F.col("c1") - F.col("n")))).otherwise(F.log(F.lit(alpha) * F.col("c2") / F.lit(max(model.total, 1)))))
-    back = F.when(pair & near, F.lit(0)).otherwise(F.col("n"))
-    sums = placed.groupBy("row").agg(F.max("id").alias("id"), F.max("n_words").alias("n_words"),
+    table = spark.createDataFrame([(i, c) for i, c in enumerate(model.count.tolist())], "w long, c long")   # at most SHARED_WORDS + 1 rows
+    role, n, other, others = F.col("role"), F.col("n"), F.col("other"), F.col("others")
+    counted = exploded.repartition("part") \
+        .withColumn("others", F.sum("n").over(Window.partitionBy("part", "other", "role")) - n)
+    # Reads ``others``, which is never negative, so that Spark plans it second and both windows share one sort.
+    counted = counted.withColumn("rare_n", F.sum(F.when((role == SECOND) & (others >= 0), n)).over(Window.partitionBy("part")))
+    near = others > 0
+    # The one word whose count a row needs: the first if other documents have the bigram, else the second.
+    need = F.when(role == PAIR, F.when(near, F.floor(F.col("part") / size).cast("long")).otherwise(F.col("part") % size)) \
+        .when((role == SECOND) == near, F.when(other >= 0, other))
+    placed = counted.withColumn("need", need).join(F.broadcast(table), F.col("need") == F.col("w"), "left")
+    begins = (role == SECOND) & (other == size)
+    elsewhere = (other < 0) & ((role == SECOND) == near)   # the row in the other rare word's group has it
+    of = F.when((role == PAIR) | ((role == SECOND) == near), F.col("c")).otherwise(F.col("rare_n"))
+    total = F.lit(max(model.total, 1))
+    value = F.when(role == DOCUMENT, F.col("local")).when(begins, F.log(F.col("rare_n") / total)).when(elsewhere, 0.0) \
+        .otherwise(n * F.when(near, F.log(others / (of - n))).otherwise(F.log(F.lit(alpha) * of / total)))
+    back = F.when(role == DOCUMENT, n).when(begins | elsewhere | near, 0).otherwise(n)
+    sums = placed.groupBy("row").agg(F.max("id").alias("id"), F.max(F.when(role == DOCUMENT, other)).alias("n_words"),
                                      F.sum(back).alias("n_backoff"), F.sum(value).alias("score"))
     return sums.select("id", "n_words", "n_backoff", F.round("score", 6).alias("score"),
                        F.when(F.col("n_words") > 0, F.round(F.col("score") / F.col("n_words"), 6)).alias("mean_score"))
