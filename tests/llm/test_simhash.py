@@ -87,6 +87,16 @@ def test_repeated_and_null_rows(spark):
     assert sorted((r.doc_id, r["id"] or "") for r in kept.collect()) == [(1, "a"), (7, "")]
 
 
+def test_components_with_equal_or_no_ids_stay_apart(spark):
+    """Unlinked texts without ids, or under one id, are components of their own; copies still collapse."""
+    texts = ["one two three four five six", "red green blue yellow black white", "north south east west up down"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (5, texts[2]),
+            (8, "Monday Tuesday Wednesday Thursday"), (8, "iron copper silver gold tin lead")]
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
+        [(0, texts[0]), (0, texts[1]), (5, texts[2]), *rows[5:]])
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(df).count() == 0 and drop_near_duplicates(df).count() == 0

@@ -124,8 +124,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``id, tkey, fp, n_links, component`` per row: the row's fingerprint, how many other
-    distinct fingerprints it links to, and the smallest id reachable through links."""
+    """``id, tkey, fp, n_links, component, root`` per row: the row's fingerprint, how many other
+    distinct fingerprints it links to, the smallest id reachable through links, and the
+    fingerprint that names the component: unlike the id, no two components share it."""
     rows = materialize(fingerprints(docs, id_col, text_col, words), "simhash")
     groups = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-groups")
     pairs = materialize(links(groups, max_bits), "simhash-links")
@@ -133,22 +134,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     degree = pairs.select(F.explode(F.array("fa", "fb")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     linked = root.join(groups, F.col("node") == F.col("fp")).select("node", "root", "first_id")
     label = linked.groupBy("root").agg(F.min("first_id").alias("component"))
-    named = linked.join(label, "root").join(degree, "node").select("node", "component", "n_links")
+    named = linked.join(label, "root").join(degree, "node").select("node", "root", "component", "n_links")
     # Written first, so that the last join reads two plain shuffles and AQE can split a hot print.
     by_print = materialize(groups.join(named, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("gfp"), F.coalesce("component", "first_id").alias("component"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "simhash-labels")
-    return rows.join(by_print, F.col("fp") == F.col("gfp")).select("id", "tkey", "fp", "n_links", "component")
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        F.coalesce("root", F.col("fp")).alias("root")), "simhash-labels")
+    return rows.join(by_print, F.col("fp") == F.col("gfp")).select("id", "tkey", "fp", "n_links", "component", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each group: the one whose id names the component (of rows that
+    """``docs`` with one row of each component: the one whose id names it (of rows that
     repeat that id within the component, the one with the smallest text key)."""
     near = near_duplicates(docs, id_col, text_col, words, max_bits)
-    kept = near.where(F.col("id").eqNullSafe(F.col("component"))) \
-        .groupBy("component", "id").agg(F.min("tkey").alias("tkey"))
-    return keep_rows(docs, kept, id_col, text_col)
+    kept = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey")).alias("row"))
+    return keep_rows(docs, kept.select("row.id", "row.tkey"), id_col, text_col)
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
