@@ -81,6 +81,16 @@ def test_lookup_by_key(spark):
     assert spread > 5   # a hot URL fills many blocks
 
 
+def test_url_with_unicode_line_separators(spark):
+    """They are no control characters, so they stand in the index line as they are."""
+    urls = ["http://x/a\u2028b c", "http://x/d\u0085e?f\u2029g", "http://x/plain"]
+    rows = [(i, u, "page") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(round_trip(df)) == brute(rows)
+    keys = spark.createDataFrame([(url_key(urls[1]),)], "key string")
+    assert [r.page_id for r in read_captures(find_captures(keys, build_index(write_archives(df)))).collect()] == [1]
+
+
 def test_url_keys():
     assert url_key("http://www.Example.com:80/a?b") == "com,example)/a?b"
     assert url_key("https://m.example.co.uk:8443") == "uk,co,example,m:8443)/"

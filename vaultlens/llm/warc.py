@@ -276,7 +276,7 @@ def find_captures(keys: DataFrame, directory: DataFrame) -> DataFrame:
 
         def captures():
             got = set(wanted)
-            for line in zlib.decompress(reader.read(*block), 31).decode().splitlines():
+            for line in zlib.decompress(reader.read(*block), 31).decode().removesuffix("\n").split("\n"):   # splitlines() cuts at more
                 key, _, place = line.split(" ", 2)
                 if key in got:
                     place = json.loads(place)
