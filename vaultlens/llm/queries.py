@@ -12,6 +12,7 @@ from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.secrets import op8_secret_scan
 from vaultlens.llm.simhash import op4_simhash_near_dedup
 from vaultlens.llm.token_files import op1_token_counts
+from vaultlens.llm.vectors import op11_embedding_near_dedup
 from vaultlens.llm.warc import op10_warc
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_warc": op10_warc,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
