@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from vaultlens.llm.bpe import op5_bpe_encoding
 from vaultlens.llm.decontaminate import op9_benchmark_decontamination
+from vaultlens.llm.divergence import op12_source_divergence
 from vaultlens.llm.lines import op2_line_dedup
 from vaultlens.llm.lm import op6_lm_scores
 from vaultlens.llm.pii import op7_pii
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_warc": op10_warc,
     "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_source_divergence": op12_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -94,7 +96,44 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha256(p.html) AS payload_digest,
 FROM p LEFT JOIN g ON p.html = g.html
 """
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS n, any_value(coalesce(v, 0)) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN size USING (lang) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+whole AS (SELECT lang, sum(n) AS n, any_value(v) AS v FROM grp GROUP BY lang),
+p AS (
+  SELECT grp.lang, grp.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (grp.n + 2 * grp.v) AS p
+  FROM grp JOIN kept USING (lang) LEFT JOIN c ON c.lang = grp.lang AND c.source = grp.source AND c.term = kept.term),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (t.n + 2)) // (whole.n + 2 * whole.v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) AS t JOIN whole USING (lang)),
+both_ AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN both_ ON both_.lang = a.lang AND both_.source = a.source AND both_.item = b.source),
+term AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_source_divergence": OP12_SQL,
     "op3_quality_rules": OP3_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
     "op10_warc": OP10_SQL,
