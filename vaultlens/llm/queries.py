@@ -12,6 +12,7 @@ from vaultlens.llm.pii import op7_pii
 from vaultlens.llm.quality import op3_quality_rules
 from vaultlens.llm.secrets import op8_secret_scan
 from vaultlens.llm.simhash import op4_simhash_near_dedup
+from vaultlens.llm.spelling import op13_spelling_variants
 from vaultlens.llm.token_files import op1_token_counts
 from vaultlens.llm.vectors import op11_embedding_near_dedup
 from vaultlens.llm.warc import op10_warc
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
