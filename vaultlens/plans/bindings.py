@@ -11,6 +11,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultlens.functions.sizing import chunk_count
 from vaultlens.sources import ranges_io
@@ -148,6 +149,29 @@ def status_images(spark: SparkSession, sf_dir: str) -> DataFrame:
         for f in STATUS_FIELDS])
 
 
+RECORD_FIELDS = T.StructType([*[T.StructField(f, T.TimestampType()) for f in ("cdt", "sgt", "vdt", "cpt")],
+                              T.StructField("sz", T.LongType())])
+
+
+def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial updates of status records: each event writes the fields of its own step only.
+
+    A signup writes ``cdt`` and ``sz``, a view ``vdt``, a purchase ``cpt``, a click ``sgt`` (every
+    11th is a retry and clears it). An error clears ``sgt``; every third removes the record.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    kind = F.col("event_type")
+    writes = (F.when(kind == "signup", F.array(F.lit("cdt"), F.lit("sz"))).when(kind == "view", F.array(F.lit("vdt")))
+               .when(kind == "purchase", F.array(F.lit("cpt"))).otherwise(F.array(F.lit("sgt"))))
+    return ev.select(
+        _s("user_id").alias("aid"), F.array(F.unix_micros("ts"), F.col("event_id").cast("bigint")).alias("seq"),
+        writes.alias("written"), ((kind == "error") & (F.col("event_id") % 3 == 0)).alias("removed"),
+        F.when(kind == "signup", F.col("ts")).alias("cdt"),
+        F.when((kind == "click") & (F.col("event_id") % 11 != 0), F.col("ts")).alias("sgt"),
+        F.when(kind == "view", F.col("ts")).alias("vdt"), F.when(kind == "purchase", F.col("ts")).alias("cpt"),
+        F.when(kind == "signup", F.col("user_id") * 1000 + F.col("event_id")).cast("bigint").alias("sz"))
+
+
 def chunk_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-chunk results as the pipeline records them, with redeliveries.
 

@@ -502,19 +502,20 @@ def stream_chunk_plan(spark, sf_dir):
 
 @job
 def stream_hash_validation(spark, sf_dir):
-    """Chunk digests (8 leaves a chunk) delivered twice and in any order over several batches."""
+    """Chunk digests (8 leaves a chunk), each delivered three times, in any order over several batches
+    and again after its archive is complete; one row an attempt."""
     p = B.payload(spark, sf_dir)
     chunks = materialize(treehash.chunk_tree_hash(treehash.leaf_digests(p, leaf=ORACLE_LEAF), leaves_per_chunk=8), "chunk-hashes")
     whole = materialize(treehash.multipart_tree_hash(chunks), "tree-hash")
     status = materialize(B.hash_status(spark, sf_dir, whole)
                          .join(whole.select("aid", F.col("n_parts").alias("cc")), "aid"), "hash-status")
-    # An archive's repeated digests come before its last one, as deliveries before the end do.
-    last = chunks.join(whole.select("aid", "n_parts"), "aid").withColumn("last", F.col("part_no") == F.col("n_parts"))
-    early = last.where(~F.col("last")).select("aid", "part_no", "digest")
-    src, schema = _as_files(early.unionByName(early), spark, "chunk-digests")
+    # Every digest comes twice, the last chunks first; then each archive comes a third time, whole
+    # and after its completion.
+    src, schema = _as_files(chunks.select("aid", "part_no", "digest").unionByName(chunks.select("aid", "part_no", "digest")),
+                            spark, "chunk-digests")
     sinks, ck = {r: scratch_dir(spark, f"route-{r}") for r in ("validated", "retry", "failed")}, scratch_dir(spark, "ck")
     streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, ck)
-    last.where("last").select("aid", "part_no", "digest").write.mode("append").parquet(src)
+    chunks.select("aid", "part_no", "digest").write.mode("append").parquet(src)
     streams.hash_validation_stream(_stream(spark, src, schema), status, sinks, ck)
     out_schema = T._parse_datatype_string("aid string, sz long, rc int, route string")
     parts = [streams.read_sink(spark, path, out_schema).select("aid", "sz", "rc", "route") for path in sinks.values()]
@@ -530,6 +531,22 @@ def stream_status_upsert(spark, sf_dir):
     return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
 
 
+@job
+def stream_field_upsert(spark, sf_dir):
+    """Partial status updates, each delivered twice and out of order, in two runs with a compaction
+    of the log after the first; the current records are the last snapshot and the batches after it."""
+    rows = B.status_updates(spark, sf_dir)
+    src, schema = _as_files(rows.unionByName(rows).repartition(8, F.xxhash64("seq")), spark, "field-updates")
+    sink, ck = scratch_dir(spark, "records"), scratch_dir(spark, "ck")
+    streams.field_upsert_stream(_stream(spark, src, schema, 4), B.RECORD_FIELDS, sink, ck)
+    streams.compact_records(spark, sink, ck, B.RECORD_FIELDS)
+    # Every third update comes once more, long after it was overtaken.
+    rows.where(F.element_at("seq", 2) % 3 == 1).write.mode("append").parquet(src)
+    streams.field_upsert_stream(_stream(spark, src, schema, 4), B.RECORD_FIELDS, sink, ck)
+    st = streams.read_records(spark, sink, B.RECORD_FIELDS)
+    return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
+
+
 @job
 def staged_tree_hash(spark, sf_dir):
     """Objects staged as files, hash tasks planned per chunk, chunks read and hashed by

@@ -466,6 +466,19 @@ from x""", "status_l")
 ORACLE["stream_hash_validation"] = _with_recursive("select aid, sz, rc, route from routed", "routed")
 
 ORACLE["stream_status_upsert"] = ORACLE["latest_status"]
+# Per field the latest write after the record's last removal; a written null clears the field.
+ORACLE["stream_field_upsert"] = f"""
+WITH e AS (select cast(user_id as varchar) AS aid, user_id, (epoch_us(ts), event_id) AS seq, ts, event_id, event_type AS k,
+                  event_type = 'error' and event_id % 3 = 0 AS removed from events),
+r AS (select aid, max(seq) filter (where removed) AS gone from e group by aid),
+w AS (select e.* from e join r on e.aid = r.aid where not removed and (gone is null or seq > gone))
+select aid, strftime(max_by(ts, seq) filter (where k = 'signup'), {_FMT}) AS cdt,
+       strftime((max_by({{'t': case when k = 'click' and event_id % 11 <> 0 then ts end}}, seq)
+                 filter (where k in ('click', 'error'))).t, {_FMT}) AS sgt,
+       strftime(max_by(ts, seq) filter (where k = 'view'), {_FMT}) AS vdt,
+       strftime(max_by(ts, seq) filter (where k = 'purchase'), {_FMT}) AS cpt,
+       cast(max_by(user_id * 1000 + event_id, seq) filter (where k = 'signup') as bigint) AS sz
+from w group by aid"""
 ORACLE["staged_tree_hash"] = ORACLE["tree_hash"]
 ORACLE["results_csv"] = with_views(
     """select distinct cast(row_num as bigint) AS row_num, archiveid, size, sha256treehash, creationdate,
