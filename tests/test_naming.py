@@ -124,3 +124,22 @@ def test_seven_bit_mode(spark):
     assert utf8 == raw
     want = "".join(chr(b & 0x7F) for b in raw.encode())
     assert seven == want and seven.startswith("dir/") and seven.endswith(".txt")
+
+
+def test_chain_of_dependent_names_doubles(spark, monkeypatch):
+    """A chain of 200 first rows, each suffixed because the one before is, in at most 10 rounds;
+    a second chain without a seed keeps its names."""
+    from vaultlens.operators import naming
+    rounds = []
+    real = naming.materialize
+    monkeypatch.setattr(naming, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    rows = [(1, "a"), (2, "a")] + [(3 + i, "a" + "-d" * (i + 1)) for i in range(200)] + [(500 + i, "b" + "-d" * i) for i in range(50)]
+    rows += [(900, "a" + "-d" * 40)]
+    seen, want = set(), {}
+    for k, base in rows:
+        want[k] = base if base not in seen else f"{base}-d"
+        seen.add(want[k])
+    df = spark.createDataFrame([(k, b, "d") for k, b in rows], "row_num long, fname string, creationdate string").repartition(4)
+    got = {r.row_num: r.fname for r in naming.unique_names(df).collect()}
+    assert got == want
+    assert rounds.count("names-round") <= 10

@@ -9,6 +9,7 @@ from vaultlens.constants import DAILY_QUOTA_BYTES
 from vaultlens.functions.sizing import consistency_state, idiv, partition_size
 from vaultlens.functions.text import has_text
 from vaultlens.operators.numbering import global_row_number
+from vaultlens.operators.scan import BLOCK, maxplus_scan
 from vaultlens.session import materialize
 
 INVENTORY_COLUMNS = ["archiveid", "archivedescription", "creationdate", "size", "sha256treehash"]
@@ -151,23 +152,37 @@ def resume_summary(parted: DataFrame, last: DataFrame) -> DataFrame:
         F.sum("size").cast("bigint").alias("bytes"))
 
 
-def request_calendar(parted: DataFrame, throttle: DataFrame | None = None, quota: int = DAILY_QUOTA_BYTES) -> DataFrame:
+def request_calendar(parted: DataFrame, throttle: DataFrame | None = None, quota: int = DAILY_QUOTA_BYTES,
+                     elapsed: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """The request loop as a table: one row per partition with its wait and start offset.
 
-    Start offset of partition p = sum of the waits of the partitions before it.
-    The window runs over one row per partition (archives / partition size), a
-    small table.
+    ``elapsed`` (``part, elapsed_s``) is the time a partition's own requests took; it counts
+    towards the wait, and the next partition starts when both are over. ``throttle``
+    (``part, throttled_bytes, errors``) says which partition's wait finds the throttled bytes in
+    the counter and drains them; what arrives after the last partition stays there.
+    Optional ``ready_s`` of ``elapsed``: the partition starts no earlier.
+
+    Start offsets are a prefix scan over blocks of partitions (:mod:`vaultlens.operators.scan`).
     """
-    from pyspark.sql import Window
     from vaultlens.functions.sizing import request_wait_seconds
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     pb = partition_bytes(parted)
     if throttle is not None:
         pb = pb.join(throttle.groupBy("part").agg(F.sum("throttled_bytes").alias("throttled_bytes"),
                                                   F.sum("errors").alias("errors")), "part", "left")
     else:
         pb = pb.withColumn("throttled_bytes", F.lit(None)).withColumn("errors", F.lit(None))
-    pb = (pb.withColumn("throttled_bytes", F.coalesce("throttled_bytes", F.lit(0)).cast("bigint"))
-            .withColumn("errors", F.coalesce("errors", F.lit(0)).cast("bigint"))
-            .withColumn("wait_s", request_wait_seconds("bytes", "throttled_bytes", None, quota)))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return pb.withColumn("start_s", F.coalesce(F.sum("wait_s").over(before), F.lit(0)).cast("bigint"))
+    if elapsed is not None:
+        pb = pb.join(elapsed, "part", "left")
+    else:
+        pb = pb.withColumn("elapsed_s", F.lit(None))
+    if "ready_s" not in pb.columns:
+        pb = pb.withColumn("ready_s", F.lit(None))
+    pb = pb.select("part", "bytes", "n", zero("throttled_bytes"), zero("errors"), zero("elapsed_s"),
+                   F.col("ready_s").cast("bigint").alias("ready_s"))
+    pb = pb.withColumn("wait_s", request_wait_seconds("bytes", "throttled_bytes", "elapsed_s", quota))
+    # State: when the partition before was over. A row starts at max(state, ready_s), so it turns t
+    # into max(t + cycle, ready_s + cycle).
+    cycle = F.col("elapsed_s") + F.col("wait_s")
+    out = maxplus_scan(pb, "part", cycle, F.col("ready_s") + cycle, "_vl_t", block=block)
+    return out.withColumn("start_s", F.greatest("_vl_t", "ready_s")).drop("_vl_t", "ready_s")

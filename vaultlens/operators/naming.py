@@ -38,13 +38,16 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
 
     * every row that is not the first of its base name is suffixed;
     * the first row of a base is suffixed iff the base is recorded, or it equals
-      the suffixed name of a row that comes earlier. Suffixing a first row can
-      only add names, so this is iterated to its fixpoint (usually one round).
+      the suffixed name of an earlier row that is itself suffixed. That earlier row
+      is one that always is (a seed), or another first row (a link). Links lead
+      from a first row to a later one and each row has one at most, so they form
+      a forest; what the seeds reach is found by pointer doubling, in as many
+      rounds as the logarithm of the longest chain. Without links there is no round.
 
     Skew: a base shared by a third of all rows never lands in one task; the
     first row per base is a partial aggregate joined back on the unique
-    (name, order) pair, and each round joins one row per name with one row per
-    name.
+    (name, order) pair, and seeds, links and rounds join one row per name with one
+    row per name.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -60,31 +63,15 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
                                  .groupBy("_vl_name").agg(F.min("_vl_ord").alias("_vl_sord")), "names-later")
     first_rows = materialize(rows.join(firsts, ["_vl_base", "_vl_ord"], "left_semi")
                              .select("_vl_base", "_vl_ord", suffix_name("_vl_base", date_col).alias("_vl_sname")), "names-first")
+    seeds = first_rows.join(suffixed_later, first_rows["_vl_base"] == suffixed_later["_vl_name"]) \
+                      .where(F.col("_vl_sord") < F.col("_vl_ord")).select("_vl_base")
     if recorded is not None:
         rec = recorded.select(F.col(name_col).alias("_vl_base")).distinct()
-        hit = materialize(first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base"), "names-hit")
-        n_prev = hit.count()
-    else:
-        hit, n_prev = None, 0
-    chosen = hit
-    while True:
-        names = suffixed_later
-        if chosen is not None:
-            extra = (first_rows.join(chosen, "_vl_base", "left_semi")
-                               .select(F.col("_vl_sname").alias("_vl_name"), F.col("_vl_ord").alias("_vl_sord")))
-            names = names.unionByName(extra).groupBy("_vl_name").agg(F.min("_vl_sord").alias("_vl_sord"))
-        # One row per name on each side: a one-to-one join, whatever the skew.
-        by_earlier = (first_rows.join(names, first_rows["_vl_base"] == names["_vl_name"])
-                                .where(F.col("_vl_sord") < F.col("_vl_ord"))
-                                .select("_vl_base"))
-        nxt = by_earlier if hit is None else hit.unionByName(by_earlier)
-        # Small: one row per first row that must be suffixed (usually none).
-        nxt = materialize(nxt.distinct(), "names-round")
-        n = nxt.count()
-        chosen = nxt
-        if n == n_prev:
-            break
-        n_prev = n
+        seeds = seeds.unionByName(first_rows.join(rec, "_vl_base", "left_semi").select("_vl_base"))
+    later = first_rows.select(F.col("_vl_base").alias("_vl_to"), F.col("_vl_ord").alias("_vl_to_ord"))
+    links = first_rows.join(later, F.col("_vl_sname") == F.col("_vl_to")).where(F.col("_vl_ord") < F.col("_vl_to_ord")) \
+                      .select(F.col("_vl_base").alias("_vl_from"), "_vl_to")
+    chosen = _reached(materialize(seeds.distinct(), "names-seeds"), materialize(links, "names-links"))
     # The rows are flagged once, through the unique (base, order) pairs of the first rows
     # that keep their name, so a hot base never funnels into one join task.
     keeps = (first_rows.join(chosen, "_vl_base", "left_anti")
@@ -94,3 +81,20 @@ def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_n
     return (res.withColumn(out, F.when(suffix, suffix_name("_vl_base", date_col)).otherwise(F.col("_vl_base")))
                .withColumn("suffixed", suffix)
                .drop("_vl_base", "_vl_ord", "_vl_keeps"))
+
+
+def _reached(seeds: DataFrame, links: DataFrame) -> DataFrame:
+    """``_vl_base``: the seeds and all that links lead to from them. Round k follows 2^k links at
+    once: the marks of distance below 2^k meet the links of length 2^k, then the links double."""
+    marks, n = seeds, seeds.count()
+    jump = links
+    while not jump.isEmpty():
+        far = jump.join(marks, F.col("_vl_from") == F.col("_vl_base"), "left_semi").select(F.col("_vl_to").alias("_vl_base"))
+        marks = materialize(marks.unionByName(far).distinct(), "names-round")
+        now = marks.count()
+        if now == n:
+            break
+        n = now
+        ahead = jump.select(F.col("_vl_from").alias("_vl_to"), F.col("_vl_to").alias("_vl_next"))
+        jump = materialize(jump.join(ahead, "_vl_to").select("_vl_from", F.col("_vl_next").alias("_vl_to")), "names-links")
+    return marks

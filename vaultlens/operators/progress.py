@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultlens.constants import (ERROR_NOISE, ERROR_SPELLINGS, METRIC_BYTES_NAMES, METRIC_COUNT_NAMES,
-                                 METRIC_UNIT, METRIC_WINDOW, STAGE_FIELDS)
+                                 METRIC_UNIT, METRIC_WINDOW, SECONDS_PER_DAY, STAGE_FIELDS)
+from vaultlens.operators.scan import suffix_min
 
 COUNTERS = [name for _, name in STAGE_FIELDS] + ["total", "throttledBytes", "failedBytes", "errorCount"]
 
@@ -129,7 +130,8 @@ def oldest_message_age(messages: DataFrame, period_s: int = 300, report_us: Colu
     report time (default: the latest time in the table). Messages are first reduced to the
     oldest per (queue, last period): at most one row a period. A running minimum from the
     last period down then gives each stretch of periods its oldest message, and only these
-    stretches, which do not overlap, become rows.
+    stretches, which do not overlap, become rows. The minimum is scanned in blocks of a day's
+    periods, so a queue with all messages is spread over its days.
     """
     p = period_s * 1_000_000
     if report_us is None:
@@ -138,10 +140,8 @@ def oldest_message_age(messages: DataFrame, period_s: int = 300, report_us: Colu
     m = messages.select("queue", "sent_us", (period(F.coalesce("done_us", report_us)) - 1).alias("last")) \
                 .where(period(F.col("sent_us")) <= F.col("last"))
     g = m.groupBy("queue", "last").agg(F.min("sent_us").alias("sent_us"))
-    later = Window.partitionBy("queue").orderBy(F.col("last").desc())
-    g = g.withColumn("oldest_us", F.min("sent_us").over(later.rowsBetween(Window.unboundedPreceding, 0))) \
-         .withColumn("below", F.lead("last").over(later))
-    first = F.greatest(period(F.col("oldest_us")), F.coalesce(F.col("below") + 1, period(F.col("oldest_us"))))
+    g = suffix_min(g, "queue", "last", "sent_us", "oldest_us", max(1, SECONDS_PER_DAY // period_s))
+    first = F.greatest(period(F.col("oldest_us")), F.coalesce(F.col("last_below") + 1, period(F.col("oldest_us"))))
     ex = g.withColumn("first", first).where("first <= last") \
           .select("queue", "oldest_us", F.explode(F.sequence("first", "last")).alias("k"))
     return ex.select("queue", (F.col("k") * p).alias("at_us"), (F.col("k") * p - F.col("oldest_us")).alias("age_us"))

@@ -107,19 +107,19 @@ def resume_requests(spark, sf_dir):
 
 @job
 def request_pacing(spark, sf_dir):
-    """Per partition: bytes, throttled bytes, wait before the next one and start offset."""
-    parted = _parted(spark, sf_dir, STATS_COLS)
-    throttle = B.throttle_events(spark, sf_dir, parted)
-    return invops.request_calendar(parted, throttle)
+    """Per partition: bytes, the throttled bytes its wait drains, the time its requests took, the
+    wait before the next one and the start offset."""
+    parted = materialize(_parted(spark, sf_dir, STATS_COLS), "parted")
+    return invops.request_calendar(parted, B.throttle_events(spark, sf_dir, parted), elapsed=B.request_times(parted))
 
 
 @job
 def throttle_drain(spark, sf_dir):
-    """Throttling counters after all waits but the last partition's: what a wait has taken up
-    is subtracted, so only bytes and errors that no wait has seen are left."""
+    """Throttling counters after the waits of :func:`request_pacing`: what a wait has drained is
+    subtracted, so only bytes and errors that arrive after the last partition are left."""
     parted = materialize(_parted(spark, sf_dir, STATS_COLS), "parted")
     throttle = materialize(B.throttle_events(spark, sf_dir, parted), "throttle")
-    waited = throttle.where(F.col("part") < parted.agg(F.max("part")).scalar())
+    waited = throttle.where(F.col("part") <= parted.agg(F.max("part")).scalar())
     return progress.counter_totals(progress.throttle_deltas(throttle).unionByName(progress.throttle_deltas(waited, drain=True)))
 
 

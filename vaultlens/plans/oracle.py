@@ -166,21 +166,23 @@ ORACLE["resume_requests"] = with_views(
        from parted p left join lastp l on p.part = l.part
        group by p.part, l.max_ifn, l.last_aid""", "parted")
 
+# Late throttling counts for the partition whose wait finds it; requests take their own time.
 ORACLE["request_pacing"] = with_views(
-    """, thr AS (select p.part, sum(p.size) AS tb, count(*) AS errs
-                 from events e join parted p on p.row_num = e.user_id where e.event_type = 'error' group by p.part),
-       pb AS (select part, cast(sum(size) as bigint) AS bytes, count(*) AS n from parted group by part),
-       w AS (select pb.part, pb.bytes, pb.n, cast(coalesce(thr.tb, 0) as bigint) AS throttled_bytes,
+    """, thr AS (select p.part + e.event_id % 3 AS part, sum(p.size) AS tb, count(*) AS errs
+                 from events e join parted p on p.row_num = e.user_id where e.event_type = 'error' group by 1),
+       pb AS (select part, cast(sum(size) as bigint) AS bytes, count(*) AS n, count(*) * (cast(part as bigint) % 5) * 3 AS elapsed_s
+              from parted group by part),
+       w AS (select pb.part, pb.bytes, pb.n, elapsed_s, cast(coalesce(thr.tb, 0) as bigint) AS throttled_bytes,
                     cast(coalesce(thr.errs, 0) as bigint) AS errors from pb left join thr on pb.part = thr.part),
-       w2 AS (select *, greatest(cast(floor(86400.0 * ((bytes + throttled_bytes) / 65970697666560.0) + 0.5) as bigint), 0) AS w0 from w),
+       w2 AS (select *, greatest(cast(floor(86400.0 * ((bytes + throttled_bytes) / 65970697666560.0) + 0.5) as bigint) - elapsed_s, 0) AS w0 from w),
        w3 AS (select *, cast(case when w0 = 0 and throttled_bytes > 0 then 960 else w0 end as bigint) AS wait_s from w2)
-       select part, bytes, n, throttled_bytes, errors, wait_s,
-              cast(coalesce(sum(wait_s) over (order by part rows between unbounded preceding and 1 preceding), 0) as bigint) AS start_s
+       select part, bytes, n, throttled_bytes, errors, cast(elapsed_s as bigint) AS elapsed_s, wait_s,
+              cast(coalesce(sum(elapsed_s + wait_s) over (order by part rows between unbounded preceding and 1 preceding), 0) as bigint) AS start_s
        from w3""", "parted")
 
 ORACLE["throttle_drain"] = with_views(
     """, t AS (select p.size from events e join parted p on p.row_num = e.user_id
-               where e.event_type = 'error' and p.part = (select max(part) from parted))
+               where e.event_type = 'error' and p.part + e.event_id % 3 > (select max(part) from parted))
        select 'throttling' AS pk, 'throttledBytes' AS counter, cast(coalesce(sum(size), 0) as bigint) AS value from t
        union all select 'throttling', 'errorCount', count(*) from t""", "parted")
 
