@@ -49,6 +49,7 @@ ROTATIONS = 50     # if so many do not reach RECALL, the substrings become one b
 BUCKET = 256       # vectors an even table has in a bucket: larger ones need fewer tables, so less is shuffled
 HOT = 1024         # a bucket with more vectors may have a ball
 BLOCK = 1024       # vectors of a block
+SLICE = 64         # vectors of a block that are compared with the other block at a time
 ITERATIONS = 30
 _SLACK = 1e-9      # a ball's radius stays this much (cosine) inside the bound
 
@@ -187,29 +188,31 @@ def _linked(f: pd.DataFrame, threshold: float) -> pd.DataFrame:
         for lo, hi in zip(edges, edges[1:]):
             a = np.arange(lo, hi)[side[lo:hi] != 2]     # 0: both blocks are the same one; 1 and 2: the two blocks
             b = a if side[lo] == 0 else np.arange(lo, hi)[side[lo:hi] == 2]
-            i, j = np.nonzero(units[a] @ units[b].T >= threshold)
-            i, j = a[i], b[j]
-            ok = (i < j) | (side[i] == 1)
-            t = table[lo]
-            ok &= ((ball[i] < 0) | (ball[i] != ball[j])) & (keys[i, t] == keys[j, t])
-            i, j = i[ok], j[ok]
-            if t:
+            links, root = np.zeros(hi - lo, dtype=np.int64), node[lo:hi].copy()
+            for s in range(0, len(a), SLICE):
+                i, j = np.nonzero(units[a[s:s + SLICE]] @ units[b].T >= threshold)
+                i, j = a[s:s + SLICE][i], b[j]
+                t = table[lo]
+                ok = ((i < j) | (side[i] == 1)) & ((ball[i] < 0) | (ball[i] != ball[j])) & (keys[i, t] == keys[j, t])
+                i, j = i[ok], j[ok]
                 first = ~(keys[i, :t] == keys[j, :t]).any(axis=1)
                 i, j = i[first], j[first]
-            if len(i):
-                links = np.zeros(hi - lo, dtype=np.int64)
                 np.add.at(links, i - lo, weight[j])
                 np.add.at(links, j - lo, weight[i])
-                root = node[lo:hi].copy()
-                while True:                              # smallest node of each local component
-                    before = root.copy()
-                    low = np.minimum(root[i - lo], root[j - lo])
-                    np.minimum.at(root, i - lo, low)
-                    np.minimum.at(root, j - lo, low)
-                    if (root == before).all():
+                while len(i):                             # joins the components of this slice's pairs
+                    ri, rj = root[i - lo], root[j - lo]
+                    apart = ri != rj
+                    if not apart.any():
                         break
-                has = links > 0
-                out.append((node[lo:hi][has], links[has], root[has]))
+                    # The larger root of a pair becomes the smaller one everywhere it names a component.
+                    big, small = np.maximum(ri, rj)[apart], np.minimum(ri, rj)[apart]
+                    names, at = np.unique(big, return_inverse=True)
+                    low = np.full(len(names), np.iinfo(np.int64).max)
+                    np.minimum.at(low, at, small)
+                    place = np.minimum(np.searchsorted(names, root), len(names) - 1)
+                    root = np.where(names[place] == root, low[place], root)
+            has = links > 0
+            out.append((node[lo:hi][has], links[has], root[has]))
     parts = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, dtype=np.int64)] * 3
     return pd.DataFrame(dict(zip(("node", "links", "root"), parts)))
 
