@@ -18,6 +18,7 @@ from vaultlens.plans import bindings as B
 from vaultlens.session import materialize, scratch_dir
 from vaultlens.sources import files as io
 from vaultlens.sources import ranges_io
+from vaultlens.sources.status_table import read_status_table, write_status_table
 from vaultlens.streaming import streams
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -471,6 +472,9 @@ def stream_metric_window(spark, sf_dir):
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "metric", "max_value")
 
 
+STATUS_BUCKETS = 16   # of the test tables' status rows
+
+
 @job
 def stream_chunk_plan(spark, sf_dir):
     """Retrieval notices as JSON text files (each delivered twice) -> gate on copy started ->
@@ -485,9 +489,12 @@ def stream_chunk_plan(spark, sf_dir):
         rows.select(F.to_json(F.struct(msg.alias("Message"))).alias("value")).write.mode("append").text(src)
 
     def run(status):
+        table = scratch_dir(spark, "status-table")
+        write_status_table(status, table, buckets=STATUS_BUCKETS)
+        status = read_status_table(spark, table)
         notices = spark.readStream.option("maxFilesPerTrigger", 2).text(src).withColumnRenamed("value", "raw")
         parse = lambda b: io.parse_retrieval_notice(b).withColumnRenamed("ArchiveId", "aid")
-        streams.chunk_plan_stream(notices, status, sink, ck, parse=parse)
+        streams.chunk_plan_stream(notices, status, sink, ck, parse=parse, buckets=STATUS_BUCKETS)
 
     deliver(st, "ArchiveRetrieval")
     deliver(st, "ArchiveRetrieval")
