@@ -18,6 +18,7 @@ from vaultlens.plans import bindings as B
 from vaultlens.session import materialize, scratch_dir
 from vaultlens.sources import files as io
 from vaultlens.sources import ranges_io
+from vaultlens.sources.record_stream import record_stream
 from vaultlens.sources.status_table import read_status_table, write_status_table
 from vaultlens.streaming import streams
 
@@ -437,6 +438,25 @@ def scheduled_snapshot(spark, sf_dir):
     return streams.latest_batch(spark, points, rows)
 
 
+ADMITTED = 5000   # records of a batch: more than the source's own 1000, as each batch costs about a second
+
+
+@job
+def stream_admitted_batches(spark, sf_dir):
+    """Change records admitted by number: batches of ADMITTED whatever the files, in two runs; per
+    batch its records and how many are removals, and what all batches hold together."""
+    src, schema = _as_files(B.changes(spark, sf_dir).select("event_id", "ts", "aid", "event_name"), spark, "changes-admitted")
+    sink, ck = scratch_dir(spark, "admitted"), scratch_dir(spark, "ck")
+    for _ in range(2):   # the second run starts from the first one's offsets and finds nothing new
+        records = record_stream(spark, src, schema, f"{ck}-progress", max_records=ADMITTED, window_s=0)
+        streams.admitted_batches(records, sink, ck, ["event_id", "event_name"])
+    rows = spark.read.parquet(sink)
+    n = rows.groupBy(F.col("batch_id").cast("bigint").alias("batch")).agg(F.count(F.lit(1)).alias("records"))
+    whole = rows.agg(F.lit(-1).cast("bigint").alias("batch"), F.count_distinct("event_id").alias("records"))
+    removed = rows.where("event_name = 'REMOVE'").agg(F.lit(-2).cast("bigint").alias("batch"), F.count(F.lit(1)).alias("records"))
+    return n.unionByName(whole).unionByName(removed)
+
+
 @job
 def stream_first_transition(spark, sf_dir):
     """Every change record delivered twice; each (archive, stage) still counts once."""

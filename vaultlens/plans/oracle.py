@@ -468,6 +468,14 @@ from x""", "status_l")
 ORACLE["stream_hash_validation"] = _with_recursive("select aid, sz, rc, route from routed", "routed")
 
 ORACLE["stream_status_upsert"] = ORACLE["latest_status"]
+# Batch numbers from 0; -1: different records in all batches, -2: removals among them.
+ORACLE["stream_admitted_batches"] = """
+WITH n AS (select count(*) AS n from events)
+select cast(b as bigint) AS batch, cast(least(5000, n - 5000 * b) as bigint) AS records
+from n, (select unnest(generate_series(0, 10000000)) AS b) where 5000 * b < n
+union all select -1, count(distinct event_id) from events
+union all select -2, count(*) from events where event_type = 'error'"""
+
 # Per field the latest write after the record's last removal; a written null clears the field.
 ORACLE["stream_field_upsert"] = f"""
 WITH e AS (select cast(user_id as varchar) AS aid, user_id, (epoch_us(ts), event_id) AS seq, ts, event_id, event_type AS k,
