@@ -41,7 +41,7 @@ SCALE = 10 ** 9
 TOP = 10
 LEAVES = 1 << 11     # term ids of a range
 TILE = 32            # groups of a tile
-TASK_ENTRIES = 400_000   # (language, source, term) entries a task counts before it passes them on
+TASK_ENTRIES = 300_000   # (language, source, term) entries a task counts before it passes them on
 
 # ASCII other than letters separates terms; only A-Z are lower-cased.
 _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -59,27 +59,27 @@ def term_counts(docs: DataFrame) -> DataFrame:
         size = 0
 
         def flush():
-            rows = [(lang, source, t, n, d) for (lang, source), g in seen.items() for t, (n, d) in g.items()]
+            for (lang, source), g in seen.items():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(g), type=pa.string()), pa.array([source] * len(g), type=pa.string()), pa.array(list(g), type=pa.binary()),
+                    pa.array([v >> 32 for v in g.values()], type=pa.int64()), pa.array([v & 0xFFFFFFFF for v in g.values()], type=pa.int64())],
+                    names=["lang", "source", "term", "n", "docs"])
             seen.clear()
-            cols = list(zip(*rows)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, schema)], names=names)
 
         for b in batches:
             langs, sources = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lang, source, text in zip(langs, sources, b.column(2)):
-                g = seen[lang, source]
+                g = seen[lang, source]      # occurrences in the upper bits, documents in the lower 32
                 size -= len(g)
-                g[None] = (0, g.get(None, (0, 0))[1] + 1)
+                g[None] = g.get(None, 0) + 1
                 for t, n in Counter(terms_of(text.as_py())).items():
-                    old = g.get(t)
-                    g[t] = (n, 1) if old is None else (old[0] + n, old[1] + 1)
+                    g[t] = g.get(t, 0) + (n << 32 | 1)
                 size += len(g)
                 if size > TASK_ENTRIES:
-                    yield flush()
+                    yield from flush()
                     size = 0
-        yield flush()
+        yield from flush()
 
-    schema, names = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()], ["lang", "source", "term", "n", "docs"]
     part = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term binary, n long, docs long")
     return part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
