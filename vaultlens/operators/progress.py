@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vaultlens.constants import (ERROR_NOISE, ERROR_SPELLINGS, METRIC_BYTES_NAMES, METRIC_COUNT_NAMES,
                                  METRIC_UNIT, METRIC_WINDOW, SECONDS_PER_DAY, STAGE_FIELDS)
 from vaultlens.operators.scan import suffix_min
+from vaultlens.sources.batches import write_batch
 
 COUNTERS = [name for _, name in STAGE_FIELDS] + ["total", "throttledBytes", "failedBytes", "errorCount"]
 
@@ -168,6 +169,6 @@ def metric_point_rows(points: DataFrame, dimension: str, ts=None) -> DataFrame:
 
 
 def write_metric_points(points: DataFrame, path: str, dimension: str, batch_id: int, ts=None) -> None:
-    """Add one batch of points to the metric table. The batch id is its folder: publishing a
-    batch again replaces it."""
-    metric_point_rows(points, dimension, ts).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    """Add one batch of points to the metric table. Publishing a batch again replaces it; a reader
+    finds the old one until the new one is whole (:mod:`vaultlens.sources.batches`)."""
+    write_batch(metric_point_rows(points, dimension, ts), path, batch_id)

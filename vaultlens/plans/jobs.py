@@ -18,6 +18,7 @@ from vaultlens.plans import bindings as B
 from vaultlens.session import materialize, scratch_dir
 from vaultlens.sources import files as io
 from vaultlens.sources import ranges_io
+from vaultlens.sources.batches import read_batches
 from vaultlens.sources.record_stream import record_stream
 from vaultlens.sources.status_table import read_status_table, write_status_table
 from vaultlens.streaming import streams
@@ -260,7 +261,7 @@ def progress_metrics(spark, sf_dir):
     points = progress.progress_points(_counters(spark, sf_dir))
     path = scratch_dir(spark, "metric-points")
     progress.write_metric_points(points, path, METRIC_DIMENSION, 0)
-    return spark.read.parquet(path).select("metric", "dimension", "unit", "value")
+    return read_batches(spark, path, T._parse_datatype_string("metric string, dimension string, unit string, value long"))
 
 
 @job
@@ -429,13 +430,17 @@ def stream_stage_progress(spark, sf_dir):
 
 @job
 def scheduled_snapshot(spark, sf_dir):
-    """The metric points that the last batch of the progress stream publishes; totals are fixed."""
+    """The metric points of three ticks: one before the progress stream has run, two after it with
+    no batch between them. The ticks read the stream's state; totals are fixed."""
     src, schema = _as_files(B.changes(spark, sf_dir), spark, "changes-snapshot")
     points, ck = scratch_dir(spark, "snapshot-points"), scratch_dir(spark, "ck")
-    streams.stage_progress_stream(_stream(spark, src, schema), scratch_dir(spark, "snapshot-totals"), ck,
-                                  points_sink=points, fixed_counters=_totals(spark, sf_dir))
-    rows = T._parse_datatype_string("metric string, dimension string, unit string, value long")
-    return streams.latest_batch(spark, points, rows)
+    totals = materialize(_totals(spark, sf_dir), "totals")
+    streams.publish_snapshot(spark, ck, points, 0, totals)
+    streams.stage_progress_stream(_stream(spark, src, schema), scratch_dir(spark, "snapshot-totals"), ck)
+    for tick in (1, 2):
+        streams.publish_snapshot(spark, ck, points, tick, totals)
+    rows = T._parse_datatype_string("metric string, dimension string, unit string, value long, batch_id long")
+    return streams.read_sink(spark, points, rows).withColumnRenamed("batch_id", "tick")
 
 
 ADMITTED = 5000   # records of a batch: more than the source's own 1000, as each batch costs about a second
@@ -450,7 +455,7 @@ def stream_admitted_batches(spark, sf_dir):
     for _ in range(2):   # the second run starts from the first one's offsets and finds nothing new
         records = record_stream(spark, src, schema, f"{ck}-progress", max_records=ADMITTED, window_s=0)
         streams.admitted_batches(records, sink, ck, ["event_id", "event_name"])
-    rows = spark.read.parquet(sink)
+    rows = streams.read_sink(spark, sink, T._parse_datatype_string("event_id long, event_name string, batch_id long"))
     n = rows.groupBy(F.col("batch_id").cast("bigint").alias("batch")).agg(F.count(F.lit(1)).alias("records"))
     whole = rows.agg(F.lit(-1).cast("bigint").alias("batch"), F.count_distinct("event_id").alias("records"))
     removed = rows.where("event_name = 'REMOVE'").agg(F.lit(-2).cast("bigint").alias("batch"), F.count(F.lit(1)).alias("records"))
@@ -488,7 +493,8 @@ def stream_metric_window(spark, sf_dir):
         # One append is one micro-batch: the stream goes on from its checkpoint after each.
         pts.where((us >= lo) & (us < hi)).write.mode("append").parquet(src)
         streams.metric_window_stream(_stream(spark, src, pts.schema, None), sink, ck)
-    out = spark.read.parquet(sink).groupBy("window_start", "metric").agg(F.max("max_value").alias("max_value"))
+    updates = T._parse_datatype_string("window_start timestamp, metric string, max_value double")
+    out = streams.read_sink(spark, sink, updates).groupBy("window_start", "metric").agg(F.max("max_value").alias("max_value"))
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "metric", "max_value")
 
 
@@ -524,7 +530,7 @@ def stream_chunk_plan(spark, sf_dir):
     deliver(st.where(again), "RetryRequest")
     run(st.withColumn("rc", F.when(again, 1).otherwise(0)))
     schema = "aid string, fname string, job_id string, rc int, part_no int, start_byte long, end_byte long"
-    return spark.read.text(sink).select(F.from_json("value", schema).alias("m")).select("m.*")
+    return io.read_messages(spark, sink).select(F.from_json("value", schema).alias("m")).select("m.*")
 
 
 @job
@@ -554,7 +560,7 @@ def stream_status_upsert(spark, sf_dir):
     src, schema = _as_files(B.status_images(spark, sf_dir), spark, "images-upsert")
     sink, ck = scratch_dir(spark, "status-log"), scratch_dir(spark, "ck")
     streams.status_upsert_stream(_stream(spark, src, schema), sink, ck)
-    st = lifecycle.latest_image(spark.read.parquet(sink), "aid", "seq", B.STATUS_FIELDS)
+    st = lifecycle.latest_image(streams.read_sink(spark, sink, schema), "aid", "seq", B.STATUS_FIELDS)
     return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
 
 

@@ -362,7 +362,9 @@ ORACLE["progress_metrics"] = _with_recursive(
 
 ORACLE["scheduled_snapshot"] = (
     ORACLE["progress_metrics"][:ORACLE["progress_metrics"].index("select metric, 'vaultlens'")]
-    + "select metric, 'vaultlens' AS dimension, 'None' AS unit, cast(value as bigint) AS value from pts "
+    + "select metric, 'vaultlens' AS dimension, 'None' AS unit, cast(tick as bigint) AS tick, "
+      "cast(case when tick = 0 and metric not like '%Total' then 0 else value end as bigint) AS value "
+      "from pts, (select unnest([0, 1, 2]) AS tick) "
       "where metric not like 'Throttled%' and metric not like 'Failed%'")
 
 ORACLE["counter_item"] = with_views(
