@@ -83,12 +83,36 @@ def fixture():
     return docs, items
 
 
+def test_the_index_holds_every_word(monkeypatch):
+    """Also the words that no phrase has: one gap a document, nothing left out."""
+    from vaultlens.llm import decontaminate as mod
+    seen = []
+    real = mod.FmIndex
+    monkeypatch.setattr(mod, "FmIndex", lambda seq: seen.append(len(seq)) or real(seq))
+    docs = [words_of(t.encode()) for t in ("a b c of its own", "", "none of the phrase words", "a b c " * 50)]
+    out = mod.scan_shard(docs, mod.Phrases([("i", b"a b c")], 10))
+    assert seen == [sum(map(len, docs)) + len(docs)]
+    assert [(s, e) for s, e, _ in out] == [([0], [3]), ([], []), ([], []), ([0], [150])]
+
+
+def test_broadcast_is_of_the_size_of_the_block():
+    """Distinct words and a number a word, not a tuple a window."""
+    import pickle
+    from vaultlens.llm.decontaminate import Phrases
+    rng = random.Random(3)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(20000)]
+    items = [(f"item{k}", " ".join(rng.choices(vocab, k=4000)).encode()) for k in range(50)]
+    phrases = Phrases(items, 10)
+    assert len(pickle.dumps(phrases)) <= 1.2 * sum(len(b) for _, b in items)
+    assert sum(len(p) for p, _, _ in phrases.groups) == 50 * 3991
+
+
 @pytest.mark.parametrize("block_bytes,shard_words", [(1 << 20, 1 << 20), (64, 100)])
 def test_edge_cases_and_blocks(spark, block_bytes, shard_words):
     docs, items = fixture()
     d = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, id string, starts int")
     b = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, name string")
-    got = rows_of(contamination(d, b, block_bytes=block_bytes, shard_words=shard_words))
+    got = rows_of(contamination(d, b, block_bytes=block_bytes, shard_words=shard_words, piece_words=3 if shard_words == 100 else 1 << 16))
     key = lambda r: (r[0], r[1], r[2], r[3])
     assert sorted(got, key=key) == sorted(brute(docs, items), key=key)
 
