@@ -99,3 +99,11 @@ def test_url_keys():
 
 def test_empty_table(spark):
     assert round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_an_id_that_reads_null_is_an_id(spark):
+    body = "b" * 150
+    df = spark.createDataFrame([("null", "http://a.org/1", body), (None, "http://a.org/2", body), ("x", "http://a.org/3", "small")],
+                               "page_id string, url string, html string")
+    got = sorted(((r.page_id or ""), r.record_type, r.refers_to) for r in round_trip(df).collect())
+    assert got == [("", "revisit", "null"), ("null", "response", None), ("x", "response", None)]

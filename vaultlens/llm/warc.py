@@ -69,23 +69,30 @@ def _clean(text: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", text)
 
 
-def record(page: str, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
+UNNAMED = "<urn:unnamed-page>"   # the record of a page without an id; no other record refers to it
+
+
+def _urn(page: str | None) -> str:
+    return UNNAMED if page is None else f"<urn:page:{quote(page, safe='')}>"
+
+
+def record(page: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
     """One uncompressed record: a response with its payload, or a revisit with the HTTP head only."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: <urn:page:{quote(page, safe='')}>", f"WARC-Date: {DATE}"]
+             f"WARC-Record-ID: {_urn(page)}", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_clean(url)}")
     lines.append(f"WARC-Payload-Digest: sha256:{digest}")
     if refers_to is not None:
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{quote(refers_to, safe='')}>"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_urn(refers_to)}"]
     body = head if refers_to is not None else head + payload
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
 def _page(value: str | None) -> str | None:
-    return None if value is None else unquote(value.removeprefix("<urn:page:").removesuffix(">"))
+    return None if value in (None, UNNAMED) else unquote(value.removeprefix("<urn:page:").removesuffix(">"))
 
 
 def parse(data: bytes) -> dict:
@@ -162,7 +169,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     if groups.count() <= BROADCAST_GROUPS:
         groups = F.broadcast(groups)
     marked = src.join(groups, F.col("digest") == F.col("gdigest"), "left").select(
-        F.coalesce(F.col("page").cast("string"), F.lit("null")).alias("page"), "url", "payload", "digest",
+        F.col("page").cast("string").alias("page"), "url", "payload", "digest",
         F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first").cast("string")).alias("refers_to"))
 
     def run(batches):
@@ -321,7 +328,7 @@ def read_captures(captures: DataFrame, id_type: str = "long") -> DataFrame:
 
     near = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     d = near.mapInArrow(run, "page string, url string, record_type string, payload_bytes long, payload_digest string, refers string")
-    return d.select(F.when(F.col("page") != "null", F.col("page")).cast(id_type).alias("page_id"), "url", "record_type",
+    return d.select(F.col("page").cast(id_type).alias("page_id"), "url", "record_type",
                     "payload_bytes", "payload_digest", F.col("refers").cast(id_type).alias("refers_to"))
 
 
