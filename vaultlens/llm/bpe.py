@@ -214,14 +214,21 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def with_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``n_tokens``, ``ids`` and ``lossless`` (the ids decode to the text). Columns of
-    the input with these names are replaced."""
-    cols = [c for c in docs.columns if c not in ("n_tokens", "ids", "lossless")]
+    """``docs`` plus ``n_tokens``, ``ids`` and ``lossless`` (the ids decode to the text). Where ``docs``
+    has a column of such a name, it stays as it is and the new one is called ``token_<name>``."""
+    cols = docs.columns
+    taken = {c.lower() for c in cols}
+
+    def free(name):
+        while name in taken:
+            name = f"token_{name}"
+        return name
+
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("id"), F.col(f"`{text_col}`").alias("text"))
     d = _run(row, path, True)
     text = F.coalesce(F.col("id").getField(text_col).cast("string"), F.lit(""))
-    return d.select(*[F.col("id").getField(c).alias(c) for c in cols], "n_tokens", "ids",
-                    (F.col("decoded") == text).alias("lossless"))
+    return d.select(*[F.col("id").getField(c).alias(c) for c in cols], F.col("n_tokens").alias(free("n_tokens")),
+                    F.col("ids").alias(free("ids")), (F.col("decoded") == text).alias(free("lossless")))
 
 
 def _run(rows, path, decoded):
