@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from vaultlens.llm import simhash
-from vaultlens.llm.simhash import drop_near_duplicates, fingerprint, links, near_duplicates
+from vaultlens.llm.simhash import drop_near_duplicates, fingerprint, links, near_duplicates, op4_simhash_near_dedup
 
 
 def brute_print(text):
@@ -109,3 +109,15 @@ def test_embedding_bounds_bit_distance(spark):
     df = spark.createDataFrame(pairs, "a long, b long")
     bad = df.where(simhash.manhattan(F.col("a"), F.col("b")) > F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))
     assert bad.count() == 0
+
+
+def test_query_matches_brute_force(spark):
+    """Every fingerprint and component of the registered query on a whole table."""
+    from conftest import SF_SMALL
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    want = brute_components(rows)
+    got = {r.doc_id: r for r in op4_simhash_near_dedup(spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys()
+    for i, t in rows:
+        assert (got[i].fingerprint, got[i].component_id) == (f"{brute_print(t):016x}", want[i])
+    assert len(set(want.values())) < len(want)
