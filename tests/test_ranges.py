@@ -69,3 +69,9 @@ def test_release_needs_validation(spark):
                                "aid string, fname string, sz long, cc int, vdt string")
     dest = spark.createDataFrame([("f3",), ("f1.bak",)], "key string")
     assert [r.aid for r in ranges.plan_release_chunks(st, dest).collect()] == ["a"]
+
+
+def test_sizes_below_zero_are_not_planned(spark):
+    df = spark.createDataFrame([("a", -5), ("b", None), ("c", 0), ("d", 7)], "aid string, sz long")
+    got = [(r.aid, r.start_byte, r.end_byte) for r in ranges.plan_ranges(df, "sz", 4).orderBy("aid", "part_no").collect()]
+    assert got == [("c", 0, -1), ("d", 0, 3), ("d", 4, 6)]

@@ -192,6 +192,16 @@ def chunk_results(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.struct(F.col("l_shipdate").cast("timestamp").alias("ts"), token.alias("tok")).alias("seq")))
 
 
+def raw_status_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status items as the key-value table holds them: a map of attribute names and texts, with one
+    attribute ``chunkN`` a chunk that every phase writes again, and attributes that are no chunks."""
+    latest = chunk_results(spark, sf_dir).groupBy("aid", "part_no").agg(F.max_by("value", "seq").alias("value"))
+    entries = F.collect_list(F.struct(F.concat(F.lit("chunk"), "part_no").alias("k"), "value"))   # at most one a line number
+    items = latest.groupBy("aid").agg(F.map_from_entries(entries).alias("chunks"))
+    other = F.create_map(F.lit("fname"), F.concat(F.lit("obj/"), "aid"), F.lit("chunked"), F.lit("yes"), F.lit("chunk"), F.lit("none"))
+    return items.select("aid", F.map_concat(other, "chunks").alias("attrs"))
+
+
 def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunk count per archive (order): 1 + customer key mod 7."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

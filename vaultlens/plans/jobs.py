@@ -224,6 +224,21 @@ def latest_status(spark, sf_dir):
     return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
 
 
+@job
+def latest_fields(spark, sf_dir):
+    """Current record per archive from partial updates: each field by its latest write."""
+    log = B.status_updates(spark, sf_dir).where("not removed")
+    st = lifecycle.latest_state(log, "aid", "seq", B.RECORD_FIELDS.names, "written")
+    return st.select("aid", *[F.date_format(f, TS_FMT).alias(f) for f in ("cdt", "sgt", "vdt", "cpt")], "sz")
+
+
+@job
+def raw_chunks(spark, sf_dir):
+    """The chunk attributes of raw status items, told apart from the others by name and from each
+    other's phase by the length of their value."""
+    return lifecycle.chunk_rows_from_record(B.raw_status_items(spark, sf_dir))
+
+
 @job
 def stage_progress(spark, sf_dir):
     return progress.stage_rows(progress.stage_counts(B.changes(spark, sf_dir)))

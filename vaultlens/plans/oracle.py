@@ -491,6 +491,24 @@ select aid, strftime(max_by(ts, seq) filter (where k = 'signup'), {_FMT}) AS cdt
        strftime(max_by(ts, seq) filter (where k = 'purchase'), {_FMT}) AS cpt,
        cast(max_by(user_id * 1000 + event_id, seq) filter (where k = 'signup') as bigint) AS sz
 from w group by aid"""
+ORACLE["latest_fields"] = f"""
+WITH w AS (select cast(user_id as varchar) AS aid, user_id, (epoch_us(ts), event_id) AS seq, ts, event_id, event_type AS k
+           from events where event_type <> 'error' or event_id % 3 <> 0)
+select aid, strftime(max_by(ts, seq) filter (where k = 'signup'), {_FMT}) AS cdt,
+       strftime((max_by({{'t': case when k = 'click' and event_id % 11 <> 0 then ts end}}, seq)
+                 filter (where k in ('click', 'error'))).t, {_FMT}) AS sgt,
+       strftime(max_by(ts, seq) filter (where k = 'view'), {_FMT}) AS vdt,
+       strftime(max_by(ts, seq) filter (where k = 'purchase'), {_FMT}) AS cpt,
+       cast(max_by(user_id * 1000 + event_id, seq) filter (where k = 'signup') as bigint) AS sz
+from w group by aid"""
+
+ORACLE["raw_chunks"] = """
+WITH c AS (select cast(l_orderkey as varchar) AS aid, cast(l_linenumber as integer) AS part_no, l_returnflag AS f, l_shipdate AS d,
+                  concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar),
+                            cast(l_suppkey as varchar)) AS tok from lineitem),
+m AS (select aid, part_no, max_by(case when f = 'R' then sha256(tok) else '"' || md5(tok) || '"' end, (d, tok)) AS value
+      from c group by aid, part_no)
+select aid, part_no, value, case when length(value) > 40 then 'hashed' else 'etag' end AS kind from m"""
 ORACLE["staged_tree_hash"] = ORACLE["tree_hash"]
 ORACLE["results_csv"] = with_views(
     """select distinct cast(row_num as bigint) AS row_num, archiveid, size, sha256treehash, creationdate,

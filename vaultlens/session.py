@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir()   # always the qualified name: Arrow opens it on executors
     if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_SCRATCH is None:
