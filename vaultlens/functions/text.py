@@ -27,18 +27,25 @@ _HIGH = "".join(chr(c) for c in range(128, 256))
 _LOW = "".join(chr(c - 128) for c in range(128, 256))
 
 
-def _b64_text(tag_text: Column, ascii7: bool = False) -> Column:
-    """Decode base64 (standard or URL-safe alphabet) to text.
+# The parse in steps. Each step uses the one before more than once, or inside conditions, where
+# common subexpressions are not shared: `naming.resolve_names` makes every step a column.
 
-    Total: characters outside the alphabet are skipped, padding is not needed, a lone last
-    character is dropped, and bytes that are not UTF-8 become replacement characters.
-    ``ascii7`` reproduces the migrated code's decoding (high bit of every byte cleared,
-    then read as Latin-1), which mangles non-ASCII names; on ASCII payloads both agree.
+def base64_kept(tag_text) -> Column:
+    """The characters of a payload that count: those of the base64 alphabet, standard or URL-safe."""
+    return F.regexp_replace(F.translate(_c(tag_text), "-_", "+/"), "[^A-Za-z0-9+/]", "")
+
+
+def base64_text(kept, ascii7: bool = False) -> Column:
+    """Decode what :func:`base64_kept` kept to text.
+
+    Total: padding is not needed, a lone last character is dropped, and bytes that are not
+    UTF-8 become replacement characters. ``ascii7`` reproduces the migrated code's decoding
+    (high bit of every byte cleared, then read as Latin-1), which mangles non-ASCII names; on
+    ASCII payloads both agree.
     """
-    kept = F.regexp_replace(F.translate(tag_text, "-_", "+/"), "[^A-Za-z0-9+/]", "")
-    n = F.length(kept)
-    whole = F.when(n % 4 == 1, F.left(kept, n - 1)).otherwise(kept)
-    raw = F.unbase64(F.rpad(whole, F.ceil(F.length(whole) / 4).cast("int") * 4, F.lit("=")))
+    kept = _c(kept)
+    size = F.length(kept) - F.when(F.length(kept) % 4 == 1, 1).otherwise(0)
+    raw = F.unbase64(F.rpad(F.left(kept, size), F.ceil(size / 4).cast("int") * 4, F.lit("=")))
     if ascii7:
         return F.translate(F.decode(raw, "ISO-8859-1"), _HIGH, _LOW)
     return F.make_valid_utf8(raw.cast("string"))
@@ -49,41 +56,42 @@ def _tag_value(d: Column, tag: str) -> Column:
     return F.regexp_extract(d, f"<{tag}>[{JS_WHITESPACE}]*(.*?)[{JS_WHITESPACE}]*</{tag}>", 1)
 
 
-def json_path(desc) -> Column:
-    """``Path`` of a JSON description (possibly JSON-encoded twice), else NULL.
+def xml_payload(desc) -> Column:
+    """The base64 payload of an XML description: ``<p>`` within ``<m>..</m>``, else ``<Path>`` within
+    ``<ArchiveMetadata>..</ArchiveMetadata>``; NULL for other texts."""
+    d = _c(desc)
+    return F.when(d.rlike(M_FORM), _tag_value(d, "p")).when(d.rlike(METADATA_FORM), _tag_value(d, "Path"))
 
-    Strict parse of the whole text as one document (no single quotes; the last duplicate
-    key wins); anything after the document, or a missing or null ``Path``, gives NULL, so
-    the caller keeps the raw text.
-    """
+
+def json_documents(desc) -> Column:
+    """The documents of a JSON description (possibly JSON-encoded twice), else NULL: a strict parse of
+    the whole text (no single quotes; the last duplicate key wins)."""
     d = _c(desc)
-    json_form = d.rlike(JSON_FORM)
     doc = F.when(d.startswith('"'), F.get_json_object(d, "$")).otherwise(d)
     # As the only element of an array, a document must end where the text ends.
-    docs = F.from_json(F.concat(F.lit("["), doc, F.lit("]")), "array<struct<Path:string>>", {"allowSingleQuotes": "false"})
-    well_formed = doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$")
-    return F.when(json_form & well_formed & (F.size(docs) == 1), F.get(docs, 0).getField("Path"))
+    return F.when(d.rlike(JSON_FORM) & doc.rlike("^\\s*\\{[\\s\\S]*\\}\\s*$"),
+                  F.from_json(F.concat(F.lit("["), doc, F.lit("]")), "array<struct<Path:string>>", {"allowSingleQuotes": "false"}))
 
 
-def parse_description(desc, ascii7: bool = False, json_col=None) -> Column:
-    """Name recorded in an archive description, or the description itself.
+def json_path(documents) -> Column:
+    """``Path`` of the one document; several, or a missing or null ``Path``, give NULL, so the caller
+    keeps the raw text."""
+    return F.when(F.size(_c(documents)) == 1, F.get(_c(documents), 0).getField("Path"))
 
-    Detection order: ``<m>..</m>`` (payload in ``<p>``, base64), then
-    ``<ArchiveMetadata>..</ArchiveMetadata>`` (payload in ``<Path>``), then a JSON
-    document (possibly JSON-encoded twice) that has a ``Path`` key. Anything that
-    does not parse falls back to the text unchanged. ``json_col`` may carry a
-    precomputed :func:`json_path` of the same text.
+
+def parsed_name(desc, payload, decoded, path) -> Column:
+    """What a description says: its XML payload, decoded, else its JSON path, else the text itself."""
+    return F.when(_c(payload).isNotNull(), _c(decoded)).when(_c(path).isNotNull(), _c(path)).otherwise(_c(desc))
+
+
+def parse_description(desc, ascii7: bool = False) -> Column:
+    """Name recorded in an archive description, or the description itself, as one expression.
+
+    Detection order: XML (:func:`xml_payload`), then a JSON document that has a ``Path`` key.
+    Anything that does not parse falls back to the text unchanged.
     """
-    d = _c(desc)
-    jp = json_path(d) if json_col is None else _c(json_col)
-    m_form = d.rlike(M_FORM)
-    am_form = d.rlike(METADATA_FORM)
-    m_val = _b64_text(_tag_value(d, "p"), ascii7)
-    am_val = _b64_text(_tag_value(d, "Path"), ascii7)
-    return (F.when(m_form, m_val)
-             .when(am_form, am_val)
-             .when(jp.isNotNull(), jp)
-             .otherwise(d))
+    payload = xml_payload(desc)
+    return parsed_name(desc, payload, base64_text(base64_kept(payload), ascii7), json_path(json_documents(desc)))
 
 
 def normalise_name(archive_id, desc, ascii7: bool = False) -> Column:

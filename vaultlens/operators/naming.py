@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultlens.constants import UNDEFINED_PREFIX
-from vaultlens.functions.text import js_trim, json_path, parse_description, suffix_name
+from vaultlens.functions.text import (base64_kept, base64_text, js_trim, json_documents, json_path, parsed_name, suffix_name,
+                                     xml_payload)
 from vaultlens.session import ensure_checkpoint_dir, materialize
 
 
@@ -14,18 +15,17 @@ def resolve_names(df: DataFrame, id_col: str = "archiveid", desc_col: str = "arc
                   out: str = "fname", ascii7: bool = False) -> DataFrame:
     """Add the normalised name parsed from each description (native expressions only).
 
-    Same steps as :func:`vaultlens.functions.text.normalise_name`, staged as
-    columns: the trimmed text is referenced by every parse branch, and
-    subexpression elimination does not reach into conditional branches.
+    Same steps as :func:`vaultlens.functions.text.normalise_name`, each a column of its own:
+    a step is used by several branches of the next, and subexpression elimination does not
+    reach into conditional branches.
     """
-    # The JSON branch gets its own column: JSON functions run interpreted, and kept
-    # apart (referenced twice, so not inlined) they leave the rest in generated code.
     staged = (df.withColumn("_vl_d", js_trim(F.coalesce(F.col(desc_col), F.lit(""))))
-                .withColumn("_vl_j", json_path(F.col("_vl_d")))
-                .withColumn("_vl_p", js_trim(F.coalesce(parse_description(F.col("_vl_d"), ascii7, F.col("_vl_j")),
-                                                        F.lit("")))))
+                .withColumns({"_vl_x": xml_payload("_vl_d"), "_vl_docs": json_documents("_vl_d")})
+                .withColumns({"_vl_k": base64_kept("_vl_x"), "_vl_j": json_path("_vl_docs")})
+                .withColumn("_vl_b", base64_text("_vl_k", ascii7))
+                .withColumn("_vl_p", js_trim(F.coalesce(parsed_name("_vl_d", "_vl_x", "_vl_b", "_vl_j"), F.lit("")))))
     named = F.when(F.col("_vl_p") == "", F.concat(F.lit(UNDEFINED_PREFIX), F.col(id_col))).otherwise(F.col("_vl_p"))
-    return staged.withColumn(out, F.translate(named, "\\", "/")).drop("_vl_d", "_vl_j", "_vl_p")
+    return staged.withColumn(out, F.translate(named, "\\", "/")).drop("_vl_d", "_vl_x", "_vl_docs", "_vl_k", "_vl_j", "_vl_b", "_vl_p")
 
 
 def unique_names(df: DataFrame, name_col: str = "fname", order_col: str = "row_num",
