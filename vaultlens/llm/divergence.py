@@ -201,10 +201,11 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     kept = known.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).where(F.col("docs") >= min_docs)
     # One number over all languages in (language, term) order; a language's ids start at its first.
     numbered = materialize(global_row_number(kept.select("lang", "term", "all"), ["lang", "term"], out="row"), "kept-terms")
-    per_lang = numbered.groupBy("lang").agg(F.min("row").alias("first"), F.count("*").alias("v"), F.sum("all").alias("total"))
-    ids = materialize(numbered.join(per_lang.select("lang", "first"), "lang")
-                      .select("lang", "term", "all", (F.col("row") - F.col("first")).alias("id")), "term-ids")
-    leaf = materialize(known.join(ids.select("lang", "term", "id"), ["lang", "term"]).select("lang", "source", "id", "n"), "leaves")
+    # A language's facts are joined to its vocabulary and groups only; counts get them from there.
+    per_lang = materialize(numbered.groupBy("lang").agg(F.min("row").alias("first"), F.count("*").alias("v"), F.sum("all").alias("total")), "languages")
+    ids = materialize(numbered.join(per_lang.select("lang", "first", "v"), "lang")
+                      .select("lang", "term", "all", (F.col("row") - F.col("first")).alias("id"), "v"), "term-ids")
+    leaf = materialize(known.join(ids.select("lang", "term", "id", "v"), ["lang", "term"]).select("lang", "source", "id", "n", "v"), "leaves")
     groups = counts.where(F.col("term").isNull()).select("lang", "source")
     sums = leaf.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     by_group = groups.join(sums, ["lang", "source"], "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"))
@@ -219,10 +220,10 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     heads = base.unionByName(whole).select(
         "lang", "sid", "groups", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
         F.lit(-1).alias("offset"), F.col("d").alias("n"))
-    own = leaf.join(sid.select("lang", "source", "sid"), ["lang", "source"]).select("lang", "sid", "id", "n")
-    own = own.unionByName(ids.select("lang", F.lit(-1).cast("long").alias("sid"), "id", F.col("all").alias("n")))
-    sizes = sid.where("sid = 0").select("lang", "groups").join(shape.select("lang", "v"), "lang")
-    leaves = own.join(sizes, "lang").select(
+    own = leaf.join(sid.select("lang", "source", "sid", "groups"), ["lang", "source"]).select("lang", "sid", "groups", "id", "n", "v")
+    of_all = ids.join(sid.where("sid = 0").select("lang", "groups"), "lang")
+    own = own.unionByName(of_all.select("lang", F.lit(-1).cast("long").alias("sid"), "groups", "id", F.col("all").alias("n"), "v"))
+    leaves = own.select(
         "lang", "sid", "groups", "v", F.floor(F.col("id") / LEAVES).alias("block"), (F.col("id") % LEAVES).cast("int").alias("offset"), "n")
     rows = heads.unionByName(leaves).withColumn("tile", F.floor(F.col("sid") / TILE))
     last = F.floor((F.col("groups") - 1) / TILE)
