@@ -45,3 +45,32 @@ def test_treehash_routes_staged_objects(spark):
     got = {r.aid: r.route for r in routed.collect()}
     assert got == {"a": "validated", "b": "retry", "c": "failed"}
     assert hashlib.sha256(data["b"]).hexdigest() == [r.tree_hash for r in routed.collect() if r.aid == "b"][0]
+
+
+def test_check_pacing_and_release(spark):
+    inv_csv, parted_dir = scratch_dir(spark, "t-inv"), scratch_dir(spark, "t-parted")
+    io.write_csv(B.inventory(spark, SF_SMALL), inv_csv, header=True)
+    assert cli.check(spark, inv_csv, None).first().state == "PARTITION"
+    parts = cli.partition(spark, inv_csv, None, parted_dir).collect()
+    assert cli.check(spark, inv_csv, parted_dir).first().state == "READY"
+
+    elapsed, throttle = scratch_dir(spark, "t-elapsed"), scratch_dir(spark, "t-throttle")
+    spark.createDataFrame([(p.part, 10 ** 6 if p.part == parts[0].part else 5) for p in parts], "part long, elapsed_s long").write.parquet(elapsed)
+    spark.createDataFrame([(parts[0].part, 7, 1)], "part long, throttled_bytes long, errors int").write.parquet(throttle)
+    cal = {r.part: r for r in cli.pacing(spark, parted_dir, throttle, elapsed, scratch_dir(spark, "t-cal")).collect()}
+    assert len(cal) == len(parts) and cal[parts[0].part].wait_s == 960
+    t = 0
+    for p in sorted(cal):
+        assert cal[p].start_s == t
+        t += cal[p].elapsed_s + cal[p].wait_s
+
+    base = scratch_dir(spark, "t-release")
+    objs = spark.createDataFrame([("new name", b"x" * 9), ("done", b"y")], "aid string, bytes binary")
+    bindings.stage_objects(objs, f"{base}/staging").collect()
+    bindings.stage_objects(objs.where("aid = 'done'"), f"{base}/archive").collect()
+    rows = [("1", "new name", 9, 1, "t"), ("2", "done", 1, 1, "t"), ("3", "lost", 4, 1, "t"), ("4", "early", 4, 1, None)]
+    spark.createDataFrame(rows, "aid string, fname string, sz long, cc int, vdt string").write.parquet(f"{base}/status")
+    lost = cli.release(spark, f"{base}/status", f"{base}/staging", f"{base}/archive", f"{base}/out")
+    assert [tuple(r) for r in lost.collect()] == [("3", "lost")]
+    msgs = [r.value for r in io.read_messages(spark, f"{base}/out").collect()]
+    assert len(msgs) == 1 and '"aid":"1"' in msgs[0] and "new%20name" in msgs[0]

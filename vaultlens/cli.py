@@ -5,6 +5,9 @@
     python -m vaultlens.cli chunks    --status requests/ --out chunk-messages/
     python -m vaultlens.cli treehash  --objects staged/ --status requests/ --out routed/
     python -m vaultlens.cli progress  --changes changes/ --out points/
+    python -m vaultlens.cli check     --inventory inv.csv [--partitioned partitioned/]
+    python -m vaultlens.cli pacing    --partitioned partitioned/ [--throttle t/] [--elapsed e/] --out calendar/
+    python -m vaultlens.cli release   --status validated/ --staging staged/ --destination archive/ --out release-messages/
 
 Each command is one Spark job over whole inputs; outputs are Parquet (or JSON
 text for work messages) under ``--out``.
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 
 from vaultlens.constants import DAILY_QUOTA_BYTES
 from vaultlens.functions.sizing import chunk_count, iso_timestamp
+from vaultlens.functions.text import uri_encode
 from vaultlens.operators import inventory as invops
 from vaultlens.operators import lifecycle, naming, progress, ranges, treehash
 from vaultlens.session import get_session
@@ -95,6 +99,42 @@ def progress_points(spark: SparkSession, changes: str, out: str, dimension: str
     return spark.read.parquet(out)
 
 
+def check(spark: SparkSession, inventory: str, partitioned: str | None) -> DataFrame:
+    """Inventory against the partitioned table: counts, and READY, PARTITION or FAIL."""
+    inv = io.scan_inventory_csv(spark, inventory)
+    parted = io.scan_partitioned_inventory(spark, partitioned) if partitioned else \
+        spark.createDataFrame([], io.PARTITIONED_SCHEMA)
+    return invops.consistency_check(inv, parted)
+
+
+def pacing(spark: SparkSession, partitioned: str, throttle: str | None, elapsed: str | None, out: str,
+           quota: int = DAILY_QUOTA_BYTES) -> DataFrame:
+    """The request loop as a table. ``throttle`` (part, throttled_bytes, errors) and ``elapsed``
+    (part, elapsed_s, optionally ready_s) are Parquet tables of what earlier partitions met."""
+    read = lambda path: spark.read.parquet(path) if path else None
+    calendar = invops.request_calendar(io.scan_partitioned_inventory(spark, partitioned), read(throttle), quota, read(elapsed))
+    calendar.write.mode("overwrite").parquet(out)
+    return spark.read.schema(calendar.schema).parquet(out)
+
+
+def release(spark: SparkSession, status: str, staging: str, destination: str, out: str) -> DataFrame:
+    """Validated status records -> copy tasks from the staging to the destination folder as JSON
+    messages, without what is at the destination already. Returns validated objects that have
+    no staged copy."""
+    def keys(base):
+        name = F.expr("substr(path, instr(path, prefix) + length(prefix))")
+        root = F.lit(f"{base.rstrip('/')}/".replace("file://", ""))
+        return io.list_objects(spark, base, [""]).withColumn("prefix", root).select(name.alias("key"))
+
+    st = spark.read.parquet(status).where(F.col("vdt").isNotNull())
+    plan = ranges.plan_release_chunks(st.select("aid", "fname", "sz", "cc", "vdt"), keys(destination))
+    plan = plan.withColumn("copy_source", uri_encode(F.concat(F.lit(f"{staging.rstrip('/')}/"), F.col("fname"))))
+    there = keys(staging).select(F.col("key").alias("fname"))
+    io.write_messages(io.to_messages(plan.join(there, "fname", "left_semi"),
+                                     ["aid", "fname", "part_no", "start_byte", "end_byte", "copy_source"]), out)
+    return plan.join(there, "fname", "left_anti").select("aid", "fname").distinct()
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="vaultlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -107,6 +147,13 @@ def main(argv=None):
     p = sub.add_parser("treehash"); p.add_argument("--objects", required=True)
     p.add_argument("--status", required=True); p.add_argument("--out", required=True)
     p = sub.add_parser("progress"); p.add_argument("--changes", required=True); p.add_argument("--out", required=True)
+    p = sub.add_parser("check"); p.add_argument("--inventory", required=True); p.add_argument("--partitioned")
+    p = sub.add_parser("pacing"); p.add_argument("--partitioned", required=True); p.add_argument("--throttle")
+    p.add_argument("--elapsed"); p.add_argument("--out", required=True)
+    p.add_argument("--dql", type=int, default=DAILY_QUOTA_BYTES)
+    p = sub.add_parser("release")
+    for name in ("--status", "--staging", "--destination", "--out"):
+        p.add_argument(name, required=True)
     a = ap.parse_args(argv)
     spark = get_session()
     if a.cmd == "partition":
@@ -119,6 +166,12 @@ def main(argv=None):
         verify(spark, a.objects, a.status, a.out).groupBy("route").count().show()
     elif a.cmd == "progress":
         progress_points(spark, a.changes, a.out).show(truncate=False)
+    elif a.cmd == "check":
+        check(spark, a.inventory, a.partitioned).show()
+    elif a.cmd == "pacing":
+        pacing(spark, a.partitioned, a.throttle, a.elapsed, a.out, a.dql).orderBy("part").show(50)
+    elif a.cmd == "release":
+        print(release(spark, a.status, a.staging, a.destination, a.out).count(), "validated objects without a staged copy")
 
 
 if __name__ == "__main__":
