@@ -25,7 +25,7 @@ else ``ALPHA * c(w2) / N``; ``own`` are the document's own occurrences of the bi
 are left out so that a text is not its own evidence. The first word scores ``c(w) / N``. A
 document's score is the sum of natural logarithms.
 
-Defined cases: a null or empty text has no words, score 0 and a null mean; repeated rows are
+Defined cases: very long texts are scored whole; a null or empty text has no words, score 0 and a null mean; repeated rows are
 documents of their own; an empty table gives an empty result; other columns are not read.
 """
 

@@ -10,7 +10,7 @@ are the same. A match of ``email`` may start right after the one before it, henc
 A card match is a whole run of digits with single separators, so only runs of 16 to 19
 digits are proposed.
 
-Defined cases: a null or empty text has no spans; repeated rows each get their result; an
+Defined cases: very long texts are searched whole; a null or empty text has no spans; repeated rows each get their result; an
 empty table gives an empty result. Other columns of the input are not read.
 """
 

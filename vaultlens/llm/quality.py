@@ -11,7 +11,8 @@ Hot hosts and lines: counts are combined map-side; the join back of lines to the
 frequent ones is salted by the text, so a line in a third of all documents spreads over
 ``SALTS`` tasks and AQE may split those further.
 
-Defined cases: a null text has no words and no lines; a null host is a host of its own;
+Defined cases: very long texts are counted whole, in one row; a null text has no words and no
+lines; a null host is a host of its own;
 repeated rows each get their result; an empty table gives an empty result. Other columns
 of the input do not matter, whatever their names.
 """

@@ -10,7 +10,7 @@ The sample is the ``SAMPLE_ROWS`` rows of ``labels`` and documents with the smal
 their id, a documented bound; scanning covers every text. The trained model is one table of
 fixed size, |ALPHABET| squared.
 
-Defined cases: a null or empty text has no spans; a sample without secrets or identifiers
+Defined cases: very long texts are searched whole; a null or empty text has no spans; a sample without secrets or identifiers
 leaves smoothed, nearly uniform models; repeated rows each get their result; an empty table
 gives an empty result. Other columns of the input are not read.
 """

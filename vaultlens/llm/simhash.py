@@ -13,6 +13,7 @@
 5. Candidates pass the Manhattan bound over all segments, then the exact bit distance.
 6. Distributed union-find over the verified links.
 
+Very long texts are hashed whole. A bit that exactly half of the hashes set stays 0.
 Null and empty texts and texts without words have fingerprint zero and link like any
 other. Rows may repeat; each keeps its own result row. A null id never names a
 component unless all its members have null ids. An empty table gives an empty result.

@@ -10,7 +10,8 @@ Writing: each task appends its documents to one file of its own, under a name no
 attempt uses, and reports it with the ids of the documents in it. That report, the manifest,
 is a Spark table; files of failed attempts are in no manifest and are never read.
 
-Defined cases: a null or empty text is a document of no tokens; text that spells an added
+Defined cases: very long texts are one document, however many blocks they cover; a null or
+empty text is a document of no tokens; text that spells an added
 token is encoded as ordinary text, so only real ends carry the id; tokens after a file's
 last separator are a document with ``ended`` false; an empty file or table has no documents;
 repeated rows are documents of their own. Other columns of the input are not read.

@@ -14,7 +14,8 @@ exceed ``DIRECTORY_ROWS``, so its broadcast has a fixed bound.
 Reading: a key is binary-searched in the directory, each block that may hold it is read by range
 and searched, and the captures found are read by range from their archives, in archive order.
 
-Defined cases: null html is an empty payload; a null URL has the empty key; rows that repeat page
+Defined cases: a very long page is one record; a null id gives a record without a page id; null
+html is an empty payload; a null URL has the empty key; rows that repeat page
 id and payload are the same capture and are all responses; a null page id is written as ``null``
 and never the target of a revisit; an empty table gives an empty result. Other columns of the
 input are not read.
