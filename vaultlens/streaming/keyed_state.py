@@ -48,8 +48,8 @@ class FieldRecord(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         n = len(self.names)
         old = (*[None] * (2 * n + 1), False)
-        if self.state.exists():
-            old = tuple(list(v) if i >= n and v is not None and i <= 2 * n else v for i, v in enumerate(self.state.get()))
+        if (known := self.state.get()) is not None:
+            old = tuple(list(v) if i >= n and v is not None and i <= 2 * n else v for i, v in enumerate(known))
         values, seqs, removed = list(old[:n]), list(old[n:2 * n]), old[2 * n]
         for r in rows:
             seq = list(r.seq)
@@ -91,8 +91,8 @@ class MerkleForest(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         rc, done, nodes = -1, False, {}
-        if self.state.exists():
-            rc, done, levels, places, digests = self.state.get()
+        if (known := self.state.get()) is not None:
+            rc, done, levels, places, digests = known
             nodes = dict(zip(zip(levels, places), digests))
         before, out = (rc, done, len(nodes)), []
         changed = False
@@ -158,8 +158,8 @@ class PartBitmap(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         bits, n, done, last = 0, 0, False, 0
-        if self.state.exists():
-            raw, n, done, last = self.state.get()
+        if (known := self.state.get()) is not None:
+            raw, n, done, last = known
             bits = int.from_bytes(bytes(raw), "little")
         cc, was = None, last
         for r in rows:
