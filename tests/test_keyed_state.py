@@ -143,3 +143,18 @@ def test_bitmaps_shrink_to_marks_and_go(spark):
     assert set(run([("b", "copied", 1, 9)])) == {"a", "b"}                   # event time 8: c's mark went at 7
     assert set(run([("b", "copied", 2, 12)])) == {"b"}
     assert sorted((r.aid, r.cc) for r in spark.read.parquet(sink).collect()) == [("a", 3), ("c", 2)]
+
+
+def test_keyed_state_runs_in_a_session_with_the_default_state_store(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    hdfs = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain = spark.newSession()
+    plain.conf.set(key, hdfs)
+    rows = [("a", [1, 1], ["cdt"], False, "x", None, None), ("a", [2, 2], ["sz"], False, None, None, 7)]
+    src, sink, ck = (scratch_dir(plain, n) for n in ("test-updates", "test-records", "test-ck"))
+    plain.createDataFrame(rows, UPDATE).write.parquet(src)
+    streams.field_upsert_stream(plain.readStream.schema(UPDATE).parquet(src), FIELDS, sink, ck)
+    assert plain.conf.get(key) == hdfs
+    assert [tuple(r) for r in streams.read_records(plain, sink, FIELDS).collect()] == [("a", "x", None, 7)]
+    streams.compact_records(plain, sink, ck, FIELDS)
+    assert [tuple(r) for r in streams.read_records(plain, sink, FIELDS).collect()] == [("a", "x", None, 7)]
