@@ -56,3 +56,22 @@ def test_a_small_batch_waits_for_its_window(spark, tmp_path):
     assert again.latestOffset() == {"position": 2100}
     parts = again.partitions({"position": 1000}, {"position": 2000}) + again.partitions({"position": 2000}, {"position": 2100})
     assert sorted(seen[:1000] + [v for p in parts for b in again.read(p) for v in b.column(0).to_pylist()]) == list(range(2100))
+
+
+def test_waiting_batches_are_taken_at_once_and_kept_apart(spark):
+    src, sink, ck = (scratch_dir(spark, n) for n in ("test-src", "test-sink", "test-ck"))
+    rows = spark.range(10500)
+    rows.repartition(3).write.parquet(src)
+
+    def run():
+        source = record_stream(spark, src, rows.schema, f"{ck}-progress", window_s=0, at_once=4)
+        streams.admitted_batches(source, sink, ck, ["id", "admitted"])
+        got = spark.read.parquet(sink)
+        return got, [(r.batch_id, r.admitted, r["count"]) for r in got.groupBy("batch_id", "admitted").count().orderBy("batch_id", "admitted").collect()]
+
+    sizes = [(b, a, 1000) for b, n in enumerate((4, 4, 2)) for a in range(n)] + [(3, 0, 500)]
+    assert run()[1] == sizes
+    spark.range(20000, 21700).coalesce(1).write.mode("append").parquet(src)
+    got, seen = run()
+    assert seen == sizes + [(4, 0, 1000), (5, 0, 700)]
+    assert got.select("id").distinct().count() == 12200 and got.count() == 12200

@@ -33,19 +33,24 @@ from vaultlens.sources.ranges_io import file_system
 
 MAX_RECORDS = 1000    # --- fixed values: the records and seconds a batch may wait for
 WINDOW_S = 30.0
-RANGE_RECORDS = 500   # records of one task's range
+RANGE_RECORDS = 500   # records of one task's range, at least
+TASKS = 16            # ranges of a micro-batch of several batches, about
 POLL_S = 0.5          # between two listings
 
 
+ADMITTED = "admitted"
+
+
 @dataclass
 class RecordRange(InputPartition):
     path: str
     first: int
     last: int
+    place: int = 0   # of its first record in the micro-batch
 
-    def __init__(self, path: str, first: int, last: int):
+    def __init__(self, path: str, first: int, last: int, place: int = 0):
         super().__init__(None)
-        self.path, self.first, self.last = path, first, last
+        self.path, self.first, self.last, self.place = path, first, last, place
 
 
 class RecordReader(DataSourceStreamReader):
@@ -55,6 +60,7 @@ class RecordReader(DataSourceStreamReader):
         self.progress = options["progress"]
         self.max_records = int(options.get("max_records", MAX_RECORDS))
         self.window_s = float(options.get("window_s", WINDOW_S))
+        self.at_once = int(options.get("at_once", 1))
         self.files: list[str] = []
         self.ends: list[int] = []       # position after each file's last record
         self.listed = self.waiting_since = None
@@ -97,7 +103,7 @@ class RecordReader(DataSourceStreamReader):
         at, there = self._planned(), self._list()
         if there - at >= self.max_records:
             self.waiting_since = None
-            return {"position": at + self.max_records}
+            return {"position": at + min((there - at) // self.max_records, self.at_once) * self.max_records}
         if there > at:
             now = time.monotonic()
             self.waiting_since = self.waiting_since or now
@@ -109,13 +115,14 @@ class RecordReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[RecordRange]:
         lo, hi = start["position"], end["position"]
         self._list()
-        out, k = [], bisect_right(self.ends, lo)
+        size = max(RANGE_RECORDS, -(-(hi - lo) // TASKS) if self.at_once > 1 else 0)
+        out, start, k = [], lo, bisect_right(self.ends, lo)
         while k < len(self.files) and lo < hi:
             begin = self.ends[k - 1] if k else 0
             stop = min(hi, self.ends[k])
             while lo < stop:
-                cut = min(stop, lo + RANGE_RECORDS)
-                out.append(RecordRange(self.files[k], lo - begin, cut - begin))
+                cut = min(stop, lo + size)
+                out.append(RecordRange(self.files[k], lo - begin, cut - begin, lo - start))
                 lo = cut
             k += 1
         if lo < hi:
@@ -126,16 +133,22 @@ class RecordReader(DataSourceStreamReader):
     def read(self, part: RecordRange):
         system, _ = file_system(self.path)
         schema = to_arrow_schema(self.schema, timestamp_utc=True)
+        names = [n for n in self.schema.names if n != ADMITTED or self.at_once == 1]
+        place = part.place
         with system.open_input_file(part.path) as f:
             file = pq.ParquetFile(f)
             sizes = [file.metadata.row_group(g).num_rows for g in range(file.num_row_groups)]
             begin = 0
             for g, end in enumerate(accumulate(sizes)):
                 if begin < part.last and end > part.first:
-                    rows = file.read_row_group(g, columns=self.schema.names)
+                    rows = file.read_row_group(g, columns=names)
                     rows = rows.slice(max(0, part.first - begin), min(part.last, end) - max(part.first, begin))
                     # The columns in the source's order and types; text and times as Spark takes them.
-                    rows = pa.table([rows.column(n).cast(schema.field(n).type) for n in self.schema.names], schema=schema)
+                    columns = {n: rows.column(n).cast(schema.field(n).type) for n in names}
+                    if self.at_once > 1:
+                        columns[ADMITTED] = pa.array([p // self.max_records for p in range(place, place + rows.num_rows)], pa.int64())
+                    place += rows.num_rows
+                    rows = pa.table([columns[n] for n in self.schema.names], schema=schema)
                     yield from rows.to_batches()
                 begin = end
 
@@ -144,7 +157,8 @@ class RecordReader(DataSourceStreamReader):
 
 
 class RecordSource(DataSource):
-    """Options: ``path`` (folder of Parquet files), ``progress`` (file for the note), ``max_records``, ``window_s``."""
+    """Options: ``path`` (folder of Parquet files), ``progress`` (file for the note), ``max_records``,
+    ``window_s``, ``at_once``."""
 
     @classmethod
     def name(cls) -> str:
@@ -158,9 +172,15 @@ class RecordSource(DataSource):
 
 
 def record_stream(spark: SparkSession, path: str, schema: T.StructType, progress: str,
-                  max_records: int = MAX_RECORDS, window_s: float = WINDOW_S) -> DataFrame:
+                  max_records: int = MAX_RECORDS, window_s: float = WINDOW_S, at_once: int = 1) -> DataFrame:
     """Records from the beginning of a folder, at most ``max_records`` a batch. ``progress`` belongs
-    to one stream, like its checkpoint."""
+    to one stream, like its checkpoint.
+
+    A micro-batch costs about a second, however small. With ``at_once`` above 1 one of them takes
+    up to so many batches where that many are waiting whole; the column ``admitted`` counts
+    the batches of a micro-batch from 0 and keeps them apart."""
     spark.dataSource.register(RecordSource)
+    if at_once > 1:
+        schema = T.StructType([*schema.fields, T.StructField(ADMITTED, T.LongType())])
     return (spark.readStream.format(RecordSource.name()).schema(schema).option("path", path).option("progress", progress)
-                 .option("max_records", max_records).option("window_s", window_s).load())
+                 .option("max_records", max_records).option("window_s", window_s).option("at_once", at_once).load())
