@@ -32,3 +32,23 @@ def test_short_source_is_an_error(spark, tmp_path, reader):
     df = ranges_io.scan_byte_ranges(plan) if reader == "scan" else ranges_io.copy_byte_ranges(plan, str(tmp_path / "out"))
     with pytest.raises(Exception, match="90 bytes of the range"):
         df.collect()
+
+
+def test_a_batch_of_ranges_gives_one_frame(tmp_path):
+    """Small ranges: a frame for each of them cost many times its hash."""
+    import pandas as pd
+
+    class Plan:
+        def select(self, *cols):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    (tmp_path / "o").write_bytes(bytes(range(200)))
+    n = 50
+    pdf = pd.DataFrame({"aid": [f"a{i}" for i in range(n)], "part_no": range(1, n + 1), "path": str(tmp_path / "o"),
+                        "start_byte": [4 * i for i in range(n)], "end_byte": [4 * i + 3 for i in range(n)]})
+    frames = list(ranges_io.scan_byte_ranges(Plan(), leaf=2)(iter([pdf, pdf[:0], pdf[:1]])))
+    assert [len(f) for f in frames] == [n, 0, 1] and list(frames[0].columns) == ["aid", "part_no", "digest"]
+    assert list(frames[0].digest) == [model(bytes(range(4 * i, 4 * i + 4)), 2) for i in range(n)]

@@ -326,12 +326,15 @@ def stage_objects(df: DataFrame, base: str, id_col: str = "aid", bytes_col: str
     re-run leaves the same object.
     """
     def write(batches):
+        fs, root = ranges_io.file_system(base.rstrip("/"))
+        folder = None   # the one written to last: most objects share theirs with the object before
         for pdf in batches:
             paths, sizes = [], []
             for aid, data in zip(pdf[id_col], pdf[bytes_col]):
-                target = f"{base.rstrip('/')}/{aid}"
-                fs, p = ranges_io.file_system(target)
-                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                target, p = f"{base.rstrip('/')}/{aid}", f"{root}/{aid}"
+                if p.rsplit("/", 1)[0] != folder:
+                    folder = p.rsplit("/", 1)[0]
+                    fs.create_dir(folder, recursive=True)
                 tmp = f"{p}.tmp-{uuid.uuid4().hex}"
                 with fs.open_output_stream(tmp) as out:
                     out.write(bytes(data))

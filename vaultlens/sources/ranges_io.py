@@ -70,14 +70,14 @@ class _Tree:
 def scan_byte_ranges(plan: DataFrame, leaf: int = TREE_HASH_LEAF, id_col: str = "aid") -> DataFrame:
     """Tree hash of each planned range: (id, part_no, digest), one row per plan row.
 
-    Leaves are hashed and combined where they are read; a task holds one block and one
-    digest per tree level. Ranges of a power-of-two number of leaves combine to the hash
+    Leaves are hashed and combined where they are read; a task holds one block, one
+    digest per tree level and the roots of one Arrow batch of plan rows. Ranges of a power-of-two number of leaves combine to the hash
     of the whole object. A source shorter than its range is an error.
     """
     def run(batches):
         for pdf in batches:
-            for aid, part, path, start, end in zip(pdf[id_col], pdf["part_no"], pdf["path"],
-                                                   pdf["start_byte"], pdf["end_byte"]):
+            roots = []
+            for path, start, end in zip(pdf["path"], pdf["start_byte"], pdf["end_byte"]):
                 tree, seen = _Tree(), False
                 for block in _read_range(path, int(start), int(end), max(leaf, (BLOCK // leaf) * leaf)):
                     mv, seen = memoryview(block), True
@@ -85,8 +85,9 @@ def scan_byte_ranges(plan: DataFrame, leaf: int = TREE_HASH_LEAF, id_col: str =
                         tree.add(mv[off:off + leaf])
                 if not seen:
                     tree.add(b"")
-                yield pd.DataFrame({id_col: [aid], "part_no": [int(part)], "digest": [tree.root()]}) \
-                    .astype({"part_no": "int32"})
+                roots.append(tree.root())
+            # One frame a batch: a frame and an Arrow batch of their own cost a small range more than its hash.
+            yield pd.DataFrame({id_col: pdf[id_col], "part_no": pdf["part_no"].astype("int32"), "digest": roots})
 
     return plan.select(id_col, "part_no", "path", "start_byte", "end_byte").mapInPandas(
         run, f"{id_col} string, part_no int, digest string")
