@@ -80,3 +80,19 @@ def test_int_parse_and_iso(spark):
     assert [r.v for r in df.select(int_parse("t").alias("v")).collect()] == [12, None, None]
     r = spark.sql("select timestamp'2020-08-23 10:18:22' as ts").select(iso_timestamp("ts").alias("s")).first()
     assert r.s == "2020-08-23T10:18:22+00:00"
+
+
+def test_written_table_has_a_folder_a_day(spark):
+    """Files follow the days of the plan, not its parts, of which a large vault has hundreds of thousands; each
+    part is whole in one of them, and a part without a number is kept."""
+    row = lambda i, part: (f"a{i}", "d", "2020-01-01", 1, "h", i, part)
+    rows = [row(i, i // 3) for i in range(300)] + [row(900, None)]
+    path = scratch_dir(spark, "test-days")
+    io.write_partitioned_inventory(spark.createDataFrame(rows, io.PARTITIONED_SCHEMA).repartition(5), path)
+    back = io.scan_partitioned_inventory(spark, path)
+    assert len(back.inputFiles()) == 8
+    assert sorted(back.select(*io.PARTITIONED_SCHEMA.names).collect(), key=lambda r: r.row_num) == rows
+    one = inv_ops.read_partition(back, 33)
+    assert [r.row_num for r in one.collect()] == [99, 100, 101]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_day" in plan and "= 2)" in plan

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultlens.constants import DAILY_QUOTA_BYTES
-from vaultlens.functions.sizing import consistency_state, idiv, partition_size
+from vaultlens.functions.sizing import consistency_state, idiv, part_day, partition_size
 from vaultlens.functions.text import has_text
 from vaultlens.operators.numbering import global_row_number
 from vaultlens.operators.scan import BLOCK, maxplus_scan
@@ -119,7 +119,10 @@ def partition_stats(parted: DataFrame) -> DataFrame:
 
 
 def read_partition(parted: DataFrame, n: int) -> DataFrame:
-    """One request partition, distinct rows in row_num order (prunes on ``part``)."""
+    """One request partition, distinct rows in row_num order. Of the written table only the
+    file of the partition's day is scanned, where its rows lie together."""
+    if "part_day" in parted.columns:
+        parted = parted.where(F.col("part_day") == part_day(F.lit(n)))
     return (parted.where(F.col("part") == F.lit(n))
                   .select("row_num", "archiveid", "size", "sha256treehash", "creationdate", "archivedescription")
                   .distinct()
