@@ -158,3 +158,74 @@ def test_keyed_state_runs_in_a_session_with_the_default_state_store(spark):
     assert [tuple(r) for r in streams.read_records(plain, sink, FIELDS).collect()] == [("a", "x", None, 7)]
     streams.compact_records(plain, sink, ck, FIELDS)
     assert [tuple(r) for r in streams.read_records(plain, sink, FIELDS).collect()] == [("a", "x", None, 7)]
+
+
+def test_bitmaps_of_a_group_shrink_to_marks_and_go(spark):
+    """The deliveries of the bitmaps by key, with two values for all keys."""
+    schema = "aid string, phase string, part_no int, hour int"
+    src, sink, ck = (scratch_dir(spark, n) for n in ("test-parts", "test-sink", "test-ck"))
+    counts = spark.createDataFrame([("a", 3), ("b", 300), ("c", 2)], "aid string, cc int")
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        streams.chunk_completion_stream(source, counts, sink, ck, arrival=F.timestamp_seconds(F.col("hour") * 3600), keep_hours=5, groups=2)
+        st = spark.read.format("statestore").option("stateVarName", "groups").load(ck).collect()
+        assert len(st) <= 2
+        return {aid: (n, done, len(bits)) for r in st for aid, n, done, bits in zip(r.value.aid, r.value.n, r.value.done, r.value.bits)}
+
+    assert run([("a", "copied", p, 1) for p in (3, 1, 1)] + [("b", "copied", p, 1) for p in range(1, 300)]) \
+        == {"a": (2, False, 1), "b": (299, False, 38)}
+    assert run([("a", "copied", 2, 2), ("a", "copied", 9, 2), ("c", "copied", 7, 2), ("c", "copied", 8, 2)]) \
+        == {"a": (4, True, 0), "b": (299, False, 38), "c": (2, True, 0)}
+    assert run([("a", "copied", 2, 4)])["a"] == (4, True, 0)
+    assert set(run([("b", "copied", 1, 9)])) == {"a", "b"}                   # event time 8: c's mark went at 7
+    assert set(run([("b", "copied", 2, 12)])) == {"b"}                       # a's, delivered again at 4, went at 9
+    run([("b", "copied", 300, 13)])
+    assert sorted((r.aid, r.cc) for r in spark.read.parquet(sink).collect()) == [("a", 3), ("b", 300), ("c", 2)]
+
+
+def test_field_updates_of_groups_equal_the_log(spark):
+    """As by key, with three values for all keys; texts, large numbers and cleared fields come back exactly."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        fields = rng.sample(FIELDS.names, rng.choice([1, 1, 2]))
+        value = {f: rng.choice([None, 2 ** 62 + i if f == "sz" else f'v"{i}" ü']) for f in fields}
+        rows.append((f"a{rng.randrange(12)}", [i // 3 - 20, i], fields, rng.random() < 0.08, *[value.get(f) for f in FIELDS.names]))
+    src, sink, ck = (scratch_dir(spark, n) for n in ("test-updates", "test-records", "test-ck"))
+
+    def deliver(part):
+        part = list(part)
+        rng.shuffle(part)
+        spark.createDataFrame(part, UPDATE).repartition(3).write.mode("append").parquet(src)
+        source = spark.readStream.schema(UPDATE).option("maxFilesPerTrigger", 1).parquet(src)
+        streams.field_upsert_stream(source, FIELDS, sink, ck, groups=3)
+
+    def records():
+        return {r.aid: (r.cdt, r.sgt, r.sz) for r in streams.read_records(spark, sink, FIELDS).collect()}
+
+    deliver(rows[40:])
+    deliver(rows[:80])
+    assert records() == model(rows)
+    assert spark.read.format("statestore").option("stateVarName", "record").load(ck).count() <= 3
+    log = spark.read.parquet(f"{sink}/log").count()
+    deliver(rows)
+    assert spark.read.parquet(f"{sink}/log").count() == log   # redeliveries change nothing
+    streams.compact_records(spark, sink, ck, FIELDS)
+    assert records() == model(rows)
+    more = [("a1", [999, 1], ["sz"], False, None, None, 7), ("a2", [999, 2], [], True, None, None, None)]
+    deliver(more)
+    assert records() == model(rows + more)
+    streams.compact_records(spark, sink, ck, FIELDS)
+    assert records() == model(rows + more)
+
+
+def test_fields_of_all_types_come_back_from_text(spark):
+    t = T._parse_datatype_string("ts timestamp, b binary, a array<int>, d double, m decimal(20,3), n timestamp_ntz")
+    df = spark.sql("select timestamp'1500-01-02 03:04:05.000007' ts, X'00ff' b, array(1, null) a, 0.1D + 0.2D d, "
+                   "cast(-12345678901234567.125 as decimal(20,3)) m, timestamp_ntz'2300-01-01 00:00:00.000001' n").to(t)
+    back = df.select(*[streams._from_text(f, streams._as_text(f)) for f in t.fields])
+    assert back.schema.simpleString() == t.simpleString() and df.exceptAll(back).count() == 0
+    none = df.select(*[F.when(F.lit(False), F.col(f.name)).alias(f.name) for f in t.fields])
+    assert not any(v is not None and f != "a" for f, v in none.select(*[streams._from_text(f, streams._as_text(f)) for f in t.fields]).first().asDict().items())

@@ -3,6 +3,12 @@
 Each processor keeps one value a key, read and written once a micro-batch. All of them
 take input in any order and any number of times: what a key has already seen changes
 nothing, so the state grows with the keys, not with deliveries.
+
+A key costs some calls between Python and the state store and an Arrow batch of its own in
+each micro-batch, about a millisecond. ``FieldRecords`` and ``PartBitmaps`` keep the same
+state for a group of keys in one value: a micro-batch that holds rows of many keys reads and
+writes each group once. One of few rows would write whole groups for them, so small batches
+are better off with a value a key.
 """
 
 from __future__ import annotations
@@ -10,6 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -73,6 +80,60 @@ class FieldRecord(StatefulProcessor):
         pass
 
 
+class FieldRecords(StatefulProcessor):
+    """The records of a group of keys, as :class:`FieldRecord` keeps one: an array a column, a
+    place in it a key. Takes and gives data frames (``transformWithStateInPandas``), the fields in
+    them and in the state as text, which no frame rounds; of ``written`` it takes one bit a field,
+    and of ``seq`` a text of the same order."""
+
+    def __init__(self, names: list[str]):
+        self.names = names
+        values, seqs = [f"value{i}" for i in range(len(names))], [f"seq{i}" for i in range(len(names))]
+        self.schema = _struct(**{c: T.ArrayType(_TEXT) for c in ("aid", *values, *seqs, "removed")}, live=T.ArrayType(_FLAG))
+        self.out = _struct(aid=_TEXT, live=_FLAG, **{c: _TEXT for c in values})
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("record", self.schema)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, records, before = len(self.names), {}, {}
+        if (known := self.state.get()) is not None:
+            records = dict(zip(known[0], map(list, zip(*known[1:]))))
+        for df in rows:
+            columns = [df[c].tolist() for c in ("aid", "removed", "bits", "seq", *self.out.names[2:])]
+            for aid, removed, bits, seq, *values in zip(*columns):
+                record = records.get(aid)
+                if record is None:
+                    record = records[aid] = [*[None] * (2 * n + 1), False]
+                if aid not in before:
+                    before[aid] = tuple(record)
+                if removed:
+                    if record[2 * n] is None or seq > record[2 * n]:
+                        record[2 * n] = seq
+                    continue
+                for i in range(n):
+                    if bits >> i & 1 and (record[n + i] is None or seq > record[n + i]):
+                        record[i], record[n + i] = values[i], seq
+        out = []
+        for aid, old in before.items():
+            record = records[aid]
+            removed, seqs = record[2 * n], record[n:2 * n]
+            for i, seq in enumerate(seqs):
+                if removed is not None and seq is not None and seq < removed:
+                    record[i] = record[n + i] = None     # the removal answers for all writes before it
+            record[-1] = any(s is not None for s in record[n:2 * n])
+            if tuple(record) != old:
+                out.append((aid, record[-1], *record[:n]))
+            elif old == (*[None] * (2 * n + 1), False):
+                del records[aid]     # an update that wrote nothing
+        if out:
+            self.state.update((list(records), *map(list, zip(*records.values()))))
+            yield pd.DataFrame(out, columns=self.out.names)
+
+    def close(self) -> None:
+        pass
+
+
 class MerkleForest(StatefulProcessor):
     """The tree hash of an archive's chunks as their digests arrive.
 
@@ -184,3 +245,71 @@ class PartBitmap(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class PartBitmaps(StatefulProcessor):
+    """The bitmaps and marks of a group of keys, as :class:`PartBitmap` keeps one: an array a column, a
+    place in it an (archive, phase). The group has one timer, at the time that its first mark goes
+    or before; when it fires, the marks whose time has come go. Takes and gives data frames
+    (``transformWithStateInPandas``)."""
+
+    OUT = PartBitmap.OUT
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("groups", _struct(
+            aid=T.ArrayType(_TEXT), phase=T.ArrayType(_TEXT), bits=T.ArrayType(T.BinaryType()), n=T.ArrayType(_INT),
+            done=T.ArrayType(_FLAG), last_ms=T.ArrayType(_LONG), timer_ms=_LONG))
+
+    def _known(self) -> tuple[dict, int]:
+        """``{(aid, phase): [bits, n, done, last_ms]}`` and the time of the timer, 0 for none."""
+        if (known := self.state.get()) is None:
+            return {}, 0
+        aids, phases, bits, n, done, last, timer = known
+        numbers = [int.from_bytes(bytes(b), "little") for b in bits]
+        return dict(zip(zip(aids, phases), map(list, zip(numbers, n, done, last)))), timer
+
+    def _update(self, keys: dict, timer: int) -> None:
+        """Writes the group, its timer set to the first mark's time if that is earlier or there was none."""
+        due = min((last + self.keep_ms for _, _, done, last in keys.values() if done), default=0)
+        if due and (not timer or due < timer):
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+            timer = due
+        if not keys:
+            self.state.clear()
+            return
+        bits, n, done, last = zip(*keys.values())
+        self.state.update(([a for a, _ in keys], [p for _, p in keys], [b.to_bytes((b.bit_length() + 7) // 8, "little") for b in bits],
+                           list(n), list(done), list(last), timer))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        keys, timer = self._known()
+        counts, out = {}, []
+        for df in rows:
+            for aid, phase, part, cc, at in zip(*[df[c].tolist() for c in ("aid", "phase", "part_no", "cc", "at_ms")]):
+                k = keys.setdefault((aid, phase), [0, 0, False, 0])
+                counts[aid, phase], k[3] = cc, max(k[3], at)
+                if not k[2] and not k[0] >> part & 1:
+                    k[0], k[1] = k[0] | 1 << part, k[1] + 1
+        for (aid, phase), cc in counts.items():
+            k = keys[aid, phase]
+            if not k[2] and k[1] >= cc:
+                k[0], k[2] = 0, True
+                out.append((aid, phase, cc, k[1]))
+        if counts:
+            self._update(keys, timer)
+        if out:
+            yield pd.DataFrame(out, columns=self.OUT.names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, (keys, _) = timerValues.getCurrentWatermarkInMs(), self._known()
+        self._update({key: k for key, k in keys.items() if not k[2] or k[3] + self.keep_ms > now}, 0)
+        return iter(())
+
+    def close(self) -> None:
+        pass
