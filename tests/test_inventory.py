@@ -96,3 +96,40 @@ def test_written_table_has_a_folder_a_day(spark):
     assert [r.row_num for r in one.collect()] == [99, 100, 101]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part_day" in plan and "= 2)" in plan
+
+
+def test_hashes_packed_come_back(spark):
+    digest = "0f" * 32
+    rows = [(0, None), (1, digest), (2, digest.upper()), (3, digest + "\n"), (4, "h"), (5, ""), (6, digest[:-1])]
+    df = spark.createDataFrame(rows, "i int, sha256treehash string")
+    packed = inv_ops.packed(df)
+    assert [len(r._vl_digest or b"") for r in packed.orderBy("i").collect()] == [0, 32, 0, 0, 0, 0, 0]
+    assert sorted(tuple(r) for r in inv_ops.unpacked(packed).select("i", "sha256treehash").collect()) == rows
+
+
+def test_staged_rows_are_written_in_order_without_a_shuffle(spark):
+    inv, ovr = B.inventory(spark, SF_SMALL), B.overrides(spark, SF_SMALL)
+    want = sorted(map(tuple, inv_ops.partition_inventory(inv, ovr).select(*io.PARTITIONED_SCHEMA.names).collect()))
+    parted = inv_ops.partition_inventory(inv, ovr, stage=True, num_partitions=4)
+    assert "hashpartitioning(part_day" not in parted._jdf.queryExecution().executedPlan().toString()
+    path = scratch_dir(spark, "test-ordered")
+    io.write_partitioned_inventory(parted, path, ordered=True)
+    back = io.scan_partitioned_inventory(spark, path)
+    assert sorted(map(tuple, back.select(*io.PARTITIONED_SCHEMA.names).collect())) == want
+    one = [r.row_num for r in inv_ops.read_partition(back, 1).collect()]
+    assert one == sorted(r[5] for r in want if r[6] == 1)
+    days = back.select("part_day").distinct().count()
+    assert days <= len(back.inputFiles()) <= days + 8   # a day more than once only where a range of numbers ends
+
+
+def test_round_trip_keeps_one_copy_of_the_table(spark):
+    """The staged and the numbered copy go as soon as the table is written."""
+    import glob
+    from vaultlens.plans.jobs import JOBS
+    from vaultlens.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    copies = lambda: set(glob.glob(f"{folder}/vaultlens-enriched-*") + glob.glob(f"{folder}/vaultlens-numbered-*"))
+    before = copies()
+    for name in ("partition_roundtrip", "consistency_check", "one_partition", "results_csv"):
+        JOBS[name](spark, SF_SMALL).collect()
+        assert copies() == before
